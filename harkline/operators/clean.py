@@ -55,5 +55,10 @@ def normalize_track_id(features: DataFrame, quoted: str = "MSD_TRACKID") -> Data
 
 
 def label_features(genres: DataFrame, features: DataFrame) -> DataFrame:
-    """Features of the tracks that have a genre."""
-    return lookup_join(genres, features, "track_id", "inner")
+    """``(track_id, genre, *features)`` of the tracks that have a genre.
+
+    The narrow label table is the lookup, so the wide features move only if it is too
+    large to broadcast.
+    """
+    labelled = lookup_join(features, genres.select("track_id", "genre"), "track_id", "inner")
+    return labelled.select("track_id", "genre", *[c for c in features.columns if c != "track_id"])

@@ -7,7 +7,7 @@ from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Above this many columns one vector pass is cheaper than an aggregate per pair.
 MAX_PAIRWISE = 12
@@ -16,24 +16,29 @@ MAX_PAIRWISE = 12
 def feature_correlation(df: DataFrame, columns: Sequence[str], max_pairwise: int = MAX_PAIRWISE) -> DataFrame:
     """``(i, j, corr)`` for each unordered pair of columns, ``i`` before ``j``.
 
-    The result has one row per pair of columns, however many rows ``df`` has.
+    Rows with a missing value are left out; a constant column correlates as NaN. The
+    result has one row per pair of columns, however many rows ``df`` has.
     """
     columns = list(columns)
-    pairs = list(combinations(columns, 2))
+    df = df.select(columns).dropna()
     if len(columns) <= max_pairwise:
-        one_row = df.agg(*[F.corr(i, j).alias(f"{i}|{j}") for i, j in pairs])
+        pairs = list(combinations(columns, 2))
+        one_row = df.agg(*[_pearson(i, j).alias(f"{i}|{j}") for i, j in pairs])
         listed = F.array(
             *[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"`{i}|{j}`").alias("corr")) for i, j in pairs]
         )
         return one_row.select(F.inline(listed))
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v", handleInvalid="skip").transform(df.select(columns))
+    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(df)
     matrix = Correlation.corr(vectors.select("_v"), "_v").head()[0].toArray()
-    rows = [
-        (columns[a], columns[b], float(matrix[a, b])) for a, b in combinations(range(len(columns)), 2)
-    ]
+    rows = [(columns[a], columns[b], float(matrix[a, b])) for a, b in combinations(range(len(columns)), 2)]
     return df.sparkSession.createDataFrame(rows, "i string, j string, corr double")
 
 
+def _pearson(i: str, j: str) -> Column:
+    spread = F.stddev_pop(i) * F.stddev_pop(j)
+    return F.when(spread == 0, F.lit(float("nan"))).otherwise(F.covar_pop(i, j) / spread)
+
+
 def high_correlation_pairs(correlations: DataFrame, above: float = 0.7, absolute: bool = False) -> DataFrame:
     """Pairs with ``above < r < 1``, strictly; with ``absolute`` also the strongly negative ones."""
     r = F.abs("corr") if absolute else F.col("corr")

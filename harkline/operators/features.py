@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from harkline.operators.joins import lookup_join
@@ -37,9 +37,11 @@ def binary_label(df: DataFrame, genre: str, column: str = "genre") -> DataFrame:
 
 def label_indexer(df: DataFrame, column: str, output: str = "class") -> StringIndexerModel:
     """Indexes a label set by falling frequency, ties by label."""
-    if df.select(column).distinct().limit(MAX_LABELS + 1).count() > MAX_LABELS:
+    counts = group_counts(df.filter(F.col(column).isNotNull()), column)
+    rows = counts.orderBy(F.desc("n_rows"), column).select(column).limit(MAX_LABELS + 1).collect()
+    if len(rows) > MAX_LABELS:
         raise ValueError(f"{column} has more than {MAX_LABELS} values; use frequency_index")
-    return StringIndexer(inputCol=column, outputCol=output).fit(df)
+    return StringIndexerModel.from_labels([row[0] for row in rows], inputCol=column, outputCol=output)
 
 
 def frequency_index(df: DataFrame, column: str, output: str) -> DataFrame:

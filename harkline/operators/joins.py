@@ -13,13 +13,6 @@ HOT_KEYS = 1_000
 SALTS = 256
 
 
-def fits_broadcast(lookup: DataFrame, max_cells: int | None = None) -> bool:
-    """Whether a lookup is small, by counting no more rows than the bound."""
-    cells = BROADCAST_CELLS if max_cells is None else max_cells
-    rows = cells // len(lookup.columns)
-    return lookup.limit(rows + 1).count() <= rows
-
-
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -33,14 +26,16 @@ def lookup_join(
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
 
     Unless it is ``stored`` already, the lookup is written down first, so it is
-    computed once and its size is known. If it is small it is broadcast and the facts do not move. If not, both
-    sides are shuffled, with the rows of each hot key spread over ``SALTS`` values
-    and the lookup's row for that key repeated for each of them.
+    computed once and its size is known. A small one is broadcast and the facts do
+    not move. Otherwise both sides are shuffled, with the rows of each hot key
+    spread over ``SALTS`` values and the lookup's row for it repeated for each;
+    finding the hot keys takes one more pass over the key columns of ``facts``.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    max_rows = (BROADCAST_CELLS if max_cells is None else max_cells) // len(lookup.columns)
     if not stored:
         lookup = freeze(lookup)
-    if fits_broadcast(lookup, max_cells):
+    if lookup.limit(max_rows + 1).count() <= max_rows:
         return facts.join(F.broadcast(lookup), keys, how)
 
     sizes = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))

@@ -48,7 +48,7 @@ def _cuts(df: DataFrame, label: str, keys: list[str], fraction: float, salt: str
         .select(label, "_range", (F.col("_taken") - F.col("_before")).alias("_left"))
     )
 
-    inside = lookup_join(slim, edge, [label, "_range"], "inner").groupBy(label, "_left", "_bits", *keys).agg(
+    inside = lookup_join(slim, edge, [label, "_range"], "inner", stored=True).groupBy(label, "_left", "_bits", *keys).agg(
         F.count(F.lit(1)).alias("_n")
     )
     in_order = of_class.orderBy("_bits", *keys).rowsBetween(Window.unboundedPreceding, 0)
@@ -101,7 +101,8 @@ def downsample(
 ) -> DataFrame:
     """Keeps all of class 1 and about that many rows of class 0 for each."""
     is_negative = F.col(label) == 0
-    keep = df.agg((negatives_per_positive * F.count_if(F.col(label) == 1) / F.count_if(is_negative)).alias("keep")).scalar()
+    positives, negatives = F.count_if(F.col(label) == 1), F.count_if(is_negative)
+    keep = df.agg(F.try_divide(negatives_per_positive * positives, negatives).alias("keep")).scalar()
     return df.filter(~is_negative | (draw(keys, salt, seed) < keep))
 
 

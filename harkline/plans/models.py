@@ -121,6 +121,12 @@ def recommendation_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.ranking_metrics(recommender(spark, sf).recommend(K), triplet_sides(spark, sf)[1], K)
 
 
+def forget() -> None:
+    """Drops the models and tables kept for the session, so that the next query fits anew."""
+    for kept in [binary_sides, genre_sides, genre_forest, triplet_sides, recommender]:
+        kept.cache_clear()
+
+
 _INDEX_SQL = """SELECT {column} AS name, count(*) AS n_rows,
     CAST(row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS INTEGER) AS index FROM train GROUP BY {column}"""
 _INDEXES = {

@@ -10,6 +10,7 @@ from harkline.plans.tables import MIN_PLAYS, MIN_SONGS, Query, with_sql
 from harkline.sources.catalogue import preview
 
 BINS = 20
+POINTS = 100
 SHARES = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0]
 
 
@@ -43,6 +44,21 @@ def activity_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     return profile.exact_percentiles(activity, "total_plays", SHARES).withColumn("value", F.round("value", 6))
 
 
+def activity_density(spark: SparkSession, sf: str) -> DataFrame:
+    activity = profile.total_plays(t.clean_triplets(spark, sf), "user_id")
+    curve = profile.density(activity, "total_plays", POINTS)
+    return curve.select(F.round("x", 6).alias("x"), F.round("density", 9).alias("density"))
+
+
+_DENSITY = with_sql(
+    f"""SELECT round(x, 6) AS x, round(sum(exp(-pow((x - v) / h, 2) / 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 9) AS density
+        FROM activity JOIN points ON true GROUP BY x""",
+    activity="SELECT sum(play_count)::DOUBLE AS v FROM clean_triplets GROUP BY user_id",
+    shape="""SELECT count(*) AS n, min(v) AS lo, max(v) - min(v) AS span,
+        stddev_samp(v) * pow(count(*), -0.2::DOUBLE) AS h FROM activity""",
+    points=f"""SELECT lo - span / 2 + i * 2 * span / {POINTS - 1} AS x, n, h
+        FROM shape JOIN (SELECT unnest(range({POINTS})) AS i) ON true""",
+)
 _HISTOGRAM = with_sql(
     f"""SELECT bin, round(lo + (bin - 1) * span / {BINS}::DOUBLE, 6) AS low,
                round(lo + bin * span / {BINS}::DOUBLE, 6) AS high, count(*) AS n
@@ -91,18 +107,19 @@ QUERIES = {
             GROUP BY user_id ORDER BY total_plays DESC, user_id LIMIT 1"""),
     ),
     "user_rows": Query(
-        lambda spark, sf: profile.most_active_rows(t.clean_triplets(spark, sf)),
+        lambda spark, sf: profile.most_active_rows(t.stored_triplets(spark, sf)),
         with_sql("""SELECT * FROM clean_triplets WHERE user_id = (
             SELECT user_id FROM clean_triplets GROUP BY user_id ORDER BY sum(play_count) DESC, user_id LIMIT 1)"""),
     ),
     "top_user_share": Query(
-        lambda spark, sf: profile.top_user_share(t.clean_triplets(spark, sf)),
+        lambda spark, sf: profile.top_user_share(t.stored_triplets(spark, sf)),
         with_sql("""SELECT n_songs, n_catalogue, round(n_songs / n_catalogue::DOUBLE * 100, 6) AS percent FROM (
             SELECT (SELECT count(*) FROM clean_triplets WHERE user_id = (
                 SELECT user_id FROM clean_triplets GROUP BY user_id ORDER BY sum(play_count) DESC, user_id LIMIT 1)) AS n_songs,
             (SELECT count(DISTINCT song_id) FROM clean_triplets) AS n_catalogue)"""),
     ),
     "popularity_histogram": Query(popularity_histogram, _HISTOGRAM),
+    "activity_density": Query(activity_density, _DENSITY),
     "activity_percentiles": Query(
         activity_percentiles,
         with_sql(
@@ -122,7 +139,7 @@ QUERIES = {
         with_sql("SELECT * FROM low_songs"),
     ),
     "drop_low_play_songs": Query(
-        lambda spark, sf: clean.drop_low_play_songs(t.clean_triplets(spark, sf), MIN_PLAYS),
+        lambda spark, sf: clean.drop_low_play_songs(t.stored_triplets(spark, sf), MIN_PLAYS),
         with_sql("SELECT * FROM played"),
     ),
     "active_subset": Query(t.active_triplets, with_sql("SELECT * FROM active")),

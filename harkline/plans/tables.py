@@ -77,8 +77,13 @@ def clean_triplets(spark: SparkSession, sf: str) -> DataFrame:
     return clean.drop_mismatched(triplets(spark, sf), mismatches(spark, sf))
 
 
+def stored_triplets(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean triplets as a table, for queries that read them more than once."""
+    return freeze(clean_triplets(spark, sf))
+
+
 def active_triplets(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.active_subset(clean_triplets(spark, sf), MIN_PLAYS, MIN_SONGS)
+    return clean.active_subset(stored_triplets(spark, sf), MIN_PLAYS, MIN_SONGS)
 
 
 def feature_table(spark: SparkSession, sf: str) -> DataFrame:
