@@ -15,7 +15,7 @@ def drop_mismatched(triplets: DataFrame, mismatches: DataFrame, accepted: DataFr
     """
     if accepted is not None:
         mismatches = mismatches.join(accepted, ["song_id", "track_id"], "left_anti")
-    return lookup_join(triplets, mismatches.select("song_id").distinct(), "song_id", "left_anti")
+    return lookup_join(triplets, mismatches.select("song_id"), "song_id", "left_anti", stored=accepted is None)
 
 
 def low_play_songs(triplets: DataFrame, min_plays: int = 100) -> DataFrame:
@@ -60,5 +60,5 @@ def label_features(genres: DataFrame, features: DataFrame) -> DataFrame:
     The narrow label table is the lookup, so the wide features move only if it is too
     large to broadcast.
     """
-    labelled = lookup_join(features, genres.select("track_id", "genre"), "track_id", "inner")
+    labelled = lookup_join(features, genres.select("track_id", "genre"), "track_id", "inner", stored=True)
     return labelled.select("track_id", "genre", *[c for c in features.columns if c != "track_id"])

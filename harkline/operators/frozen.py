@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame
 
-from harkline.session import scratch_dir
+from harkline.session import tables_dir
 
 
 def freeze(df: DataFrame) -> DataFrame:
@@ -17,6 +17,6 @@ def freeze(df: DataFrame) -> DataFrame:
     lineage, survives the loss of executors, and gives the optimizer a measured
     size.
     """
-    path = f"{scratch_dir(df.sparkSession)}/{uuid4().hex}"
+    path = f"{tables_dir(df.sparkSession)}/{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

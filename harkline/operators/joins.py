@@ -25,9 +25,9 @@ def lookup_join(
 
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
 
-    Unless it is ``stored`` already, the lookup is written down first, so it is
-    computed once and its size is known. A small one is broadcast and the facts do
-    not move. Otherwise both sides are shuffled, with the rows of each hot key
+    Unless it is ``stored`` already (a table, or a plain scan of one), the lookup is
+    written down first, so that it is computed once. Its size is then checked. A
+    small one is broadcast and the facts do not move. Otherwise both sides are shuffled, with the rows of each hot key
     spread over ``SALTS`` values and the lookup's row for it repeated for each;
     finding the hot keys takes one more pass over the key columns of ``facts``.
     """

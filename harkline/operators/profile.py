@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from harkline.operators.frozen import freeze
 from harkline.operators.running import running_total
 
+# Above this many columns, aggregates side by side make too large a plan.
+MAX_WIDE = 100
+
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``(dataset, n_rows)``; a Parquet table answers from its footers."""
@@ -68,11 +71,20 @@ def class_balance(df: DataFrame, label: str = "class", weight: str | None = None
     return counts.orderBy(label)
 
 
-def feature_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def feature_summary(df: DataFrame, columns: Sequence[str], max_wide: int = MAX_WIDE) -> DataFrame:
     """Count, mean, standard deviation, minimum and maximum, one row per column, in one pass."""
     stats = {"n": F.count, "mean": F.mean, "stddev": F.stddev, "min": F.min, "max": F.max}
-    one_row = df.agg(*[F.struct(*[f(c).alias(n) for n, f in stats.items()]).alias(c) for c in columns])
-    return one_row.unpivot([], list(columns), "feature", "s").select("feature", "s.*")
+
+    def of(column: str) -> list[Column]:
+        return [function(column).alias(name) for name, function in stats.items()]
+
+    columns = list(columns)
+    if len(columns) <= max_wide:
+        one_row = df.agg(*[F.struct(*of(c)).alias(c) for c in columns])
+        return one_row.unpivot([], columns, "feature", "s").select("feature", "s.*")
+    # Each task adds up its own values, so one row per column and task is shuffled.
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "feature", "value")
+    return long.groupBy("feature").agg(*of("value"))
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:

@@ -71,9 +71,11 @@ class Recommender:
 def fit_recommender(
     train: DataFrame, rank: int = 10, iterations: int = 5, regularization: float = 0.01, seed: int = SEED
 ) -> Recommender:
-    """Indexes users and songs of ``train`` and factorizes their play counts."""
+    """Indexes users and songs of ``train`` and factorizes their play counts.
+
+    ``train`` is read three times, so freeze it first if it is costly to compute.
+    """
     spark = train.sparkSession
-    train = freeze(train.select("user_id", "song_id", "play_count"))
     users = freeze(frequency_index(train, "user_id", "user_int"))
     songs = freeze(frequency_index(train, "song_id", "song_int"))
     indexed = apply_index(apply_index(train, users, "user_id"), songs, "song_id")
@@ -92,4 +94,4 @@ def fit_recommender(
         numItemBlocks=blocks,
         checkpointInterval=2,
     )
-    return Recommender(als.fit(freeze(indexed.select("user_int", "song_int", "play_count"))), users, songs)
+    return Recommender(als.fit(indexed.select("user_int", "song_int", "play_count")), users, songs)

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from harkline.plans import tables as t
 from harkline.plans.tables import Query, with_sql
-from harkline.session import scratch_dir
+from harkline.session import tables_dir
 from harkline.sources import attributes, catalogue, text
 
 
 def _new_folder(spark: SparkSession) -> str:
-    return f"{scratch_dir(spark)}/{uuid4().hex}"
+    return f"{tables_dir(spark)}/{uuid4().hex}"
 
 
 def feature_files(spark: SparkSession, sf: str) -> DataFrame:

@@ -40,3 +40,18 @@ def scratch_dir(spark: SparkSession) -> str:
             named = tempfile.mkdtemp(prefix="harkline-")
         context.setCheckpointDir(named)
     return context.getCheckpointDir()
+
+
+def tables_dir(spark: SparkSession) -> str:
+    """Where this session keeps its intermediate tables."""
+    return f"{scratch_dir(spark)}/tables"
+
+
+def release_tables(spark: SparkSession) -> None:
+    """Deletes the intermediate tables of this session.
+
+    Spark does not clear a checkpoint folder by itself. Call this once no frame
+    that was built on such tables is needed any more.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

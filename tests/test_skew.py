@@ -7,8 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from harkline.operators import clean, profile, ranking
+from harkline.operators.frozen import freeze
 from harkline.operators.joins import lookup_join
 from harkline.operators.running import rank_within, running_total
+from harkline.plans import models
+from harkline.session import release_tables
 
 
 def skewed_rows(n=6000, keys=40, seed=5):
@@ -21,6 +24,14 @@ def skewed_rows(n=6000, keys=40, seed=5):
     return rows
 
 
+@pytest.fixture(scope="module", autouse=True)
+def several_partitions(spark):
+    """Keeps Spark from merging the small partitions, so that groups do spread over several."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.fixture(scope="module")
 def facts(spark):
     return spark.createDataFrame(skewed_rows(), "id int, key string, v int")
@@ -67,15 +78,11 @@ def test_running_total(facts, within):
     assert {r["id"]: (r["rows"], r["total"]) for r in got.collect()} == expected
 
 
-def test_a_hot_group_is_ranked_by_many_tasks(spark, facts):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        ranked = rank_within(facts.filter("key = 'hot'"), "place", [F.asc("id")], ["key"])
-        sizes = ranked.groupBy(F.spark_partition_id()).count().collect()
-        assert len(sizes) > 1
-        assert max(ranked.agg(F.max("place")).head()) == facts.filter("key = 'hot'").count()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+def test_a_hot_group_is_ranked_by_many_tasks(facts):
+    hot = facts.filter("key = 'hot'")
+    ranked = rank_within(hot, "place", [F.asc("id")], ["key"])
+    assert len(ranked.groupBy(F.spark_partition_id()).count().collect()) > 1
+    assert ranked.agg(F.max("place")).head()[0] == hot.count()
 
 
 def test_rankings_of_a_hot_user(facts):
@@ -142,3 +149,20 @@ def test_empty_input(spark):
 def test_density_of_equal_values_is_undefined(spark):
     df = spark.createDataFrame([(5,), (5,)], "v int")
     assert {r["density"] for r in profile.density(df, "v", 3).collect()} == {None}
+
+
+def test_both_summary_routes_agree(spark):
+    df = spark.createDataFrame([(1, 2.5), (None, 4.0), (7, None), (4, 1.0)], "a int, b double")
+    few = profile.feature_summary(df, ["a", "b"]).collect()
+    many = profile.feature_summary(df, ["a", "b"], max_wide=0).collect()
+    assert sorted(map(tuple, few)) == sorted(map(tuple, many))
+    assert {r["feature"]: r["n"] for r in few} == {"a": 3, "b": 3}
+
+
+def test_released_tables_are_gone(spark):
+    table = freeze(spark.range(3))
+    assert table.count() == 3
+    models.forget()
+    release_tables(spark)
+    with pytest.raises(Exception):
+        table.count()
