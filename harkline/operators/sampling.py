@@ -7,19 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from harkline.functions.draws import SEED, draw, draw_bits
 from harkline.operators.frozen import freeze
 from harkline.operators.joins import lookup_join
 from harkline.operators.running import rank_within
 
-# The draws of a class fall into this many equal ranges.
-RANGES = 65_536
-
-
-def _range_of(bits: Column) -> Column:
-    return F.shiftright(bits, 16)
+# The draws of a class fall into 2^16 equal ranges, told apart by their upper bits.
+RANGE_BITS = 16
 
 
 def class_row_number(df: DataFrame, label: str, keys: Sequence[str], salt: str = "split", seed: int = SEED) -> DataFrame:
@@ -30,13 +26,13 @@ def class_row_number(df: DataFrame, label: str, keys: Sequence[str], salt: str =
 
 
 def _cuts(df: DataFrame, label: str, keys: list[str], fraction: float, salt: str, seed: int) -> DataFrame:
-    """Where each class is cut: ``(label, _cut_range, _cut_key)``, one row per class.
+    """Where each class is cut: ``(label, _cut)``, one row per class.
 
-    Rows whose draw lies in a lower range are all in; in the cut range itself they
-    are in up to ``_cut_key``. Only rows of that one range need to be put in order.
+    Rows are in up to the draw and key of ``_cut``. Rows whose draw lies in a lower
+    range are all in, so only rows of the range with the cut need to be put in order.
     """
     bits = draw_bits(keys, salt, seed)
-    slim = df.select(label, *keys, bits.alias("_bits")).withColumn("_range", _range_of(F.col("_bits")))
+    slim = df.select(label, *keys, bits.alias("_bits")).withColumn("_range", F.shiftright("_bits", RANGE_BITS))
 
     of_class = Window.partitionBy(label)
     counted = slim.groupBy(label, "_range").agg(F.count(F.lit(1)).alias("_n"))
@@ -56,9 +52,11 @@ def _cuts(df: DataFrame, label: str, keys: list[str], fraction: float, salt: str
         inside.withColumn("_row", F.sum("_n").over(in_order))
         .filter(F.col("_row") <= F.col("_left"))
         .groupBy(label)
-        .agg(F.max(F.struct("_bits", *keys)).alias("_cut_key"))
+        .agg(F.max(F.struct("_bits", *keys)).alias("_cut"))
     )
-    return edge.select(label, F.col("_range").alias("_cut_range")).join(last, label, "left")
+    # Nulls come first in the order of structs: this lies just before the range's first row.
+    start = F.struct(F.shiftleft("_range", RANGE_BITS).alias("_bits"), *[F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys])
+    return edge.join(last, label, "left").select(label, F.coalesce("_cut", start).alias("_cut"))
 
 
 def stratified_split(
@@ -74,12 +72,8 @@ def stratified_split(
     """
     keys = list(keys)
     cut = lookup_join(df, _cuts(df, label, keys, fraction, salt, seed), label, "left")
-    bits = draw_bits(keys, salt, seed)
-    own = F.struct(bits.alias("_bits"), *keys)
-    inside = (_range_of(bits) < F.col("_cut_range")) | (
-        (_range_of(bits) == F.col("_cut_range")) & (own <= F.col("_cut_key"))
-    )
-    return cut.select(*df.columns, F.coalesce(inside, F.lit(False)).alias("in_train"))
+    own = F.struct(draw_bits(keys, salt, seed).alias("_bits"), *keys)
+    return cut.select(*df.columns, F.coalesce(own <= F.col("_cut"), F.lit(False)).alias("in_train"))
 
 
 def training(split: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from harkline.plans import tables as t
 from harkline.plans.tables import FEATURES, POSITIVE_GENRE, Query, with_sql
 
 EMBEDDING_SIZE = 64
-SUMMARY_DIGITS = {"mean": 8, "stddev": 5, "min": 8, "max": 8}
+SUMMARY_DIGITS = {"mean": 7, "stddev": 5, "min": 8, "max": 8}
 
 
 def feature_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,7 +88,7 @@ QUERIES = {
         feature_summary,
         with_sql(
             " UNION ALL ".join(
-                f"""SELECT '{c}' AS feature, count({c}) AS n, round(avg({c}), 8) AS mean,
+                f"""SELECT '{c}' AS feature, count({c}) AS n, round(avg({c}), 7) AS mean,
                     round(stddev_samp({c}), 5) AS stddev, round(min({c}), 8) AS min, round(max({c}), 8) AS max FROM features"""
                 for c in FEATURES
             )

@@ -52,7 +52,7 @@ def test_rows_that_share_a_key_stay_together(spark):
 
 
 def test_many_keys_in_one_draw_range(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "_range_of", lambda bits: F.shiftright(bits, 31))
+    monkeypatch.setattr(sampling, "RANGE_BITS", 31)
     df = spark.range(900).selectExpr("cast(id as string) AS track_id", "cast(id % 2 as int) AS class")
     split = sampling.stratified_split(df, "class", ["track_id"])
     ranked = sampling.class_row_number(df, "class", ["track_id"]).filter(F.col("row") < 450 * 0.8)
