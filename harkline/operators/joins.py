@@ -8,11 +8,26 @@ from harkline.operators.frozen import freeze
 
 # A lookup is broadcast up to this many values (rows x columns), a few tens of MB.
 BROADCAST_CELLS = 1_000_000
-# A key is hot if it holds more than 1/HOT_KEYS of the rows: at most HOT_KEYS are.
+# A key is hot if it holds more than 1/HOT_KEYS of the rows: fewer than HOT_KEYS are.
 HOT_KEYS = 1_000
+# Keys followed while looking for hot ones; four per hot key finds them reliably.
+TRACKED_KEYS = 4 * HOT_KEYS
 SALTS = 256
 
 
+def hot_hashes(facts: DataFrame, keys: list[str]) -> list[int]:
+    """Hashes of the hot keys, fewer than ``HOT_KEYS``, from one sketch over the key columns.
+
+    Each task sends a sketch of fixed size and no rows. A key the sketch misses, or
+    one that shares the hash of a hot key, costs speed only.
+    """
+    found = facts.select(F.xxhash64(*keys).alias("_hash")).agg(
+        F.expr(f"approx_top_k(_hash, {HOT_KEYS}, {TRACKED_KEYS})").alias("top"), F.count(F.lit(1)).alias("rows")
+    )
+    top, rows = found.head()
+    return [key["item"] for key in top or [] if key["count"] > rows / HOT_KEYS]
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -27,9 +42,9 @@ def lookup_join(
 
     Unless it is ``stored`` already (a table, or a plain scan of one), the lookup is
     written down first, so that it is computed once. Its size is then checked. A
-    small one is broadcast and the facts do not move. Otherwise both sides are shuffled, with the rows of each hot key
-    spread over ``SALTS`` values and the lookup's row for it repeated for each;
-    finding the hot keys takes one more pass over the key columns of ``facts``.
+    small one is broadcast and the facts do not move. Otherwise both sides are
+    shuffled, with the rows of each hot key, and those without a key, spread over
+    ``SALTS`` values and the lookup's row of a hot key repeated for each value.
     """
     keys = [on] if isinstance(on, str) else list(on)
     max_rows = (BROADCAST_CELLS if max_cells is None else max_cells) // len(lookup.columns)
@@ -38,20 +53,12 @@ def lookup_join(
     if lookup.limit(max_rows + 1).count() <= max_rows:
         return facts.join(F.broadcast(lookup), keys, how)
 
-    sizes = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    share = sizes.agg((F.sum("_rows") / HOT_KEYS).alias("share")).scalar()
-    hot = freeze(sizes.filter(F.col("_rows") > share).select(*keys, F.lit(True).alias("_hot")))
-
-    any_null = F.lit(False)
-    for key in keys:
-        any_null = any_null | F.col(key).isNull()
+    # Equal keys must hash alike on both sides.
+    lookup = lookup.withColumns({k: F.col(k).cast(facts.schema[k].dataType) for k in keys})
+    is_hot = F.xxhash64(*keys).isin(hot_hashes(facts, keys))
+    has_null = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
     spread = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
-    salted = facts.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | any_null, spread).otherwise(0)
-    )
     every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    repeated = lookup.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0))))
-    )
-    joined = salted.drop("_hot").join(repeated.drop("_hot"), [*keys, "_salt"], how)
-    return joined.drop("_salt")
+    salted = facts.withColumn("_salt", F.when(is_hot | has_null, spread).otherwise(0))
+    repeated = lookup.withColumn("_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -14,6 +14,9 @@ from harkline.operators.frozen import freeze
 from harkline.operators.joins import lookup_join
 from harkline.session import scratch_dir
 
+# Each task sorts its ratings into blocks x blocks piles, so their number is held down.
+MAX_BLOCKS = 500
+
 
 @dataclass(frozen=True)
 class Recommender:
@@ -80,7 +83,7 @@ def fit_recommender(
     songs = freeze(frequency_index(train, "song_id", "song_int"))
     indexed = apply_index(apply_index(train, users, "user_id"), songs, "song_id")
     scratch_dir(spark)  # names the folder in which the factorization cuts its lineage
-    blocks = max(10, spark.sparkContext.defaultParallelism)
+    blocks = min(max(10, spark.sparkContext.defaultParallelism), MAX_BLOCKS)
     als = ALS(
         userCol="user_int",
         itemCol="song_int",

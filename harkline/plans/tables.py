@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from harkline.operators import clean, features
 from harkline.operators.frozen import freeze
+from harkline.operators.joins import lookup_join
 from harkline.sources.text import parse_mismatches
 
 TABLES = (
@@ -52,11 +53,11 @@ def _code_sql(letter: str, key: str) -> str:
 
 def triplets(spark: SparkSession, sf: str) -> DataFrame:
     """``(user_id, song_id, play_count)``, one row per pair."""
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    plays = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return (
-        plays.groupBy("o_custkey", "l_partkey")
+        lookup_join(lines, orders, "l_orderkey", "inner", stored=True)
+        .groupBy("o_custkey", "l_partkey")
         .agg(F.sum("l_quantity").cast("int").alias("play_count"))
         .select(_code("U", "o_custkey").alias("user_id"), _code("S", "l_partkey").alias("song_id"), "play_count")
     )

@@ -6,7 +6,7 @@ from itertools import accumulate
 import pytest
 from pyspark.sql import functions as F
 
-from harkline.operators import clean, profile, ranking
+from harkline.operators import clean, joins, profile, ranking
 from harkline.operators.frozen import freeze
 from harkline.operators.joins import lookup_join
 from harkline.operators.running import rank_within, running_total
@@ -49,10 +49,38 @@ def test_lookup_join_equals_plain_join(spark, facts, how, max_cells):
     assert sorted(map(repr, ours.collect())) == sorted(map(repr, plain.collect()))
 
 
+def test_hot_keys_are_found(spark, facts, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_KEYS", 20)
+    expected = facts.groupBy("key").count().filter("count > 6000 / 20").select(F.xxhash64("key")).collect()
+    assert sorted(joins.hot_hashes(facts, ["key"])) == sorted(r[0] for r in expected)
+    assert joins.hot_hashes(facts.limit(0), ["key"]) == []
+
+
+@pytest.mark.parametrize("hot", [[], None])
+def test_hot_keys_matter_for_speed_only(spark, facts, monkeypatch, hot):
+    lookup = spark.createDataFrame([("hot", 1), ("k1", 2)], "key string, w int")
+    if hot is None:
+        hot = [r[0] for r in facts.select(F.xxhash64("key")).distinct().collect()]
+    monkeypatch.setattr(joins, "hot_hashes", lambda *_: hot)
+    ours = lookup_join(facts, lookup, "key", "inner", max_cells=0)
+    assert sorted(ours.collect()) == sorted(facts.join(lookup, "key").collect())
+
+
 def test_large_lookup_spreads_the_hot_key(spark, facts):
-    lookup = spark.createDataFrame([("hot",), ("k1",)], "key string")
-    plan = lookup_join(facts, lookup, "key", "left_anti", max_cells=0)._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        lookup = spark.createDataFrame([("hot", 1), ("k1", 2)], "key string, w int")
+        joined = lookup_join(facts, lookup, "key", "inner", max_cells=0).filter("key = 'hot'")
+        assert joined.groupBy(F.spark_partition_id()).count().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lookup_key_of_another_type(spark):
+    facts = spark.range(100).selectExpr("id AS key", "id % 7 AS v")
+    lookup = spark.range(0, 100, 3).selectExpr("cast(id AS int) AS key", "1 AS w")
+    for max_cells in (None, 0):
+        assert lookup_join(facts, lookup, "key", "inner", max_cells=max_cells).count() == 34
 
 
 def test_lookup_join_on_two_keys(spark, facts):
