@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -44,20 +46,26 @@ TREATMENTS: dict[str, Callable[[DataFrame, Sequence[str]], DataFrame]] = {
 }
 
 
-def fit_all(train: DataFrame, keys: Sequence[str], learners: Sequence[str] = tuple(LEARNERS)) -> dict[tuple[str, str], Model]:
+def fit_all(
+    train: DataFrame, keys: Sequence[str], learners: Sequence[str] = tuple(LEARNERS), parallelism: int = 4
+) -> dict[tuple[str, str], Model]:
     """Every learner on every treatment, and logistic regression on weighted rows.
 
-    Each treated set is written down once, for all learners that use it.
+    Each treated set is written down once, for all learners that use it. Up to
+    ``parallelism`` fits share the cluster at a time.
     """
-    models: dict[tuple[str, str], Model] = {}
+    fits: dict[tuple[str, str], tuple[Estimator, DataFrame]] = {}
     for treatment, treat in TREATMENTS.items():
         treated = freeze(treat(train, keys).select("features", "class"))
         for learner in learners:
-            models[learner, treatment] = LEARNERS[learner]().fit(treated)
+            fits[learner, treatment] = LEARNERS[learner](), treated
     if "logistic regression" in learners:
         weighted = freeze(sampling.class_weight(train, "class").select("features", "class", "weight"))
-        models["logistic regression", "weighted"] = logistic_regression("weight").fit(weighted)
-    return models
+        fits["logistic regression", "weighted"] = logistic_regression("weight"), weighted
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        fit = inheritable_thread_target(lambda estimator_and_rows: estimator_and_rows[0].fit(estimator_and_rows[1]))
+        return dict(zip(fits, pool.map(fit, fits.values())))
 
 
 def score(model: Model, rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -50,7 +50,7 @@ def lookup_join(
     max_rows = (BROADCAST_CELLS if max_cells is None else max_cells) // len(lookup.columns)
     if not stored:
         lookup = freeze(lookup)
-    if lookup.limit(max_rows + 1).count() <= max_rows:
+    if lookup.count() <= max_rows:
         return facts.join(F.broadcast(lookup), keys, how)
 
     # Equal keys must hash alike on both sides.
