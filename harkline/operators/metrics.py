@@ -102,7 +102,9 @@ def ovr_auroc(scored: DataFrame, scores: str = "probability", label: str = "clas
     return auroc(long, "score", "_hit", by=["class"])
 
 
-def ranking_per_user(recommended: DataFrame, relevant: DataFrame, k: int, user: str = "user_id", item: str = "song_id") -> DataFrame:
+def ranking_per_user(
+    recommended: DataFrame, relevant: DataFrame, k: int, user: str = "user_id", item: str = "song_id"
+) -> DataFrame:
     """``(user, precision, ndcg, average_precision)`` at ``k``.
 
     ``recommended`` is ``(user, position, item)`` with positions from 1, ``relevant``
@@ -135,7 +137,9 @@ def ranking_per_user(recommended: DataFrame, relevant: DataFrame, k: int, user:
     )
 
 
-def ranking_metrics(recommended: DataFrame, relevant: DataFrame, k: int, user: str = "user_id", item: str = "song_id") -> DataFrame:
+def ranking_metrics(
+    recommended: DataFrame, relevant: DataFrame, k: int, user: str = "user_id", item: str = "song_id"
+) -> DataFrame:
     """One row: users, precision, NDCG and mean average precision at ``k``."""
     per_user = ranking_per_user(recommended, relevant, k, user, item)
     return per_user.agg(

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from harkline.operators.frozen import freeze
 
+# A part holds at most two to this power rows.
+PART_BITS = 22
+
 
 def running_total(
     df: DataFrame, totals: dict[str, Column], order: Sequence[Column], within: Sequence[str] = ()
@@ -18,21 +21,25 @@ def running_total(
 
     A window over ``within`` alone would sort a whole group in one task. Here the
     rows are range partitioned by group *and* order, so a large group spreads over
-    many partitions; each partition adds up its own rows, and what earlier
-    partitions hold of the same group is added on top. Only the group that a
-    partition begins with can have started earlier, so there is at most one such
-    amount per partition, which is what bounds the broadcast.
+    many partitions, and cut into parts of at most ``2 ** PART_BITS`` rows. Each part
+    adds up its own rows, and what earlier parts hold of the same group is added on
+    top. Only the group that a part begins with can have started earlier, so there
+    is at most one such amount per part, which is what bounds the broadcast.
     """
     group = list(within)
     ordering = [*[F.col(g).asc() for g in group], *order]
     laid = df.select("*", *[e.cast("long").alias(f"_add_{n}") for n, e in totals.items()])
     laid = laid.repartitionByRange(*ordering).sortWithinPartitions(*ordering)
-    # Written down, since a second run may number or fill partitions differently.
-    laid = freeze(laid.withColumn("_part", F.spark_partition_id()))
+    # Written down, since a second run may number or fill partitions differently. The
+    # id counts rows in their order: partitions in its upper bits, rows in its lower.
+    row = F.monotonically_increasing_id()
+    starts = row.bitwiseAND(2**PART_BITS - 1) == 0
+    laid = freeze(laid.select("*", F.shiftright(row, PART_BITS).alias("_part"), starts.alias("_starts")))
 
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        laid.groupBy("_part", *group)
+        _spanning(laid, group)
+        .groupBy("_part", *group)
         .agg(*[F.sum(f"_add_{n}").alias(n) for n in totals])
         .select(
             F.col("_part").alias("_carry_part"),
@@ -59,6 +66,15 @@ def running_total(
     )
 
 
+def _spanning(laid: DataFrame, group: list[str]) -> DataFrame:
+    """Rows of the groups that some part begins with, the only ones that can lie in several parts."""
+    if not group:
+        return laid
+    groups = laid.filter("_starts").select(*[F.col(g).alias(f"_first_{g}") for g in group]).distinct()
+    same = [F.col(g).eqNullSafe(F.col(f"_first_{g}")) for g in group]
+    return laid.join(F.broadcast(groups), same, "left_semi")
+
+
 def rank_within(df: DataFrame, name: str, order: Sequence[Column], within: Sequence[str] = ()) -> DataFrame:
     """Adds the 1-based row number in ``order`` inside each group."""
     return running_total(df, {name: F.lit(1)}, order, within)

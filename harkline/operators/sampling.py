@@ -55,7 +55,8 @@ def _cuts(df: DataFrame, label: str, keys: list[str], fraction: float, salt: str
         .agg(F.max(F.struct("_bits", *keys)).alias("_cut"))
     )
     # Nulls come first in the order of structs: this lies just before the range's first row.
-    start = F.struct(F.shiftleft("_range", RANGE_BITS).alias("_bits"), *[F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys])
+    no_key = [F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys]
+    start = F.struct(F.shiftleft("_range", RANGE_BITS).alias("_bits"), *no_key)
     return edge.join(last, label, "left").select(label, F.coalesce("_cut", start).alias("_cut"))
 
 

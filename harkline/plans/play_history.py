@@ -51,7 +51,8 @@ def activity_density(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _DENSITY = with_sql(
-    f"""SELECT round(x, 6) AS x, round(sum(exp(-pow((x - v) / h, 2) / 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 9) AS density
+    f"""SELECT round(x, 6) AS x,
+            round(sum(exp(-pow((x - v) / h, 2) / 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 9) AS density
         FROM activity JOIN points ON true GROUP BY x""",
     activity="SELECT sum(play_count)::DOUBLE AS v FROM clean_triplets GROUP BY user_id",
     shape="""SELECT count(*) AS n, min(v) AS lo, max(v) - min(v) AS span,

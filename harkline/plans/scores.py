@@ -118,7 +118,8 @@ _LISTS = {
         FROM lists l JOIN sizes USING (user_id) LEFT JOIN test t ON l.user_id = t.user_id AND l.song_id = t.song_id""",
     "counted": """SELECT *, sum(hit) OVER (PARTITION BY user_id ORDER BY position) AS so_far FROM hits""",
     "per_user": f"""SELECT user_id, sum(hit) / {K}::DOUBLE AS precision_at_k,
-        sum(hit / log2(position + 1)) / list_sum(list_transform(range(1, least(any_value(n_relevant), {K}) + 1), lambda i: 1 / log2(i + 1))) AS ndcg_at_k,
+        sum(hit / log2(position + 1)) / list_sum(list_transform(range(1, least(any_value(n_relevant), {K}) + 1),
+            lambda i: 1 / log2(i + 1))) AS ndcg_at_k,
         sum(hit * so_far / position::DOUBLE) / least(any_value(n_relevant), {K}) AS map_at_k
         FROM counted GROUP BY user_id""",
 }
@@ -144,7 +145,8 @@ QUERIES = {
             """SELECT *, round(tp / pos_pred::DOUBLE, 9) AS precision, round(tp / pos_actual::DOUBLE, 9) AS recall,
                 round((tp + tn) / total::DOUBLE, 9) AS accuracy FROM counts""",
             **_BINARY,
-            counts="""SELECT count(*) AS total, count(*) FILTER (class = 1) AS pos_actual, count(*) FILTER (class = 0) AS neg_actual,
+            counts="""SELECT count(*) AS total,
+                count(*) FILTER (class = 1) AS pos_actual, count(*) FILTER (class = 0) AS neg_actual,
                 count(*) FILTER (prediction = 1) AS pos_pred, count(*) FILTER (prediction = 0) AS neg_pred,
                 count(*) FILTER (prediction = 1 AND class = 1) AS tp, count(*) FILTER (prediction = 1 AND class = 0) AS fp,
                 count(*) FILTER (prediction = 0 AND class = 1) AS fn, count(*) FILTER (prediction = 0 AND class = 0) AS tn

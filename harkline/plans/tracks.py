@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from harkline.operators import clean, correlate, features, profile
 from harkline.operators.frozen import freeze
 from harkline.plans import tables as t
-from harkline.plans.tables import FEATURES, POSITIVE_GENRE, Query, with_sql
+from harkline.plans.tables import FEATURES, Query, with_sql
 
 EMBEDDING_SIZE = 64
 SUMMARY_DIGITS = {"mean": 7, "stddev": 5, "min": 8, "max": 8}
@@ -104,8 +104,10 @@ QUERIES = {
     ),
     "wide_correlation": Query(
         wide_correlation,
-        f"""WITH long AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS at FROM embeddings)
-            SELECT 'v' || lpad(a.at::VARCHAR, 2, '0') AS i, 'v' || lpad(b.at::VARCHAR, 2, '0') AS j, round(corr(a.v, b.v), 6) AS corr
+        f"""WITH long AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS at
+                FROM embeddings)
+            SELECT 'v' || lpad(a.at::VARCHAR, 2, '0') AS i, 'v' || lpad(b.at::VARCHAR, 2, '0') AS j,
+                round(corr(a.v, b.v), 6) AS corr
             FROM long a JOIN long b ON a.vec_id = b.vec_id AND a.at < b.at AND b.at <= {EMBEDDING_SIZE} GROUP BY a.at, b.at""",
     ),
     "assembled": Query(

@@ -82,7 +82,8 @@ def test_ranking_equals_the_library(spark, k):
     )
     relevant = spark.createDataFrame([(u, s) for u, (_, songs) in lists.items() for s in songs], "user_id int, song_id int")
     got = metrics.ranking_metrics(recommended, relevant, k).head()
-    library = RankingMetrics(spark.sparkContext.parallelize([(list(map(float, a)), list(map(float, b))) for a, b in lists.values()]))
+    pairs = [(list(map(float, a)), list(map(float, b))) for a, b in lists.values()]
+    library = RankingMetrics(spark.sparkContext.parallelize(pairs))
     assert got["n_users"] == 60
     assert got["precision_at_k"] == pytest.approx(library.precisionAt(k), abs=1e-12)
     assert got["ndcg_at_k"] == pytest.approx(library.ndcgAt(k), abs=1e-12)
@@ -91,7 +92,8 @@ def test_ranking_equals_the_library(spark, k):
 
 def test_items_by_score(spark):
     df = spark.createDataFrame([([(1, 0.5), (4, 0.9), (3, 0.9), (2, 0.1)],), ([],)], "r array<struct<item:int,score:float>>")
-    listed = df.select(items_by_score(F.col("r"), "item", "score").alias("all"), items_by_score(F.col("r"), "item", "score", 2).alias("top"))
+    ordered = items_by_score(F.col("r"), "item", "score")
+    listed = df.select(ordered.alias("all"), items_by_score(F.col("r"), "item", "score", 2).alias("top"))
     assert [(r["all"], r["top"]) for r in listed.collect()] == [([3, 4, 1, 2], [3, 4]), ([], [])]
 
 

@@ -1,7 +1,6 @@
 """Models learn a learnable label, and recommendations keep their promises."""
 
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from harkline.operators import classify, features, metrics, sampling

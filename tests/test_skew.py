@@ -6,7 +6,7 @@ from itertools import accumulate
 import pytest
 from pyspark.sql import functions as F
 
-from harkline.operators import clean, joins, profile, ranking
+from harkline.operators import clean, joins, profile, ranking, running
 from harkline.operators.frozen import freeze
 from harkline.operators.joins import lookup_join
 from harkline.operators.running import rank_within, running_total
@@ -91,7 +91,9 @@ def test_lookup_join_on_two_keys(spark, facts):
 
 
 @pytest.mark.parametrize("within", [(), ("key",)])
-def test_running_total(facts, within):
+@pytest.mark.parametrize("part_bits", [running.PART_BITS, 5])
+def test_running_total(facts, within, part_bits, monkeypatch):
+    monkeypatch.setattr(running, "PART_BITS", part_bits)
     order = [F.desc("v"), F.asc("id")]
     got = running_total(facts, {"rows": F.lit(1), "total": F.col("v")}, order, within)
     assert got.columns == ["id", "key", "v", "rows", "total"]
