@@ -33,7 +33,9 @@ class Limits:
     min_chars_compared: int = 200
     max_char_distance: float = 0.31
     min_words_compared: int = 50
-    max_word_distance: float = 0.36
+    max_word_distance: float = 0.33
+    #: A histogram of few words strays: a text of n words may be farther by this over the root of n.
+    word_noise: float = 0.6
 
 
 def _class_table() -> np.ndarray:
@@ -175,7 +177,7 @@ def _judge(references: list[dict], limits: Limits):
                     hit = known[np.minimum(place, len(known) - 1)] == own if len(known) else np.zeros(len(own), bool)
                     far[1, i] = js_distance(np.bincount(np.where(hit, place, len(known)), minlength=len(known) + 1), reference)
             failed = (n_words < limits.min_words) | (100 * repeat > limits.max_repeat_percent * n_words)
-            kept = ~failed & (far[0] <= limits.max_char_distance) & (far[1] <= limits.max_word_distance)
+            kept = ~failed & (far[0] <= limits.max_char_distance) & (far[1] <= limits.max_word_distance + limits.word_noise / np.sqrt(np.maximum(n_words, 1)))
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": chunk.column("doc_id"), "text_key": chunk.column("text_key"),
