@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harkline.llm import mixing, quality, rollup, secrets, urls
+from harkline.llm import decontaminate, mixing, quality, rollup, secrets, urls
 from harkline.operators.frozen import freeze
 from harkline.plans.tables import Query, table
 from harkline.session import tables_dir
@@ -14,6 +14,11 @@ from harkline.session import tables_dir
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 
 
+def op1_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    items = decontaminate.question_and_answer(table(spark, sf, "benchmark"))
+    return decontaminate.find_items(table(spark, sf, "documents"), items).drop("text_key")
+
+
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf, "documents")).drop("text_key")
 
@@ -64,6 +69,7 @@ def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": Query(op1_decontamination),
     "op4_url_filter": Query(op4_url_filter),
     "op6_token_counts": Query(op6_token_counts, OP6_SQL),
     "op3_quality_rules": Query(op3_quality_rules),
