@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harkline.llm import decontaminate, mixing, quality, rollup, secrets, urls
+from harkline.llm import decontaminate, lines, mixing, quality, repeats, rollup, secrets, urls
 from harkline.operators.frozen import freeze
 from harkline.plans.tables import Query, table
 from harkline.session import tables_dir
@@ -19,6 +19,11 @@ def op1_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf, "documents"), items).drop("text_key")
 
 
+def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = repeats.drop_repeats(table(spark, sf, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf, "documents")).drop("text_key")
 
@@ -55,6 +60,11 @@ OP6_SQL = """
     FROM counted WHERE doc_id % 7 <> 3 GROUP BY ALL"""
 
 
+def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = lines.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return kept.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
+
+
 def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     scanned = secrets.scan_secrets(table(spark, sf, "documents"))
     return scanned.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
@@ -72,7 +82,9 @@ QUERIES = {
     "op1_decontamination": Query(op1_decontamination),
     "op4_url_filter": Query(op4_url_filter),
     "op6_token_counts": Query(op6_token_counts, OP6_SQL),
+    "op2_substring_dedup": Query(op2_substring_dedup),
     "op3_quality_rules": Query(op3_quality_rules),
+    "op7_line_dedup": Query(op7_line_dedup),
     "op9_secret_scan": Query(op9_secret_scan),
     "op10_source_mix": Query(op10_source_mix),
 }
