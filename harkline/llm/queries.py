@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harkline.llm import decontaminate, lines, mixing, quality, repeats, rollup, secrets, urls
+from harkline.llm import decontaminate, jaccard, lines, mixing, quality, repeats, rollup, secrets, urls
 from harkline.operators.frozen import freeze
 from harkline.plans.tables import Query, table
 from harkline.session import tables_dir
@@ -32,6 +32,10 @@ def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf, "pages"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Four batches: every document; a seventh of them deleted; a fifth of the rest revised to two tokens
     more; and the first batch sent again, which changes nothing."""
@@ -81,6 +85,7 @@ def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": Query(op1_decontamination),
     "op4_url_filter": Query(op4_url_filter),
+    "op5_ngram_jaccard": Query(op5_ngram_jaccard),
     "op6_token_counts": Query(op6_token_counts, OP6_SQL),
     "op2_substring_dedup": Query(op2_substring_dedup),
     "op3_quality_rules": Query(op3_quality_rules),
