@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harkline.llm import decontaminate, jaccard, lines, mixing, quality, repeats, rollup, secrets, urls
+from harkline.llm import classlm, decontaminate, jaccard, lines, mixing, quality, repeats, rollup, secrets, urls
 from harkline.operators.frozen import freeze
 from harkline.plans.tables import Query, table
 from harkline.session import tables_dir
@@ -69,6 +69,10 @@ def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
 
 
+def op8_class_lm(spark: SparkSession, sf: str) -> DataFrame:
+    return classlm.score_texts(table(spark, sf, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     scanned = secrets.scan_secrets(table(spark, sf, "documents"))
     return scanned.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
@@ -90,6 +94,7 @@ QUERIES = {
     "op2_substring_dedup": Query(op2_substring_dedup),
     "op3_quality_rules": Query(op3_quality_rules),
     "op7_line_dedup": Query(op7_line_dedup),
+    "op8_class_lm": Query(op8_class_lm),
     "op9_secret_scan": Query(op9_secret_scan),
     "op10_source_mix": Query(op10_source_mix),
 }
