@@ -43,7 +43,7 @@ _BITS = 48
 
 _SENT = "range int, block long, kind int, grams binary, held binary, docs binary"
 _BACK = "block long, kind int, grams binary, held binary, docs binary, total binary"
-_SETS = "doc long, n long, node long, alone long, grams binary, first array<long>"
+_SETS = "doc long, text_key long, n long, node long, alone long, grams binary, first array<long>"
 
 
 def shingle_sets(texts: list[bytes | None], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,6 +85,7 @@ def _send(ranges: int):
             distinct, held = short[begin], np.diff(np.append(begin, len(short)))
             many = np.repeat(held > MANY, held)
             rows = [(number % ranges, block, 2, T.pack(chunk.column("doc").to_numpy()), T.pack(n.astype(np.uint32)), T.pack(nodes))]
+            rows.append((number % ranges, block, 3, T.pack(chunk.column("text_key").to_numpy()), b"", b""))
             if many.any():
                 rows.append((number % ranges, block, 1, T.pack_sorted(distinct[held > MANY]), T.pack(held[held > MANY].astype(np.uint32)), T.pack(doc[many])))
             few = np.concatenate([[0], np.cumsum(np.where(held > MANY, 0, held))])
@@ -132,6 +133,8 @@ def _gather(table: pa.Table) -> pa.Table:
     for r in table.to_pylist():
         if r["kind"] == 2:
             meta = (T.unpack(r["grams"], np.int64), T.unpack(r["held"], np.uint32).astype(np.int64), T.unpack(r["docs"], np.int64))
+        elif r["kind"] == 3:
+            keys = T.unpack(r["grams"], np.int64)
         elif r["kind"] == 1:
             many = (T.unpack_sorted(r["grams"], np.uint64), T.unpack(r["held"], np.uint32), T.unpack(r["docs"], np.uint32))
         else:
@@ -163,7 +166,7 @@ def _gather(table: pa.Table) -> pa.Table:
             firsts.append(None)
             sets.append(None)
     return pa.table(
-        {"doc": ids, "n": n, "node": nodes, "alone": alone, "grams": pa.array(sets, pa.binary()), "first": pa.array(firsts, pa.list_(pa.int64()))}
+        {"doc": ids, "text_key": keys, "n": n, "node": nodes, "alone": alone, "grams": pa.array(sets, pa.binary()), "first": pa.array(firsts, pa.list_(pa.int64()))}
     )
 
 
@@ -190,7 +193,8 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``class_id`` of every row of ``docs`` (``doc_id``, ``text``).
+    """``doc_id``, ``text_key`` (a hash of the text), ``n_shingles``, ``component_id`` and ``class_id`` of every row of ``docs``
+    (``doc_id``, ``text``).
 
     ``component_id`` is the smallest id of all documents that a document is linked to, directly or over others;
     ``class_id`` the smallest of those with the same set. A text without words has no shingle and stands alone. Rows with
@@ -199,7 +203,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(2 * partitions, T.text_bytes(docs) // RANGE_BYTES)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("text_key"), "text")
     sent = rows.mapInArrow(_send(ranges), _SENT)
     back = sent.groupBy("range").applyInArrow(_count, _BACK)
     held = freeze(back.groupBy("block").applyInArrow(_gather, _SETS))
@@ -237,6 +241,17 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     linked = F.col("grams").isNotNull() & (F.col("node") == F.col("of_node"))
     known = lambda c: F.when(c != _LAST, c)
     return held.join(members, linked, "left").select(
-        known(F.col("doc")).alias("doc_id"), F.col("n").alias("n_shingles"),
+        known(F.col("doc")).alias("doc_id"), "text_key", F.col("n").alias("n_shingles"),
         known(F.coalesce("component_id", "doc")).alias("component_id"), known(F.coalesce("class_id", "doc")).alias("class_id"),
     )
+
+
+def keep_one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that are the first of their component, as they are.
+
+    Rows with one id and one text are one document. Documents without an id stay if they are linked to none with one.
+    """
+    others = jaccard_components(docs, percent).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    others = others.select(F.col("doc_id").alias("_llm_id"), F.col("text_key").alias("_llm_key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_llm_id")) & (F.xxhash64("text") == F.col("_llm_key"))
+    return docs.join(others, same, "left_anti")

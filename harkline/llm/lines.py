@@ -84,30 +84,29 @@ def _print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["doc", "text_key", "at", "print", "runs"])
 
 
+def without_runs(text: bytes | None, spans: list[dict] | None) -> tuple[int, int, bytes | None]:
+    """Lines with a word, how many of them go, and the text without them and the blank lines between them."""
+    at, _ = line_hashes(text)
+    hit = np.zeros(len(at) + 1, bool)
+    for s in spans or []:
+        hit[s["start"] : s["stop"]] = True
+    if not hit.any():
+        return len(at), 0, text
+    lines = text.split(b"\n")
+    out = np.zeros(len(lines), bool)
+    for i, a in enumerate(at):
+        if hit[i]:
+            out[a : at[i + 1] if hit[i + 1] else a + 1] = True
+    return len(at), int(hit.sum()), b"\n".join(line for line, o in zip(lines, out) if not o)
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for chunk in T.chunks(batches):
-        counts, gone, kept = [], [], []
-        for text, spans in zip(T.raw(chunk.column("text")), chunk.column("spans").to_pylist()):
-            at, _ = line_hashes(text)
-            hit = np.zeros(len(at), bool)
-            for s in spans or []:
-                hit[s["start"] : s["stop"]] = True
-            counts.append(len(at))
-            gone.append(int(hit.sum()))
-            if not hit.any():
-                kept.append(text)
-                continue
-            lines, out = text.split(b"\n"), np.zeros(text.count(b"\n") + 1, bool)
-            for i, (a, is_hit) in enumerate(zip(at, hit)):
-                if is_hit:
-                    out[a] = True
-                    if i + 1 < len(at) and hit[i + 1]:
-                        out[a : at[i + 1]] = True  # and blank lines between
-            kept.append(b"\n".join(line for line, o in zip(lines, out) if not o))
-        rest = chunk.select([n for n in chunk.schema.names if n not in ("text", "spans")])
-        for name, column in (("text", pa.array(kept, pa.binary()).cast(pa.string())), ("line_count", pa.array(counts, pa.int64())), ("lines_removed", pa.array(gone, pa.int64()))):
-            rest = rest.append_column(name, column)
-        yield rest
+        counts, gone, kept = zip(*map(without_runs, T.raw(chunk.column("text")), chunk.column("spans").to_pylist()))
+        kept = pa.array(kept, pa.binary()).cast(pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [chunk.column("row"), kept, pa.array(counts, pa.int64()), pa.array(gone, pa.int64())], names=["row", "text", "line_count", "lines_removed"]
+        )
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
@@ -124,18 +123,23 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` without lines of runs that occur earlier, with ``line_count`` and ``lines_removed``.
+    """``row`` (all columns of a row of ``docs``), ``text`` without lines of runs that occur earlier, ``line_count``, ``lines_removed``.
 
     Earlier is a smaller ``doc_id``, or the same and an earlier line. All lines of any run of ``SURE_LINES`` lines or more
     that occurs earlier go, and no line that isn't in a run of ``MIN_LINES`` lines that does; runs are
     judged on the input. A text that keeps all its lines keeps its bytes.
 
     Null and empty texts stay as they are, a null id is the last. Rows with one id and one text are one
-    document and lose the same lines. Other columns pass through. No rows give no rows.
+    document and lose the same lines. No rows give no rows. ``docs`` must read alike each time (a stored table).
     """
     spans = repeated_runs(docs).distinct().groupBy("doc", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    same = (F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)) == F.col("_doc")) & (F.xxhash64("text") == F.col("_key"))
-    rows = docs.join(spans.select(F.col("doc").alias("_doc"), F.col("text_key").alias("_key"), "spans"), same, "left").drop("_doc", "_key")
-    schema = [f for f in docs.schema.fields if f.name != "text"]
-    out = docs.select(*[f.name for f in schema], "text").limit(0).withColumns({"line_count": F.lit(0).cast("long"), "lines_removed": F.lit(0).cast("long")}).schema
-    return rows.mapInArrow(_cut, out)
+    rows = docs.select(F.struct("*").alias("row"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("text_key"))
+    rows = rows.join(spans, ["doc", "text_key"], "left").select("row", "text", "spans")
+    added = rows.select("row", "text").limit(0).withColumns({c: F.lit(0).cast("long") for c in ("line_count", "lines_removed")})
+    return rows.mapInArrow(_cut, added.schema)
+
+
+def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` with the lines that stay; a document of which no word is left goes, if it had lines that went."""
+    left = dedup_lines(docs).filter((F.col("lines_removed") == 0) | (F.col("lines_removed") < F.col("line_count")))
+    return left.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

@@ -148,47 +148,44 @@ _JUDGED = (
 )
 
 
-def _judge(references: list[dict], limits: Limits):
-    """What judges batches of texts by references and limits, both small."""
+class Judge:
+    """Judges texts by references and limits, both small."""
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chars = {r["lang"]: np.array(r["classes"], float) for r in references}
-        probes = {}
+    def __init__(self, references: list[dict], limits: Limits):
+        self.limits = limits
+        self.chars = {r["lang"]: np.array(r["classes"], float) for r in references}
+        self.common = {}
         for r in references:
             hashed = T.words_of([w.encode() for w in r["words"]]).hashes()
             order = np.argsort(hashed)
-            held = np.array([*r["words"].values(), r["others"]], float)
-            probes[r["lang"]] = (hashed[order], np.append(held[order], held[-1]))
-        for chunk in T.chunks(batches):
-            texts, langs = T.raw(chunk.column("text")), chunk.column("lang").to_pylist()
-            words = T.words_of(texts)
-            n_words = np.diff(words.first)
-            begins = (words.buffer & 0xC0) != 0x80
-            repeat = _repeat_words(words)
-            hashes = T.words_of(texts, lower=True).hashes()
-            far = np.zeros((2, len(texts)))
-            for i, (lang, counts) in enumerate(zip(langs, _class_counts(words))):
-                if lang in chars and counts.sum() >= limits.min_chars_compared:
-                    far[0, i] = js_distance(counts, chars[lang])
-                if lang in probes and n_words[i] >= limits.min_words_compared:
-                    known, reference = probes[lang]
-                    own = hashes[words.first[i] : words.first[i + 1]]
-                    place = np.searchsorted(known, own)
-                    hit = known[np.minimum(place, len(known) - 1)] == own if len(known) else np.zeros(len(own), bool)
-                    far[1, i] = js_distance(np.bincount(np.where(hit, place, len(known)), minlength=len(known) + 1), reference)
-            failed = (n_words < limits.min_words) | (100 * repeat > limits.max_repeat_percent * n_words)
-            kept = ~failed & (far[0] <= limits.max_char_distance) & (far[1] <= limits.max_word_distance + limits.word_noise / np.sqrt(np.maximum(n_words, 1)))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": chunk.column("doc_id"), "text_key": chunk.column("text_key"),
-                    "n_words": n_words.astype(np.int64), "word_chars": _within(begins & ~T.is_space(words.buffer), words.at),
-                    "n_symbols": _within(_IS_SYMBOL[words.buffer], words.at),
-                    "n_dup_lines": np.array([_dup_lines(t) for t in texts], np.int64), "n_repeat_words": repeat,
-                    "char_distance": far[0], "word_distance": far[1], "base_failed": failed, "kept": kept,
-                }
-            )
-
-    return judge
+            counts = np.array([*r["words"].values(), r["others"]], float)
+            self.common[r["lang"]] = (hashed[order], np.append(counts[:-1][order], counts[-1]))
+
+    def word_distance(self, hashes: np.ndarray, lang: str | None) -> float:
+        known, reference = self.common[lang]
+        place = np.searchsorted(known, hashes)
+        hit = known[np.minimum(place, len(known) - 1)] == hashes if len(known) else np.zeros(len(hashes), bool)
+        return js_distance(np.bincount(np.where(hit, place, len(known)), minlength=len(known) + 1), reference)
+
+    def verdicts(self, texts: list[bytes | None], langs: list[str | None]) -> dict[str, np.ndarray]:
+        limits, words = self.limits, T.words_of(texts)
+        n_words, repeat = np.diff(words.first), _repeat_words(words)
+        begins = (words.buffer & 0xC0) != 0x80
+        hashes = T.words_of(texts, lower=True).hashes()
+        far = np.zeros((2, len(texts)))
+        for i, (lang, counts) in enumerate(zip(langs, _class_counts(words))):
+            if lang in self.chars and counts.sum() >= limits.min_chars_compared:
+                far[0, i] = js_distance(counts, self.chars[lang])
+            if lang in self.common and n_words[i] >= limits.min_words_compared:
+                far[1, i] = self.word_distance(hashes[words.first[i] : words.first[i + 1]], lang)
+        failed = (n_words < limits.min_words) | (100 * repeat > limits.max_repeat_percent * n_words)
+        close = far[1] <= limits.max_word_distance + limits.word_noise / np.sqrt(np.maximum(n_words, 1))
+        return {
+            "n_words": n_words.astype(np.int64), "word_chars": _within(begins & ~T.is_space(words.buffer), words.at),
+            "n_symbols": _within(_IS_SYMBOL[words.buffer], words.at), "n_dup_lines": np.array([_dup_lines(t) for t in texts], np.int64),
+            "n_repeat_words": repeat, "char_distance": far[0], "word_distance": far[1],
+            "base_failed": failed, "kept": ~failed & (far[0] <= limits.max_char_distance) & close,
+        }
 
 
 def judge_quality(docs: DataFrame, limits: Limits = Limits(), references: list[dict] | None = None) -> DataFrame:
@@ -201,13 +198,23 @@ def judge_quality(docs: DataFrame, limits: Limits = Limits(), references: list[d
     A null or empty text has no words, so it fails for length. A null language is a language. Equal
     rows get equal verdicts. No rows give no rows. Other columns do not matter.
     """
-    references = language_references(docs, limits) if references is None else references
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text", "lang")
-    return rows.mapInArrow(_judge(references, limits), _JUDGED)
+    made = Judge(language_references(docs, limits) if references is None else references, limits)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in T.chunks(batches):
+            found = made.verdicts(T.raw(chunk.column("text")), chunk.column("lang").to_pylist())
+            yield pa.RecordBatch.from_pydict({"doc_id": chunk.column("doc_id"), "text_key": chunk.column("text_key"), **found})
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text", "lang")
+    return rows.mapInArrow(judge, _JUDGED)
 
 
 def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """The rows of ``docs`` that pass, as they are."""
-    passed = judge_quality(docs, limits).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-    return docs.join(passed, same, "left_semi")
+    """The rows of ``docs`` that pass, as they are. Rows are not moved."""
+    made = Judge(language_references(docs, limits), limits)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in T.chunks(batches):
+            yield chunk.filter(pa.array(made.verdicts(T.raw(chunk.column("text")), chunk.column("lang").to_pylist())["kept"]))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -33,7 +33,7 @@ def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf, "documents"))
+    return jaccard.jaccard_components(table(spark, sf, "documents")).drop("text_key")
 
 
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,8 +65,8 @@ OP6_SQL = """
 
 
 def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    kept = lines.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
-    return kept.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
+    kept = lines.dedup_lines(table(spark, sf, "documents"))
+    return kept.select("row.doc_id", "line_count", "lines_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op8_class_lm(spark: SparkSession, sf: str) -> DataFrame:
