@@ -70,7 +70,7 @@ def first_part(n: np.ndarray | int, percent: int = PERCENT) -> np.ndarray | int:
     return n - (n * percent + 99) // 100 + 1
 
 
-def _send(ranges: int):
+def _send(ranges: int, most: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         for number, chunk in enumerate(T.chunks(batches)):
@@ -83,12 +83,12 @@ def _send(ranges: int):
             short, doc = short[order], doc[order].astype(np.uint32)
             begin = np.flatnonzero(np.diff(short, prepend=np.uint64(1 << 63)) != 0) if len(short) else np.zeros(0, np.int64)
             distinct, held = short[begin], np.diff(np.append(begin, len(short)))
-            many = np.repeat(held > MANY, held)
+            many = np.repeat(held > most, held)
             rows = [(number % ranges, block, 2, T.pack(chunk.column("doc").to_numpy()), T.pack(n.astype(np.uint32)), T.pack(nodes))]
             rows.append((number % ranges, block, 3, T.pack(chunk.column("text_key").to_numpy()), b"", b""))
             if many.any():
-                rows.append((number % ranges, block, 1, T.pack_sorted(distinct[held > MANY]), T.pack(held[held > MANY].astype(np.uint32)), T.pack(doc[many])))
-            few = np.concatenate([[0], np.cumsum(np.where(held > MANY, 0, held))])
+                rows.append((number % ranges, block, 1, T.pack_sorted(distinct[held > most]), T.pack(held[held > most].astype(np.uint32)), T.pack(doc[many])))
+            few = np.concatenate([[0], np.cumsum(np.where(held > most, 0, held))])
             doc = doc[~many]
             cuts = np.searchsorted(distinct, [(r << _BITS) // ranges for r in range(ranges)] + [1 << _BITS])
             for r, (a, b) in enumerate(zip(cuts, cuts[1:])):
@@ -102,72 +102,78 @@ def _send(ranges: int):
     return send
 
 
-def _count(table: pa.Table) -> pa.Table:
-    """Counts a range's shingles over all blocks; sends each block those that others, or more of its documents, have too."""
-    rows, out = table.to_pylist(), []
-    counted = [(r, T.unpack_sorted(r["grams"], np.uint64), T.unpack(r["held"], np.uint32)) for r in rows if r["kind"] == 0]
-    if counted:
-        every, back = np.unique(np.concatenate([g for _, g, _ in counted]), return_inverse=True)
-        total = np.bincount(back, np.concatenate([h for _, _, h in counted])).astype(np.uint32)
-        at = 0
-        for r, grams, held in counted:
-            of = total[back[at : at + len(grams)]]
-            at += len(grams)
-            twice = of > 1
-            if twice.any():
-                sent = np.where(held > MANY, 0, held)
-                docs = T.unpack(r["docs"], np.uint32)[np.repeat(twice, sent)]
-                out.append((r["block"], 0, T.pack_sorted(grams[twice]), T.pack(held[twice]), T.pack(docs), T.pack(of[twice])))
-    for r in rows:
-        if r["kind"]:
-            out.append((r["block"], r["kind"], r["grams"], r["held"], r["docs"], b""))
-    columns = zip(*out) if out else [[]] * 6
-    types = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "kind", "grams", "held", "docs", "total"])
-
-
-def _gather(table: pa.Table) -> pa.Table:
-    """The sets of a block's documents: all shingles that others have too, and the first part, for those that may be linked."""
-    grams, docs, total, many, meta = [], [], [], None, None
-    counts_of_many: dict[int, int] = {}
-    for r in table.to_pylist():
-        if r["kind"] == 2:
-            meta = (T.unpack(r["grams"], np.int64), T.unpack(r["held"], np.uint32).astype(np.int64), T.unpack(r["docs"], np.int64))
-        elif r["kind"] == 3:
-            keys = T.unpack(r["grams"], np.int64)
-        elif r["kind"] == 1:
-            many = (T.unpack_sorted(r["grams"], np.uint64), T.unpack(r["held"], np.uint32), T.unpack(r["docs"], np.uint32))
-        else:
-            g, h, t = T.unpack_sorted(r["grams"], np.uint64), T.unpack(r["held"], np.uint32), T.unpack(r["total"], np.uint32)
-            hot = h > MANY
-            counts_of_many.update(zip(g[hot].tolist(), t[hot].tolist()))
-            grams.append(np.repeat(g[~hot], h[~hot]))
-            total.append(np.repeat(t[~hot], h[~hot]))
-            docs.append(T.unpack(r["docs"], np.uint32))
-    if many:
-        grams.append(np.repeat(many[0], many[1]))
-        total.append(np.repeat(np.array([counts_of_many[g] for g in many[0].tolist()], np.uint32), many[1]))
-        docs.append(many[2])
-    ids, n, nodes = meta
-    g, t, d = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (grams, total, docs))
-    order = np.lexsort((g, t, d))
-    g, d = g[order], d[order].astype(np.int64)
-    shared = np.bincount(d, minlength=len(ids))
-    begin = np.concatenate([[0], np.cumsum(shared)])
-    alone = n - shared
-    more = first_part(n) - alone
-    sets, firsts = [], []
-    for i in range(len(ids)):
-        if n[i] and more[i] > 0:
-            own = g[begin[i] : begin[i + 1]]
-            firsts.append(own[: more[i]].view(np.int64))
-            sets.append(T.pack_sorted(np.sort(own)))
-        else:
-            firsts.append(None)
-            sets.append(None)
-    return pa.table(
-        {"doc": ids, "text_key": keys, "n": n, "node": nodes, "alone": alone, "grams": pa.array(sets, pa.binary()), "first": pa.array(firsts, pa.list_(pa.int64()))}
-    )
+def _count(most: int):
+    def count(table: pa.Table) -> pa.Table:
+        """Counts a range's shingles over all blocks; sends each block those that others, or more of its documents, have too."""
+        rows, out = table.to_pylist(), []
+        counted = [(r, T.unpack_sorted(r["grams"], np.uint64), T.unpack(r["held"], np.uint32)) for r in rows if r["kind"] == 0]
+        if counted:
+            every, back = np.unique(np.concatenate([g for _, g, _ in counted]), return_inverse=True)
+            total = np.bincount(back, np.concatenate([h for _, _, h in counted])).astype(np.int64)
+            at = 0
+            for r, grams, held in counted:
+                of = total[back[at : at + len(grams)]]
+                at += len(grams)
+                twice = of > 1
+                if twice.any():
+                    sent = np.where(held > most, 0, held)
+                    docs = T.unpack(r["docs"], np.uint32)[np.repeat(twice, sent)]
+                    out.append((r["block"], 0, T.pack_sorted(grams[twice]), T.pack(held[twice]), T.pack(docs), T.pack(of[twice])))
+        for r in rows:
+            if r["kind"]:
+                out.append((r["block"], r["kind"], r["grams"], r["held"], r["docs"], b""))
+        columns = zip(*out) if out else [[]] * 6
+        types = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "kind", "grams", "held", "docs", "total"])
+
+    return count
+
+
+def _gather(most: int):
+    def gather(table: pa.Table) -> pa.Table:
+        """The sets of a block's documents: all shingles that others have too, and the first part, for those that may be linked."""
+        grams, docs, total, many, meta = [], [], [], None, None
+        counts_of_many: dict[int, int] = {}
+        for r in table.to_pylist():
+            if r["kind"] == 2:
+                meta = (T.unpack(r["grams"], np.int64), T.unpack(r["held"], np.uint32).astype(np.int64), T.unpack(r["docs"], np.int64))
+            elif r["kind"] == 3:
+                keys = T.unpack(r["grams"], np.int64)
+            elif r["kind"] == 1:
+                many = (T.unpack_sorted(r["grams"], np.uint64), T.unpack(r["held"], np.uint32), T.unpack(r["docs"], np.uint32))
+            else:
+                g, h, t = T.unpack_sorted(r["grams"], np.uint64), T.unpack(r["held"], np.uint32), T.unpack(r["total"], np.int64)
+                hot = h > most
+                counts_of_many.update(zip(g[hot].tolist(), t[hot].tolist()))
+                grams.append(np.repeat(g[~hot], h[~hot]))
+                total.append(np.repeat(t[~hot], h[~hot]))
+                docs.append(T.unpack(r["docs"], np.uint32))
+        if many:
+            grams.append(np.repeat(many[0], many[1]))
+            total.append(np.repeat(np.array([counts_of_many[g] for g in many[0].tolist()], np.int64), many[1]))
+            docs.append(many[2])
+        ids, n, nodes = meta
+        g, t, d = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (grams, total, docs))
+        order = np.lexsort((g, t, d))
+        g, d = g[order], d[order].astype(np.int64)
+        shared = np.bincount(d, minlength=len(ids))
+        begin = np.concatenate([[0], np.cumsum(shared)])
+        alone = n - shared
+        more = first_part(n) - alone
+        sets, firsts = [], []
+        for i in range(len(ids)):
+            if n[i] and more[i] > 0:
+                own = g[begin[i] : begin[i + 1]]
+                firsts.append(own[: more[i]].view(np.int64))
+                sets.append(T.pack_sorted(np.sort(own)))
+            else:
+                firsts.append(None)
+                sets.append(None)
+        return pa.table(
+            {"doc": ids, "text_key": keys, "n": n, "node": nodes, "alone": alone, "grams": pa.array(sets, pa.binary()), "first": pa.array(firsts, pa.list_(pa.int64()))}
+        )
+
+    return gather
 
 
 def _verify(percent: int):
@@ -192,7 +198,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(_verify(percent), "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, most: int = MANY) -> DataFrame:
     """``doc_id``, ``text_key`` (a hash of the text), ``n_shingles``, ``component_id`` and ``class_id`` of every row of ``docs``
     (``doc_id``, ``text``).
 
@@ -204,9 +210,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(2 * partitions, T.text_bytes(docs) // RANGE_BYTES)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("text_key"), "text")
-    sent = rows.mapInArrow(_send(ranges), _SENT)
-    back = sent.groupBy("range").applyInArrow(_count, _BACK)
-    held = freeze(back.groupBy("block").applyInArrow(_gather, _SETS))
+    sent = rows.mapInArrow(_send(ranges, most), _SENT)
+    back = sent.groupBy("range").applyInArrow(_count(most), _BACK)
+    held = freeze(back.groupBy("block").applyInArrow(_gather(most), _SETS))
 
     alike = held.filter("grams is not null").groupBy("node").agg(
         F.min("doc").alias("doc"), F.any_value("n").alias("n"), F.any_value("alone").alias("alone"), F.any_value("grams").alias("grams"), F.any_value("first").alias("first")
