@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from harkline.llm import text as T
-from harkline.llm.components import smallest_reachable
+from harkline.llm.components import roots, smallest_reachable
 from harkline.operators.frozen import freeze
 
 SHINGLE = 5
@@ -226,8 +226,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, most: int = MANY
     fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
     met = firsts.join(hubs, "gram").filter(F.col("node") != F.col("hub")).filter(fits(F.col("n"), F.col("hub_n")))
     best = met.groupBy("node", "hub").agg(F.count("*").alias("shared")).groupBy("node").agg(F.max_by("hub", "shared").alias("hub"))
-    links = freeze(_links(best.select(F.col("node").alias("a"), F.col("hub").alias("b")), sets, percent))
-    group = freeze(smallest_reachable(links))
+    # A hub is the smallest set of its shingle, so these links are trees.
+    links = _links(best.select(F.col("node").alias("a"), F.col("hub").alias("b")), sets, percent)
+    group = roots(links.select(F.col("a").alias("node"), F.col("b").alias("parent")))
 
     # All pairs of different groups that sizes and places allow.
     grouped = firsts.join(group, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -238,10 +239,14 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, most: int = MANY
     enough = (100 + percent) * F.least(F.col("x.left"), F.col("y.left")) >= percent * (F.col("x.n") + F.col("y.n"))
     pairs = x.join(y, F.col("x.gram") == F.col("y.gram")).filter("x.node < y.node and x.root <> y.root")
     pairs = pairs.filter(fits(F.col("x.n"), F.col("y.n")) & enough).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    links = links.union(freeze(_links(pairs, sets, percent)))
-    group = freeze(smallest_reachable(links))
+    links = _links(pairs, sets, percent)
+    for side in ("a", "b"):
+        own = group.select(F.col("node").alias(side), "root")
+        links = links.join(own, side, "left").withColumn(side, F.coalesce("root", side)).drop("root")
+    joined = smallest_reachable(links).select(F.col("node").alias("first_root"), F.col("root").alias("joined_root"))
 
-    members = sets.select("node", "doc").join(group, "node", "left").select("node", F.col("doc").alias("class_id"), F.coalesce("root", "node").alias("root"))
+    members = sets.select("node", F.col("doc").alias("class_id")).join(group, "node", "left").withColumn("first_root", F.coalesce("root", "node"))
+    members = freeze(members.join(joined, "first_root", "left").select("node", "class_id", F.coalesce("joined_root", "first_root").alias("root")))
     smallest = members.groupBy("root").agg(F.min("class_id").alias("component_id"))
     members = members.join(smallest, "root").select(F.col("node").alias("of_node"), "class_id", "component_id")
     linked = F.col("grams").isNotNull() & (F.col("node") == F.col("of_node"))
