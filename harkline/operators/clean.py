@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from harkline.functions import ids
+from harkline.operators.frozen import freeze
 from harkline.operators.joins import lookup_join
 
 
@@ -38,13 +39,24 @@ def drop_low_play_songs(triplets: DataFrame, min_plays: int = 100) -> DataFrame:
 
 
 def active_subset(
-    triplets: DataFrame, min_plays: int = 100, min_songs: int = 30, distinct_songs: bool = False
+    triplets: DataFrame,
+    min_plays: int = 100,
+    min_songs: int = 30,
+    distinct_songs: bool = False,
+    until_stable: bool = False,
 ) -> DataFrame:
     """Triplets of well-played songs and active users.
 
     Activity is counted before songs are removed, in a single pass, so a kept user
-    may end with fewer than ``min_songs`` songs.
+    may end with fewer than ``min_songs`` songs. With ``until_stable`` passes follow until
+    nothing is removed; each is written down.
     """
+    if until_stable:
+        rows = None
+        while rows != (now := triplets.count()):
+            rows = now
+            triplets = freeze(active_subset(triplets, min_plays, min_songs, distinct_songs))
+        return triplets
     idle = low_song_users(triplets, min_songs, distinct_songs).select("user_id")
     return lookup_join(drop_low_play_songs(triplets, min_plays), idle, "user_id", "left_anti")
 

@@ -13,14 +13,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 MAX_PAIRWISE = 12
 
 
-def feature_correlation(df: DataFrame, columns: Sequence[str], max_pairwise: int = MAX_PAIRWISE) -> DataFrame:
+def feature_correlation(
+    df: DataFrame, columns: Sequence[str], max_pairwise: int = MAX_PAIRWISE, handle_invalid: str = "error"
+) -> DataFrame:
     """``(i, j, corr)`` for each unordered pair of columns, ``i`` before ``j``.
 
-    Rows with a missing value are left out; a constant column correlates as NaN. The
+    A row with a missing value (null or NaN) is an error, or left out if ``handle_invalid`` is ``skip``. A constant
+    column, and any column of fewer than two rows, correlates as NaN. The
     result has one row per pair of columns, however many rows ``df`` has.
     """
+    if handle_invalid not in ("error", "skip"):
+        raise ValueError(f"handle_invalid is 'error' or 'skip', not {handle_invalid!r}")
     columns = list(columns)
-    df = df.select(columns).dropna()
+    df = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    if handle_invalid == "skip":
+        df = df.dropna()
+    else:
+        missing = F.greatest(*[F.col(c).isNull() | F.isnan(c) for c in columns], F.lit(False))
+        wrong = F.raise_error(F.lit("a row to correlate has a missing value")).cast("double")
+        df = df.select(F.when(missing, wrong).otherwise(F.col(columns[0])).alias(columns[0]), *columns[1:])
     if len(columns) <= max_pairwise:
         pairs = list(combinations(columns, 2))
         one_row = df.agg(*[_pearson(i, j).alias(f"{i}|{j}") for i, j in pairs])
@@ -28,6 +39,9 @@ def feature_correlation(df: DataFrame, columns: Sequence[str], max_pairwise: int
             *[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"`{i}|{j}`").alias("corr")) for i, j in pairs]
         )
         return one_row.select(F.inline(listed))
+    if df.limit(2).count() < 2:
+        rows = [(i, j, float("nan")) for i, j in combinations(columns, 2)]
+        return df.sparkSession.createDataFrame(rows, "i string, j string, corr double")
     vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(df)
     matrix = Correlation.corr(vectors.select("_v"), "_v").head()[0].toArray()
     rows = [(columns[a], columns[b], float(matrix[a, b])) for a, b in combinations(range(len(columns)), 2)]
@@ -36,7 +50,7 @@ def feature_correlation(df: DataFrame, columns: Sequence[str], max_pairwise: int
 
 def _pearson(i: str, j: str) -> Column:
     spread = F.stddev_pop(i) * F.stddev_pop(j)
-    return F.when(spread == 0, F.lit(float("nan"))).otherwise(F.covar_pop(i, j) / spread)
+    return F.when((F.count(i) < 2) | (spread == 0), F.lit(float("nan"))).otherwise(F.covar_pop(i, j) / spread)
 
 
 def high_correlation_pairs(correlations: DataFrame, above: float = 0.7, absolute: bool = False) -> DataFrame:

@@ -11,7 +11,7 @@ from harkline.operators.joins import lookup_join
 from harkline.operators.profile import group_counts
 from harkline.operators.running import rank_within
 
-# A label set is held by the driver and by every task.
+# The labels that a fitted indexer holds, on the driver and in every task.
 MAX_LABELS = 10_000
 
 
@@ -36,7 +36,10 @@ def binary_label(df: DataFrame, genre: str, column: str = "genre") -> DataFrame:
 
 
 def label_indexer(df: DataFrame, column: str, output: str = "class") -> StringIndexerModel:
-    """Indexes a label set by falling frequency, ties by label."""
+    """A model that indexes a label set by falling frequency, ties by label, for fits that must know the label names.
+
+    Where only the index is needed, ``frequency_index`` and ``apply_index`` give the same one without a bound.
+    """
     counts = group_counts(df.filter(F.col(column).isNotNull()), column)
     rows = counts.orderBy(F.desc("n_rows"), column).select(column).limit(MAX_LABELS + 1).collect()
     if len(rows) > MAX_LABELS:

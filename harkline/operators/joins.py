@@ -2,30 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from harkline.operators.frozen import freeze
 
-# A lookup is broadcast up to this many values (rows x columns), a few tens of MB.
-BROADCAST_CELLS = 1_000_000
-# A key is hot if it holds more than 1/HOT_KEYS of the rows: fewer than HOT_KEYS are.
-HOT_KEYS = 1_000
-# Keys followed while looking for hot ones; four per hot key finds them reliably.
-TRACKED_KEYS = 4 * HOT_KEYS
-SALTS = 256
+# A lookup of up to this many bytes is broadcast.
+BROADCAST_BYTES = 32 << 20
+# Rows of one key that one task should read at most; a key with more is spread over several.
+TASK_ROWS = 5_000_000
+# Keys that are spread are fewer than this; if more have too many rows, those with most are.
+SPREAD_KEYS = 500_000
 
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
-def hot_hashes(facts: DataFrame, keys: list[str]) -> list[int]:
-    """Hashes of the hot keys, fewer than ``HOT_KEYS``, from one sketch over the key columns.
 
-    Each task sends a sketch of fixed size and no rows. A key the sketch misses, or
-    one that shares the hash of a hot key, costs speed only.
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of all values of a table: eight for a number, the length of what is written out for others."""
+    sizes = [F.lit(8) if isinstance(f.dataType, _FIXED) else F.coalesce(F.length(F.to_json(F.struct(f.name))), F.lit(0)) for f in df.schema]
+    return df.agg(F.sum(sum(sizes, F.lit(0)).cast("long"))).head()[0] or 0
+
+
+def common_type(one: T.DataType, other: T.DataType) -> str:
+    """The type in which keys of two types are compared: their own, or the wider of two number types.
+
+    Other pairs are refused, as what they compare as depends on the session.
+    """
+    if one == other:
+        return one.simpleString()
+    if not (isinstance(one, T.NumericType) and isinstance(other, T.NumericType)):
+        raise TypeError(f"keys of types {one.simpleString()} and {other.simpleString()}: cast one first")
+    whole = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+    if one in whole and other in whole:
+        return max(one, other, key=whole.index).simpleString()
+    if any(isinstance(t, (T.FloatType, T.DoubleType)) for t in (one, other)):
+        return "double"
+    digits = [(20, 0) if t in whole else (t.precision, t.scale) for t in (one, other)]
+    scale = max(s for _, s in digits)
+    return f"decimal({min(38, max(p - s for p, s in digits) + scale)},{scale})"
+
+
+def _hash(names: list[str]) -> Column:
+    return F.xxhash64(*names)
+
+
+def spread_keys(facts: DataFrame, keys: list[str], task_rows: int) -> DataFrame:
+    """``(_hash, _salts)`` of the keys with more than ``task_rows`` rows, fewer than ``SPREAD_KEYS``.
+
+    Rows are counted by key in each task before they are moved. Keys that share a hash are spread together.
     """
-    found = facts.select(F.xxhash64(*keys).alias("_hash")).agg(
-        F.expr(f"approx_top_k(_hash, {HOT_KEYS}, {TRACKED_KEYS})").alias("top"), F.count(F.lit(1)).alias("rows")
-    )
-    top, rows = found.head()
-    return [key["item"] for key in top or [] if key["count"] > rows / HOT_KEYS]
+    counts = freeze(facts.groupBy(_hash(keys).alias("_hash")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > task_rows))
+    rows = counts.agg(F.sum("_n")).head()[0] or 0
+    least = max(task_rows, rows // SPREAD_KEYS)
+    return counts.filter(F.col("_n") > least).select("_hash", F.ceil(F.col("_n") / least).cast("int").alias("_salts"))
 
 
 def lookup_join(
@@ -34,31 +62,50 @@ def lookup_join(
     on: str | list[str],
     how: str,
     stored: bool = False,
-    max_cells: int | None = None,
+    max_bytes: int | None = None,
+    task_rows: int = TASK_ROWS,
+    facts_stored: bool = False,
 ) -> DataFrame:
     """``facts.join(lookup, on, how)`` for a ``lookup`` with one row per key.
 
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. Keys of two number types are compared in the
+    wider one; other unequal types are refused. Either way the key comes out as ``facts`` has it.
 
     Unless it is ``stored`` already (a table, or a plain scan of one), the lookup is
     written down first, so that it is computed once. Its size is then checked. A
     small one is broadcast and the facts do not move. Otherwise both sides are
-    shuffled, with the rows of each hot key, and those without a key, spread over
-    ``SALTS`` values and the lookup's row of a hot key repeated for each value.
+    shuffled, and the rows of each key with more than ``task_rows`` are spread over as many
+    values as that takes, with the lookup's row repeated for each. Keys are counted for that, so facts that
+    are not ``facts_stored`` are written down before.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    max_rows = (BROADCAST_CELLS if max_cells is None else max_cells) // len(lookup.columns)
+    types = {k: common_type(facts.schema[k].dataType, lookup.schema[k].dataType) for k in keys}
     if not stored:
         lookup = freeze(lookup)
-    if lookup.count() <= max_rows:
-        return facts.join(F.broadcast(lookup), keys, how)
-
-    # Equal keys must hash alike on both sides.
-    lookup = lookup.withColumns({k: F.col(k).cast(facts.schema[k].dataType) for k in keys})
-    is_hot = F.xxhash64(*keys).isin(hot_hashes(facts, keys))
-    has_null = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
-    spread = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
-    every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    salted = facts.withColumn("_salt", F.when(is_hot | has_null, spread).otherwise(0))
-    repeated = lookup.withColumn("_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    small = stored_bytes(lookup) <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
+    if not small and not facts_stored:
+        facts = freeze(facts)
+
+    match = [f"_key_{i}" for i in range(len(keys))]
+    others = [c for c in lookup.columns if c not in keys]
+    left = facts.select("*", *[F.col(k).cast(types[k]).alias(m) for k, m in zip(keys, match)])
+    right = lookup.select(*[F.col(k).cast(types[k]).alias(m) for k, m in zip(keys, match)], *others)
+    if small:
+        joined = left.join(F.broadcast(right), match, how)
+    else:
+        spread = F.broadcast(freeze(spread_keys(left, match, task_rows)))  # fewer than SPREAD_KEYS rows
+        sortable = [f.name for f in facts.schema if not _has_map(f.dataType)]
+        left = left.withColumn("_hash", _hash(match)).join(spread, "_hash", "left")
+        left = left.withColumn("_salt", F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(*sortable), "_salts")).otherwise(0).cast("int"))
+        right = right.withColumn("_hash", _hash(match)).join(spread, "_hash", "left").drop("_hash")
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+        joined = left.join(right, [*match, "_salt"], how)
+    out = [*keys, *[c for c in facts.columns if c not in keys]]
+    return joined.select(*out, *(others if how in ("inner", "left") else []))
+
+
+def _has_map(kind: T.DataType) -> bool:
+    """Whether Spark can't hash values of the type."""
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, (T.MapType, T.VariantType)) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)

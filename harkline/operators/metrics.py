@@ -102,6 +102,12 @@ def ovr_auroc(scored: DataFrame, scores: str = "probability", label: str = "clas
     return auroc(long, "score", "_hit", by=["class"])
 
 
+def macro_auroc(per_class: DataFrame) -> DataFrame:
+    """One row: the plain mean over the classes that have an AUROC, and how many have one."""
+    known = per_class.filter(F.col("auroc").isNotNull() & ~F.isnan("auroc"))
+    return known.agg(F.count(F.lit(1)).alias("n_classes"), F.avg("auroc").alias("macro_auroc"))
+
+
 def ranking_per_user(
     recommended: DataFrame, relevant: DataFrame, k: int, user: str = "user_id", item: str = "song_id"
 ) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from harkline.operators.frozen import freeze
 from harkline.operators.running import running_total
 
-# Above this many columns, aggregates side by side make too large a plan.
-MAX_WIDE = 100
+# Columns whose aggregates stand side by side in one plan.
+BLOCK_COLUMNS = 50
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -71,20 +71,24 @@ def class_balance(df: DataFrame, label: str = "class", weight: str | None = None
     return counts.orderBy(label)
 
 
-def feature_summary(df: DataFrame, columns: Sequence[str], max_wide: int = MAX_WIDE) -> DataFrame:
-    """Count, mean, standard deviation, minimum and maximum, one row per column, in one pass."""
+def feature_summary(df: DataFrame, columns: Sequence[str], block_columns: int = BLOCK_COLUMNS) -> DataFrame:
+    """Count, mean, standard deviation, minimum and maximum, one row per column; all but the count are doubles.
+
+    Columns are summarised in blocks, each of which reads its own columns only.
+    """
     stats = {"n": F.count, "mean": F.mean, "stddev": F.stddev, "min": F.min, "max": F.max}
 
     def of(column: str) -> list[Column]:
-        return [function(column).alias(name) for name, function in stats.items()]
+        value = F.col(column).cast("double")
+        return [function(value).alias(name) for name, function in stats.items()]
 
     columns = list(columns)
-    if len(columns) <= max_wide:
-        one_row = df.agg(*[F.struct(*of(c)).alias(c) for c in columns])
-        return one_row.unpivot([], columns, "feature", "s").select("feature", "s.*")
-    # Each task adds up its own values, so one row per column and task is shuffled.
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "feature", "value")
-    return long.groupBy("feature").agg(*of("value"))
+    parts = []
+    for i in range(0, len(columns), block_columns):
+        block = columns[i : i + block_columns]
+        one_row = df.agg(*[F.struct(*of(c)).alias(c) for c in block])
+        parts.append(one_row.unpivot([], block, "feature", "s").select("feature", "s.*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from harkline.functions.draws import SEED, draw_bits
 from harkline.functions.lists import items_by_score
@@ -14,8 +14,8 @@ from harkline.operators.frozen import freeze
 from harkline.operators.joins import lookup_join
 from harkline.session import scratch_dir
 
-# Each task sorts its ratings into blocks x blocks piles, so their number is held down.
-MAX_BLOCKS = 500
+# Ratings that one block holds, on average.
+BLOCK_RATINGS = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -38,9 +38,14 @@ class Recommender:
             songs.select(F.lit("song").alias("kind"), F.col("song_id").alias("name"), "features")
         )
 
-    def recommend(self, k: int = 5) -> DataFrame:
-        """``(user_id, position, song_id, rating)``: the ``k`` best songs of every user."""
-        listed = self.model.recommendForAllUsers(k).select("user_int", F.posexplode("recommendations").alias("at", "rec"))
+    def recommend(self, k: int = 5, users: DataFrame | None = None) -> DataFrame:
+        """``(user_id, position, song_id, rating)``: the ``k`` best songs of every user, or of those of ``users`` (``user_id``)."""
+        if users is None:
+            scored = self.model.recommendForAllUsers(k)
+        else:
+            known = lookup_join(users.select("user_id").distinct(), self.users.select("user_id", "user_int"), "user_id", "inner", stored=True)
+            scored = self.model.recommendForUserSubset(known.select("user_int"), k)
+        listed = scored.select("user_int", F.posexplode("recommendations").alias("at", "rec"))
         rows = listed.select(
             "user_int",
             (F.col("at") + 1).alias("position"),
@@ -49,6 +54,17 @@ class Recommender:
         )
         return self._named(rows).select("user_id", "position", "song_id", "rating")
 
+    def recommend_unplayed(self, played: DataFrame, k: int = 5) -> DataFrame:
+        """As ``recommend``, without the songs that a user has in ``played``.
+
+        A user with n such songs needs the k + n best to be left with k, so as many are scored as the most any has.
+        """
+        pairs = freeze(played.select("user_id", "song_id").distinct())
+        most = pairs.groupBy("user_id").count().agg(F.max("count")).head()[0] or 0
+        fresh = self.recommend(k + most).join(pairs, ["user_id", "song_id"], "left_anti")
+        place = F.row_number().over(Window.partitionBy("user_id").orderBy("position"))
+        return fresh.withColumn("position", place).filter(F.col("position") <= k).select("user_id", "position", "song_id", "rating")
+
     def recommended_items(self, k: int = 5) -> DataFrame:
         """``(user_id, position, song_id)``: the list of each user without the ratings."""
         songs = items_by_score(F.col("recommendations"), "song_int", "rating", k)
@@ -66,9 +82,11 @@ class Recommender:
         return self.score(lookup_join(test, drawn, "user_id", "left_semi"))
 
     def _named(self, rows: DataFrame) -> DataFrame:
+        """Ids for indexes. The rows are all users times all songs scored, so they are written down once, k a user."""
         songs = self.songs.select("song_int", "song_id")
         users = self.users.select("user_int", "user_id")
-        return lookup_join(lookup_join(rows, songs, "song_int", "inner", stored=True), users, "user_int", "inner", stored=True)
+        named = lookup_join(freeze(rows), songs, "song_int", "inner", stored=True, facts_stored=True)
+        return lookup_join(named, users, "user_int", "inner", stored=True)
 
 
 def fit_recommender(
@@ -76,14 +94,16 @@ def fit_recommender(
 ) -> Recommender:
     """Indexes users and songs of ``train`` and factorizes their play counts.
 
-    ``train`` is read three times, so freeze it first if it is costly to compute.
+    ``train`` is read three times, so freeze it first if it is costly to compute. One block holds all ratings of a
+    user or song, so the rows of the most played song must fit into one task; blocks grow in number with the ratings.
     """
     spark = train.sparkSession
     users = freeze(frequency_index(train, "user_id", "user_int"))
     songs = freeze(frequency_index(train, "song_id", "song_int"))
     indexed = apply_index(apply_index(train, users, "user_id"), songs, "song_id")
     scratch_dir(spark)  # names the folder in which the factorization cuts its lineage
-    blocks = min(max(10, spark.sparkContext.defaultParallelism), MAX_BLOCKS)
+    ratings = users.agg(F.sum("n_rows")).head()[0] or 0
+    blocks = max(10, spark.sparkContext.defaultParallelism, -(-ratings // BLOCK_RATINGS))
     als = ALS(
         userCol="user_int",
         itemCol="song_int",

@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -134,6 +136,18 @@ def random_split(
     return df.withColumn("in_train", draw(keys, salt, seed) < fraction)
 
 
+def split_report(split: DataFrame, user: str = "user_id", item: str = "song_id") -> DataFrame:
+    """``(part, n_rows, n_users)`` of a random split: training, holdout, the holdout rows of users and of songs
+    that training has, and those of users it has and songs it does not, which no model can score."""
+    train, held_out = training(split), holdout(split)
+    warm = warm_users(held_out, train)
+    known = lookup_join(warm, train.select(item).distinct(), item, "left_semi")
+    unseen = lookup_join(warm, train.select(item).distinct(), item, "left_anti")
+    parts = {"training": train, "holdout": held_out, "warm": warm, "scorable": known, "unseen_songs": unseen}
+    rows = [df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(user).alias("n_users")).select(F.lit(n).alias("part"), "*") for n, df in parts.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def warm_users(test: DataFrame, train: DataFrame) -> DataFrame:
     """Test rows of users that occur in training."""
     return lookup_join(test, train.select("user_id").distinct(), "user_id", "left_semi")

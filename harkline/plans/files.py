@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from harkline.plans import tables as t
 from harkline.plans.tables import Query, with_sql
 from harkline.session import tables_dir
-from harkline.sources import attributes, catalogue, text
+from harkline.sources import attributes, text
+
+
+# All columns of ``lineitem`` but the time, which both engines write out alike.
+_LINE_COLUMNS = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus".split()
+)
 
 
 def _new_folder(spark: SparkSession) -> str:
@@ -24,12 +30,10 @@ def feature_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def untyped_files(spark: SparkSession, sf: str) -> DataFrame:
-    """The same files without a schema."""
+    """Order lines from files without a header or schema: every column, as the strings that lie there."""
     folder = _new_folder(spark)
-    attributes.save_features(t.feature_table(spark, sf), folder, "plays-v1.0")
-    return text.read_delimited(spark, f"{folder}/features/plays-v1.0.csv").select(
-        "_c0", F.col("_c1").cast("double").cast("long").cast("string").alias("_c1")
-    )
+    t.table(spark, sf, "lineitem").select(*_LINE_COLUMNS).write.option("compression", "gzip").csv(folder)
+    return text.read_delimited(spark, folder)
 
 
 def triplet_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +53,7 @@ def genre_files(spark: SparkSession, sf: str) -> DataFrame:
 def header_files(spark: SparkSession, sf: str) -> DataFrame:
     """Part descriptions from gzip CSV with a header."""
     folder = _new_folder(spark)
-    parts = t.table(spark, sf, "part").select("p_name", "p_brand", "p_size")
+    parts = t.table(spark, sf, "part")
     parts.write.option("header", True).option("compression", "gzip").csv(folder)
     return text.read_delimited(spark, folder, header=True)
 
@@ -65,13 +69,12 @@ QUERIES = {
     "feature_files": Query(feature_files, with_sql("SELECT * FROM features")),
     "untyped_files": Query(
         untyped_files,
-        with_sql('SELECT "MSD_TRACKID" AS _c0, CAST(CAST(n AS BIGINT) AS VARCHAR) AS _c1 FROM features'),
+        f"""SELECT {', '.join(f'CAST({c} AS VARCHAR) AS _c{i}' for i, c in enumerate(_LINE_COLUMNS))} FROM lineitem""",
     ),
     "triplet_files": Query(triplet_files, with_sql("SELECT * FROM triplets")),
     "genre_files": Query(genre_files, with_sql("SELECT * FROM genres")),
     "header_files": Query(
-        header_files, "SELECT p_name, p_brand, CAST(p_size AS VARCHAR) AS p_size FROM part"
+        header_files, "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM part"
     ),
     "mismatch_files": Query(mismatch_files, with_sql("SELECT * FROM mismatches")),
-    "file_catalogue": Query(lambda spark, sf: catalogue.file_catalogue(spark, sf).drop("modificationTime")),
 }

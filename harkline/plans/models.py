@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from harkline.operators import classify, features, metrics, sampling
 from harkline.operators.frozen import freeze
@@ -35,7 +35,7 @@ def _sides(split: DataFrame) -> tuple[DataFrame, DataFrame]:
 def scored(learner: str, treatment: str = "plain"):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         train, test = binary_sides(spark, sf)
-        treated = freeze(classify.TREATMENTS[treatment](train, KEY))
+        treated = train if treatment == "plain" else freeze(classify.TREATMENTS[treatment](train, KEY))
         return classify.score(classify.LEARNERS[learner]().fit(treated), test, KEY)
 
     return run
@@ -63,7 +63,9 @@ def rf_multiclass_predictions(spark: SparkSession, sf: str) -> DataFrame:
 def rf_multiclass_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Per-class metrics of the forest, with the AUROC of each class against the rest."""
     predictions = freeze(rf_multiclass(spark, sf))
-    return metrics.multiclass_metrics(predictions).join(metrics.ovr_auroc(predictions), "class", "left")
+    areas = freeze(metrics.ovr_auroc(predictions))
+    macro = metrics.macro_auroc(areas).select("macro_auroc").scalar()
+    return metrics.multiclass_metrics(predictions).join(areas, "class", "left").withColumn("macro_auroc", macro)
 
 
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,8 +119,49 @@ def als_factors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def recommendation_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Precision, NDCG and mean average precision of the recommended songs."""
-    return metrics.ranking_metrics(recommender(spark, sf).recommend(K), triplet_sides(spark, sf)[1], K)
+    """Precision, NDCG and mean average precision of the songs recommended to the users of the test side."""
+    test = triplet_sides(spark, sf)[1]
+    return metrics.ranking_metrics(recommender(spark, sf).recommend(K, test), test, K)
+
+
+# What outputs of fitted models promise, whatever the fit: who and what they cover. SQL says the same from the split.
+
+
+def model_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the test side by class, from the scores of three learners."""
+    runs = {"logistic regression": "plain", "random forest": "downsampled", "boosted trees": "plain"}
+    parts = []
+    for learner, treatment in runs.items():
+        rows = scored(learner, treatment)(spark, sf)
+        parts.append(rows.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isin(0, 1)).alias("n_predicted")).select(F.lit(learner).alias("learner"), "*"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def factor_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return recommender(spark, sf).factors().select("kind", "name", F.size("features").alias("rank"))
+
+
+def recommendation_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """For each user, how many songs are listed, how many different ones, and how many are rated above the one before."""
+    before = F.lag("rating").over(Window.partitionBy("user_id").orderBy("position"))
+    rows = recommender(spark, sf).recommend(K).withColumn("rising", (F.col("rating") > before).cast("int"))
+    return rows.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("song_id").alias("n_songs"), F.coalesce(F.sum("rising"), F.lit(0)).alias("n_rising")
+    )
+
+
+def unplayed_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """For each user, how many songs are listed when those played in training are left out, and how many of them were played."""
+    train = triplet_sides(spark, sf)[0]
+    rows = recommender(spark, sf).recommend_unplayed(train, K)
+    played = train.select("user_id", "song_id", F.lit(1).alias("played"))
+    return rows.join(played, ["user_id", "song_id"], "left").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.count("played").alias("n_played"))
+
+
+def sampled_users(spark: SparkSession, sf: str) -> DataFrame:
+    """The drawn users and how many of their test rows are scored."""
+    rows = recommender(spark, sf).sampled_user_scores(triplet_sides(spark, sf)[1])
+    return rows.groupBy("user_id").agg(F.count("prediction").alias("n_rows"))
 
 
 def forget() -> None:
@@ -168,4 +211,39 @@ QUERIES = {
         lambda spark, sf: recommender(spark, sf).sampled_user_scores(triplet_sides(spark, sf)[1])
     ),
     "recommendation_metrics": Query(recommendation_metrics),
+    "model_coverage": Query(
+        model_coverage,
+        t.with_sql(
+            """SELECT learner, class, count(*) AS n, count(*) AS n_predicted FROM split
+                JOIN (VALUES ('logistic regression'), ('random forest'), ('boosted trees')) AS l(learner) ON true
+                WHERE NOT in_train GROUP BY learner, class""",
+            **splits.SPLIT_SQL,
+        ),
+    ),
+    "factor_coverage": Query(
+        factor_coverage,
+        t.with_sql(
+            """SELECT DISTINCT 'user' AS kind, user_id AS name, 10 AS rank FROM train
+                UNION ALL SELECT DISTINCT 'song', song_id, 10 FROM train"""
+        ),
+    ),
+    "recommendation_coverage": Query(
+        recommendation_coverage,
+        t.with_sql(f"SELECT DISTINCT user_id, {K}::BIGINT AS n, {K}::BIGINT AS n_songs, 0::BIGINT AS n_rising FROM train"),
+    ),
+    "unplayed_coverage": Query(
+        unplayed_coverage,
+        t.with_sql(
+            f"""SELECT user_id, least({K}, (SELECT count(DISTINCT song_id) FROM train) - count(*)) AS n, 0::BIGINT AS n_played
+                FROM train GROUP BY user_id"""
+        ),
+    ),
+    "sampled_users": Query(
+        sampled_users,
+        t.with_sql(
+            f"""SELECT user_id, count(*) AS n_rows FROM test WHERE song_id IN (SELECT song_id FROM train) AND user_id IN (
+                SELECT user_id FROM (SELECT DISTINCT user_id FROM test) ORDER BY {splits._bits_sql('sample', 'user_id')}, user_id LIMIT 10)
+                GROUP BY user_id"""
+        ),
+    ),
 }

@@ -175,6 +175,14 @@ QUERIES = {
             **{f"area{c}": _auroc_sql(f"s{c}", f"class = {c}") for c in range(3)},
         ),
     ),
+    "macro_auroc": Query(
+        lambda spark, sf: metrics.macro_auroc(metrics.ovr_auroc(class_scores(spark, sf))).select("n_classes", rounded("macro_auroc")),
+        with_sql(
+            f"SELECT count(*) AS n_classes, round(avg(auroc), 9) AS macro_auroc FROM ({' UNION ALL '.join(f'SELECT auroc FROM area{c}' for c in range(3))})",
+            **_CLASSES,
+            **{f"area{c}": _auroc_sql(f"s{c}", f"class = {c}") for c in range(3)},
+        ),
+    ),
     "ranked_items": Query(ranked_items, _ranking_sql("clean_triplets")),
     "top_k_items": Query(
         top_k_items,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from harkline.functions.draws import SEED
 from harkline.operators import profile, sampling
 from harkline.operators.frozen import freeze
+from harkline.operators.joins import lookup_join
 from harkline.plans import tables as t
 from harkline.plans.tables import Query, with_sql
 
@@ -44,13 +45,20 @@ def triplet_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return train, sampling.warm_users(sampling.holdout(split), train)
 
 
+def shuffled_warm_users(spark: SparkSession, sf: str) -> DataFrame:
+    """Warm users by the route for lookups too large to broadcast."""
+    split = freeze(triplet_split(spark, sf))
+    users = sampling.training(split).select("user_id").distinct()
+    return lookup_join(sampling.holdout(split), users, "user_id", "left_semi", max_bytes=0, task_rows=20)
+
+
 _RANKED = f"SELECT *, row_number() OVER (PARTITION BY class ORDER BY {_bits_sql('split', 'track_id')}, track_id) AS rn"
-_SPLIT = {
+SPLIT_SQL = {
     "ranked": f"{_RANKED}, count(*) OVER (PARTITION BY class) AS size FROM binary_tracks",
     "split": "SELECT * EXCLUDE (rn, size), rn < size * 0.8::DOUBLE AS in_train FROM ranked",
     "training": "SELECT * EXCLUDE (in_train) FROM split WHERE in_train",
 }
-_SPLIT_MULTI = _SPLIT | {"ranked": f"{_RANKED}, count(*) OVER (PARTITION BY class) AS size FROM genre_tracks"}
+SPLIT_MULTI_SQL = SPLIT_SQL | {"ranked": f"{_RANKED}, count(*) OVER (PARTITION BY class) AS size FROM genre_tracks"}
 
 _DOWN = """SELECT {columns} FROM training WHERE class <> 0 OR
     {draw} < (SELECT 3.0::DOUBLE * count(*) FILTER (class = 1) / (count(*) FILTER (class = 0))::DOUBLE FROM training)"""
@@ -68,29 +76,29 @@ QUERIES = {
     ),
     "stratified_split": Query(
         lambda spark, sf: binary_split(spark, sf).select("track_id", "class", "in_train"),
-        with_sql("SELECT track_id, class, in_train FROM split", **_SPLIT),
+        with_sql("SELECT track_id, class, in_train FROM split", **SPLIT_SQL),
     ),
     "stratified_split_multi": Query(
         lambda spark, sf: genre_split(spark, sf).select("track_id", "class", "in_train"),
-        with_sql("SELECT track_id, class, in_train FROM split", **_SPLIT_MULTI),
+        with_sql("SELECT track_id, class, in_train FROM split", **SPLIT_MULTI_SQL),
     ),
     "holdout_complement": Query(
         lambda spark, sf: sampling.holdout(binary_split(spark, sf)).select("track_id", "class"),
-        with_sql("SELECT track_id, class FROM split WHERE NOT in_train", **_SPLIT),
+        with_sql("SELECT track_id, class FROM split WHERE NOT in_train", **SPLIT_SQL),
     ),
     "downsample": Query(
         lambda spark, sf: sampling.downsample(freeze(binary_training(spark, sf)), "class", KEY).select("track_id", "class"),
-        with_sql(_DOWN.format(columns="track_id, class", draw=_draw_sql("down", "track_id")), **_SPLIT),
+        with_sql(_DOWN.format(columns="track_id, class", draw=_draw_sql("down", "track_id")), **SPLIT_SQL),
     ),
     "upsample": Query(
         lambda spark, sf: sampling.upsample(binary_training(spark, sf), "class", KEY).select("track_id", "class"),
         with_sql(f"""SELECT track_id, class FROM (SELECT track_id, class,
-            unnest(range(CASE WHEN class = 1 THEN {_COPIES} ELSE 1 END)) AS copy FROM training)""", **_SPLIT),
+            unnest(range(CASE WHEN class = 1 THEN {_COPIES} ELSE 1 END)) AS copy FROM training)""", **SPLIT_SQL),
     ),
     "class_weight": Query(
         lambda spark, sf: sampling.class_weight(binary_training(spark, sf), "class").select("track_id", "class", "weight"),
         with_sql("""SELECT track_id, class, CASE WHEN class = 1 THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END AS weight
-            FROM training""", **_SPLIT),
+            FROM training""", **SPLIT_SQL),
     ),
     "weighted_balance": Query(
         lambda spark, sf: profile.class_balance(
@@ -100,12 +108,25 @@ QUERIES = {
             round(count(*) / (sum(count(*)) OVER ())::DOUBLE, 3) AS ratio,
             round(sum(weight) / sum(sum(weight)) OVER (), 3) AS weight_ratio FROM (
                 SELECT class, CASE WHEN class = 1 THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM training)
-            GROUP BY class""", **_SPLIT),
+            GROUP BY class""", **SPLIT_SQL),
     ),
     "triplet_split": Query(
         triplet_split,
         with_sql("SELECT user_id, song_id, play_count, bits / 4294967296.0::DOUBLE < 0.7::DOUBLE AS in_train FROM drawn"),
     ),
+    "split_report": Query(
+        lambda spark, sf: sampling.split_report(freeze(triplet_split(spark, sf))),
+        with_sql("""SELECT 'training' AS part, count(*) AS n_rows, count(DISTINCT user_id) AS n_users FROM train
+            UNION ALL SELECT 'holdout', count(*), count(DISTINCT user_id) FROM held_out
+            UNION ALL SELECT 'warm', count(*), count(DISTINCT user_id) FROM test
+            UNION ALL SELECT 'scorable', count(*), count(DISTINCT user_id) FROM test WHERE song_id IN (SELECT song_id FROM train)
+            UNION ALL SELECT 'unseen_songs', count(*), count(DISTINCT user_id) FROM test
+                WHERE song_id NOT IN (SELECT song_id FROM train)"""),
+    ),
+    "warm_users_shuffled": Query(
+        lambda spark, sf: shuffled_warm_users(spark, sf),
+        with_sql("SELECT * FROM test"),
+    ),
     "warm_users": Query(lambda spark, sf: triplet_sides(spark, sf)[1], with_sql("SELECT * FROM test")),
     "shuffled": Query(
         lambda spark, sf: sampling.shuffled(t.active_triplets(spark, sf), ["user_id", "song_id"]),

@@ -124,8 +124,8 @@ def binary_tracks(spark: SparkSession, sf: str) -> DataFrame:
 def genre_tracks(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled features with a class per genre."""
     tracks = freeze(labelled_features(spark, sf))
-    indexer = features.label_indexer(tracks, "genre")
-    return indexer.transform(tracks).withColumn("class", F.col("class").cast("int"))
+    indexed = features.apply_index(tracks, freeze(features.frequency_index(tracks, "genre", "class")), "genre")
+    return indexed.select(*tracks.columns, "class")
 
 
 _SQL_PARTS = {

@@ -10,7 +10,6 @@ from harkline.operators.frozen import freeze
 from harkline.plans import tables as t
 from harkline.plans.tables import FEATURES, Query, with_sql
 
-EMBEDDING_SIZE = 64
 SUMMARY_DIGITS = {"mean": 7, "stddev": 5, "min": 8, "max": 8}
 
 
@@ -30,11 +29,26 @@ def high_correlation_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 def wide_correlation(spark: SparkSession, sf: str) -> DataFrame:
     """Correlations of every pair of embedding dimensions, by the vector route."""
-    names = [f"v{i:02d}" for i in range(1, EMBEDDING_SIZE + 1)]
-    wide = t.table(spark, sf, "embeddings").select(
-        *[F.get("embedding", F.lit(i)).cast("double").alias(name) for i, name in enumerate(names)]
-    )
-    return correlate.feature_correlation(wide, names).withColumn("corr", F.round("corr", 6))
+    wide = wide_features(spark, sf)
+    return correlate.feature_correlation(wide, wide.columns).withColumn("corr", F.round("corr", 6))
+
+
+def wide_features(spark: SparkSession, sf: str) -> DataFrame:
+    """A column for each place of the embeddings, which must all be of one length."""
+    embeddings = t.table(spark, sf, "embeddings")
+    shortest, longest = embeddings.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).head()
+    if shortest != longest:
+        raise ValueError(f"embeddings are {shortest} to {longest} long")
+    at = range(1, (longest or 0) + 1)
+    return embeddings.select(*[F.get("embedding", F.lit(i - 1)).cast("double").alias(f"v{i:02d}") for i in at])
+
+
+def wide_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of more columns than one plan holds side by side: every embedding dimension and two whole numbers."""
+    lines = profile.feature_summary(t.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+    wide = wide_features(spark, sf)
+    summary = profile.feature_summary(wide, wide.columns).unionByName(lines)
+    return summary.select("feature", "n", *[F.round(s, 6).alias(s) for s in ("mean", "stddev", "min", "max")])
 
 
 def assembled(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,8 +62,7 @@ def assembled(spark: SparkSession, sf: str) -> DataFrame:
 
 def genre_index(spark: SparkSession, sf: str) -> DataFrame:
     tracks = freeze(t.labelled_features(spark, sf).select("genre"))
-    indexed = features.label_indexer(tracks, "genre").transform(tracks)
-    return indexed.select("genre", F.col("class").cast("int").alias("class")).distinct()
+    return features.frequency_index(tracks, "genre", "class").select("genre", "class")
 
 
 _PAIRS_SQL = " UNION ALL ".join(
@@ -104,11 +117,19 @@ QUERIES = {
     ),
     "wide_correlation": Query(
         wide_correlation,
-        f"""WITH long AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS at
+        """WITH long AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS at
                 FROM embeddings)
             SELECT 'v' || lpad(a.at::VARCHAR, 2, '0') AS i, 'v' || lpad(b.at::VARCHAR, 2, '0') AS j,
                 round(corr(a.v, b.v), 6) AS corr
-            FROM long a JOIN long b ON a.vec_id = b.vec_id AND a.at < b.at AND b.at <= {EMBEDDING_SIZE} GROUP BY a.at, b.at""",
+            FROM long a JOIN long b ON a.vec_id = b.vec_id AND a.at < b.at GROUP BY a.at, b.at""",
+    ),
+    "wide_summary": Query(
+        wide_summary,
+        """WITH long AS (
+              SELECT 'v' || lpad(generate_subscripts(embedding, 1)::VARCHAR, 2, '0') AS feature, unnest(embedding)::DOUBLE AS v FROM embeddings
+              UNION ALL SELECT 'l_orderkey', l_orderkey FROM lineitem UNION ALL SELECT 'l_linenumber', l_linenumber FROM lineitem)
+            SELECT feature, count(*) AS n, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS stddev, round(min(v), 6) AS min, round(max(v), 6) AS max
+            FROM long GROUP BY feature""",
     ),
     "assembled": Query(
         assembled,

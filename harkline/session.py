@@ -8,10 +8,10 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A session for tests and benchmarks on one machine.
+    """A session for tests and benchmarks on one machine, with a checkpoint folder of its own.
 
     On a cluster the caller brings a session of their own; nothing in the
-    package depends on the settings below.
+    package depends on the settings below but the checkpoint folder.
     """
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -19,6 +19,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="harkline-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -28,14 +29,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def scratch_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables, shared by all executors.
 
-    This is the checkpoint folder the session names. A temporary folder stands
-    in only in local mode, where driver and executors are one process.
+    This is the checkpoint folder the session names in ``spark.checkpoint.dir``. A temporary folder stands
+    in only where none is named in local mode, where driver and executors are one process.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None:
-            if not context.master.startswith("local"):
+            if context.master.partition("[")[0] != "local":
                 raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
             named = tempfile.mkdtemp(prefix="harkline-")
         context.setCheckpointDir(named)

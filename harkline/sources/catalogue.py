@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -75,7 +77,9 @@ class Catalogue:
 
 def file_catalogue(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root``: path, folder, depth, length and time; contents are not read."""
-    below = F.regexp_replace(F.col("path"), f"^.*?{root.rstrip('/')}/", "")
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    below = F.regexp_replace(F.col("path"), f"^{re.escape(whole)}/", "")
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)

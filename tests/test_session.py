@@ -20,8 +20,9 @@ def test_the_named_folder_is_used():
 
 
 def test_a_cluster_must_name_a_folder():
-    with pytest.raises(ValueError):
-        scratch_dir(fake("spark://host:7077"))
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError):
+            scratch_dir(fake(master))
 
 
 def test_local_mode_falls_back_to_a_temporary_folder():
@@ -29,5 +30,9 @@ def test_local_mode_falls_back_to_a_temporary_folder():
     assert scratch_dir(session) == scratch_dir(session)
 
 
+def test_our_sessions_name_a_folder(spark):
+    assert spark.conf.get("spark.checkpoint.dir") in scratch_dir(spark)
+
+
 def test_tables_lie_in_the_folder(spark):
     assert tables_dir(spark).startswith(scratch_dir(spark))

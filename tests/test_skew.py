@@ -38,31 +38,27 @@ def facts(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("max_cells", [None, 0])
-def test_lookup_join_equals_plain_join(spark, facts, how, max_cells):
+@pytest.mark.parametrize("max_bytes", [None, 0])
+def test_lookup_join_equals_plain_join(spark, facts, how, max_bytes):
     lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("absent", 4)], "key string, w int")
     if how in ("left_semi", "left_anti"):
         lookup = lookup.select("key")
-    ours = lookup_join(facts, lookup, "key", how, max_cells=max_cells)
+    ours = lookup_join(facts, lookup, "key", how, max_bytes=max_bytes)
     plain = facts.join(lookup, "key", how)
     assert ours.columns == plain.columns
     assert sorted(map(repr, ours.collect())) == sorted(map(repr, plain.collect()))
 
 
-def test_hot_keys_are_found(spark, facts, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_KEYS", 20)
-    expected = facts.groupBy("key").count().filter("count > 6000 / 20").select(F.xxhash64("key")).collect()
-    assert sorted(joins.hot_hashes(facts, ["key"])) == sorted(r[0] for r in expected)
-    assert joins.hot_hashes(facts.limit(0), ["key"]) == []
+def test_keys_to_spread_are_found(spark, facts):
+    expected = facts.groupBy("key").count().filter("count > 300").select(F.xxhash64("key"), F.ceil(F.col("count") / 300)).collect()
+    assert sorted(joins.spread_keys(facts, ["key"], 300).collect()) == sorted(expected) and expected
+    assert joins.spread_keys(facts.limit(0), ["key"], 300).count() == 0
 
 
-@pytest.mark.parametrize("hot", [[], None])
-def test_hot_keys_matter_for_speed_only(spark, facts, monkeypatch, hot):
+@pytest.mark.parametrize("task_rows", [1, 100, 10**9])
+def test_spreading_matters_for_speed_only(spark, facts, task_rows):
     lookup = spark.createDataFrame([("hot", 1), ("k1", 2)], "key string, w int")
-    if hot is None:
-        hot = [r[0] for r in facts.select(F.xxhash64("key")).distinct().collect()]
-    monkeypatch.setattr(joins, "hot_hashes", lambda *_: hot)
-    ours = lookup_join(facts, lookup, "key", "inner", max_cells=0)
+    ours = lookup_join(facts, lookup, "key", "inner", max_bytes=0, task_rows=task_rows)
     assert sorted(ours.collect()) == sorted(facts.join(lookup, "key").collect())
 
 
@@ -70,23 +66,55 @@ def test_large_lookup_spreads_the_hot_key(spark, facts):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         lookup = spark.createDataFrame([("hot", 1), ("k1", 2)], "key string, w int")
-        joined = lookup_join(facts, lookup, "key", "inner", max_cells=0).filter("key = 'hot'")
+        joined = lookup_join(facts, lookup, "key", "inner", max_bytes=0, task_rows=500).filter("key = 'hot'")
         assert joined.groupBy(F.spark_partition_id()).count().count() > 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_lookup_key_of_another_type(spark):
-    facts = spark.range(100).selectExpr("id AS key", "id % 7 AS v")
-    lookup = spark.range(0, 100, 3).selectExpr("cast(id AS int) AS key", "1 AS w")
-    for max_cells in (None, 0):
-        assert lookup_join(facts, lookup, "key", "inner", max_cells=max_cells).count() == 34
+NUMBERS = [1.0, 1.5, 2.0, 2.0**40, None]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("types", [("int", "double"), ("double", "int"), ("int", "bigint"), ("bigint", "int"), ("int", "decimal(9,2)"), ("decimal(5,1)", "decimal(20,4)")])
+def test_lookup_key_of_another_number_type(spark, types, how):
+    def fits(kind):
+        return [x for x in NUMBERS if x is None or ((x < 2**31 or kind in ("double", "bigint", "decimal(20,4)")) and (x % 1 == 0 or "int" not in kind))]
+
+    facts = spark.createDataFrame([(x,) for x in fits(types[0]) * 3], "key double").select(F.col("key").cast(types[0]))
+    lookup = spark.createDataFrame([(x, "w") for x in fits(types[1])], "key double, w string").select(F.col("key").cast(types[1]), "w")
+    plain = facts.join(lookup, "key", how)
+    for max_bytes in (None, 0):
+        ours = lookup_join(facts, lookup, "key", how, max_bytes=max_bytes, task_rows=1)
+        assert ours.schema["key"].dataType == facts.schema["key"].dataType
+        key = lambda df: sorted((repr(None if r["key"] is None else float(r["key"])), *r[1:]) for r in df.collect())
+        assert [repr(r) for r in key(ours)] == [repr(r) for r in key(plain)]
+
+
+def test_lookup_keys_that_do_not_compare_are_refused(spark):
+    facts, lookup = spark.createDataFrame([("01", 1)], "key string, v int"), spark.createDataFrame([(1, 2)], "key int, w int")
+    for max_bytes in (None, 0):
+        with pytest.raises(TypeError, match="cast one first"):
+            lookup_join(facts, lookup, "key", "inner", max_bytes=max_bytes)
+
+
+def test_facts_with_a_map_column(spark):
+    facts = spark.createDataFrame([(i % 3, {"a": i}, [{"b": i}]) for i in range(30)], "key int, m map<string,int>, l array<map<string,int>>")
+    lookup = spark.createDataFrame([(0, "x"), (1, "y")], "key int, w string")
+    for max_bytes in (None, 0):
+        ours = lookup_join(facts, lookup, "key", "left", max_bytes=max_bytes, task_rows=2)
+        assert sorted(map(repr, ours.collect())) == sorted(map(repr, facts.join(lookup, "key", "left").collect()))
+
+
+def test_lookup_size_is_in_bytes(spark):
+    long = spark.createDataFrame([(1, "x" * 1000, [1] * 500), (2, None, None)], "key int, t string, a array<int>")
+    assert 2000 < joins.stored_bytes(long) < 3000 and joins.stored_bytes(long.limit(0)) == 0
 
 
 def test_lookup_join_on_two_keys(spark, facts):
     lookup = facts.filter("id % 3 = 0").select("id", "key", F.lit(1).alias("w"))
-    for max_cells in (None, 0):
-        ours = lookup_join(facts, lookup, ["id", "key"], "inner", max_cells=max_cells)
+    for max_bytes in (None, 0):
+        ours = lookup_join(facts, lookup, ["id", "key"], "inner", max_bytes=max_bytes)
         assert sorted(ours.collect()) == sorted(facts.join(lookup, ["id", "key"]).collect())
 
 
@@ -184,7 +212,7 @@ def test_density_of_equal_values_is_undefined(spark):
 def test_both_summary_routes_agree(spark):
     df = spark.createDataFrame([(1, 2.5), (None, 4.0), (7, None), (4, 1.0)], "a int, b double")
     few = profile.feature_summary(df, ["a", "b"]).collect()
-    many = profile.feature_summary(df, ["a", "b"], max_wide=0).collect()
+    many = profile.feature_summary(df, ["a", "b"], block_columns=1).collect()
     assert sorted(map(tuple, few)) == sorted(map(tuple, many))
     assert {r["feature"]: r["n"] for r in few} == {"a": 3, "b": 3}
 
