@@ -107,3 +107,26 @@ def test_both_correlation_routes_agree(spark):
     assert {(r["i"], r["j"]) for r in correlate.high_correlation_pairs(everything).collect()} == {("a", "b")}
     strong = correlate.high_correlation_pairs(everything, absolute=True).collect()
     assert ("b", "c") in {(r["i"], r["j"]) for r in strong}
+
+
+def test_macro_auroc_leaves_out_classes_without_one(spark):
+    areas = spark.createDataFrame([(0, 0.5), (1, 1.0), (2, float("nan")), (3, None)], "class int, auroc double")
+    row = metrics.macro_auroc(areas).head()
+    assert (row["n_classes"], row["macro_auroc"]) == (2, 0.75)
+
+
+@pytest.mark.parametrize("max_pairwise", [0, 12])
+def test_correlation_of_few_or_missing_rows(spark, max_pairwise):
+    def corr(rows, **more):
+        df = spark.createDataFrame(rows, "a double, b int")
+        return [r["corr"] for r in correlate.feature_correlation(df, ["a", "b"], max_pairwise=max_pairwise, **more).collect()]
+
+    assert all(math.isnan(c) for c in corr([]) + corr([(1.0, 2)]) + corr([(1.0, 2), (1.0, 3)]))
+    rows = [(1.0, 2), (2.0, 4), (3.0, 6), (None, 1), (float("nan"), 5)]
+    assert corr(rows, handle_invalid="skip") == pytest.approx([1.0])
+    with pytest.raises(Exception, match="(?i)null|missing|nan"):
+        corr(rows[:4])
+    with pytest.raises(Exception, match="(?i)null|missing|nan"):
+        corr([*rows[:3], rows[4]])
+    with pytest.raises(ValueError):
+        corr(rows, handle_invalid="keep")

@@ -224,3 +224,30 @@ def test_released_tables_are_gone(spark):
     release_tables(spark)
     with pytest.raises(Exception):
         table.count()
+
+
+@pytest.mark.parametrize("block_columns", [1, 50])
+def test_summaries_are_doubles(spark, block_columns):
+    df = spark.createDataFrame([(9007199254740993, 1.5), (2, None)], "a bigint, b double")
+    rows = {r["feature"]: r for r in profile.feature_summary(df, ["a", "b"], block_columns).collect()}
+    assert rows["a"]["max"] == 9007199254740992.0 and rows["b"]["n"] == 1
+    assert {f.dataType.simpleString() for f in profile.feature_summary(df, ["a", "b"], block_columns).schema[2:]} == {"double"}
+
+
+def test_activity_until_stable(spark):
+    rows = [(f"u{u}", f"s{s}", 10) for u in range(6) for s in range(u + 1)] + [("u9", s, 10) for s in ("s0", "s1", "rare")]
+    triplets = spark.createDataFrame(rows, "user_id string, song_id string, play_count int")
+    once = clean.active_subset(triplets, min_plays=30, min_songs=3)
+    left = {(u, s): n for u, s, n in rows}
+    while True:
+        plays, songs = {}, {}
+        for (u, s), n in left.items():
+            plays[s] = plays.get(s, 0) + n
+            songs[u] = songs.get(u, 0) + 1
+        kept = {(u, s): n for (u, s), n in left.items() if plays[s] >= 30 and songs[u] >= 3}
+        if len(kept) == len(left):
+            break
+        left = kept
+    stable = clean.active_subset(triplets, min_plays=30, min_songs=3, until_stable=True)
+    assert {(r["user_id"], r["song_id"]) for r in stable.collect()} == set(left)
+    assert 0 < len(left) < once.count()

@@ -101,3 +101,11 @@ def test_file_catalogue(spark, tmp_path):
 def test_preview_is_ordered(spark):
     df = spark.range(100).selectExpr("100 - id AS v")
     assert values(catalogue.preview(df, ["v"], 3)) == [(1,), (2,), (3,)]
+
+
+def test_catalogue_of_a_root_with_odd_characters(spark, tmp_path):
+    folder = tmp_path / "a+b (c)" / "deep"
+    folder.mkdir(parents=True)
+    (folder / "x.txt").write_text("hello")
+    row = catalogue.file_catalogue(spark, str(tmp_path / "a+b (c)")).head()
+    assert (row["path"], row["folder"], row["depth"], row["length"]) == ("deep/x.txt", "deep", 2, 5)
