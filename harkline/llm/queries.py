@@ -11,7 +11,7 @@ from harkline.operators.frozen import freeze
 from harkline.plans.tables import Query, table
 from harkline.session import tables_dir
 
-WORD_SQL = r"[^\x20\x09-\x0D]+"
+_WORDS_SQL = r"coalesce(regexp_extract_all({text}, '[^\x20\x09-\x0D]+'), [])"
 
 
 def op1_decontamination(spark: SparkSession, sf: str) -> DataFrame:
@@ -24,6 +24,18 @@ def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+OP2_SQL = f"""
+    WITH texts AS (SELECT doc_id, {_WORDS_SQL.format(text='text')} AS w FROM documents),
+      windows AS (SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM texts)),
+      repeats AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS nth FROM windows) WHERE nth > 1),
+      gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM repeats),
+      words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM texts),
+      kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+    FROM texts LEFT JOIN kept USING (doc_id)"""
+
+
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf, "documents")).drop("text_key")
 
@@ -36,6 +48,23 @@ def op5_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf, "documents")).drop("text_key")
 
 
+_LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP5_SQL = f"""
+    WITH RECURSIVE texts AS (SELECT doc_id, {_WORDS_SQL.format(text=_LOWER_SQL)} AS w FROM documents),
+      shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts WHERE len(w) > 0)),
+      sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+      shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+      links AS (SELECT x, y, n_both = a.n AND n_both = b.n AS alike FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+        WHERE 100 * n_both >= 75 * (a.n + b.n - n_both)),
+      sides AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+      reach AS (SELECT doc_id AS x, doc_id AS y FROM texts UNION SELECT r.x, s.y FROM reach r JOIN sides s ON r.y = s.x),
+      smallest AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+      classes AS (SELECT y, min(x) AS class_id FROM links WHERE alike GROUP BY y)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(class_id, doc_id) AS class_id
+    FROM texts JOIN smallest ON x = doc_id LEFT JOIN sizes USING (doc_id) LEFT JOIN classes c ON c.y = doc_id"""
+
+
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Four batches: every document; a seventh of them deleted; a fifth of the rest revised to two tokens
     more; and the first batch sent again, which changes nothing."""
@@ -53,10 +82,10 @@ def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return rows.totals()
 
 
-OP6_SQL = """
+OP6_SQL = f"""
     WITH counted AS (
       SELECT doc_id, source, lang, 'words-1' AS tokenizer,
-             CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS tokens FROM documents
+             len({_WORDS_SQL.format(text='text')}) AS tokens FROM documents
       UNION ALL
       SELECT doc_id, source, lang, 'bytes-1', CAST(coalesce(strlen(text), 0) AS BIGINT) FROM documents)
     SELECT source, lang, tokenizer, count(*) AS n_docs,
@@ -89,9 +118,9 @@ def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": Query(op1_decontamination),
     "op4_url_filter": Query(op4_url_filter),
-    "op5_ngram_jaccard": Query(op5_ngram_jaccard),
+    "op5_ngram_jaccard": Query(op5_ngram_jaccard, OP5_SQL),
     "op6_token_counts": Query(op6_token_counts, OP6_SQL),
-    "op2_substring_dedup": Query(op2_substring_dedup),
+    "op2_substring_dedup": Query(op2_substring_dedup, OP2_SQL),
     "op3_quality_rules": Query(op3_quality_rules),
     "op7_line_dedup": Query(op7_line_dedup),
     "op8_class_lm": Query(op8_class_lm),

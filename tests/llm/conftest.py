@@ -34,7 +34,7 @@ def odd_texts():
     for i in range(110, 116):
         own = [sentence(rng, 5) for _ in range(6)]
         rows.append((i, "\n".join([*own[:3], *lines[i % 3 : 4 + i % 4], "", *own[3:]])))
-    rows += [(120, None), (121, ""), (122, " \n\t\n"), (123, "one"), (124, "one"), (125, "A b C d e"), (126, "a b c d e")]
+    rows += [(120, None), (121, ""), (122, " \n\t\n"), (123, "one"), (124, "one"), (125, "A b\xa0C\u2003d e"), (126, "a b\xa0c\u2003d e")]
     rows += [(127, "Éa \x1c ü\x0bß � 漢字 " * 30), (128, "same " * 400), (129, "la\nla\nla\nla\nla\nla\n" * 3)]
     rows += [(130, sentence(rng, 6000)), (131, "x" * 5000 + " " + "y" * 300), (132, f"{passage}\n{passage}")]
     rows += [(140, passage), (140, passage), (141, "B C d e f g"), (141, "h i j k l m"), (None, base), (None, sentence(rng, 30))]
