@@ -64,7 +64,7 @@ def fit_all(
         fits["logistic regression", "weighted"] = logistic_regression("weight"), weighted
 
     with ThreadPoolExecutor(parallelism) as pool:
-        fit = inheritable_thread_target(lambda estimator_and_rows: estimator_and_rows[0].fit(estimator_and_rows[1]))
+        fit = inheritable_thread_target(train.sparkSession)(lambda estimator_and_rows: estimator_and_rows[0].fit(estimator_and_rows[1]))
         return dict(zip(fits, pool.map(fit, fits.values())))
 
 

@@ -19,14 +19,34 @@ def running_total(
 
     ``totals`` maps a new column name to the whole-number expression to add up.
 
-    A window over ``within`` alone would sort a whole group in one task. Here the
+    Groups of more than a part's rows are added up in parts, the others by a window each. Groups are
+    counted for that before their rows are moved; fewer than one row per part is broadcast.
+    """
+    group = list(within)
+    if not group:
+        return _in_parts(df, totals, order, group)
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    large = freeze(sizes.filter(F.col("_n") > 2**PART_BITS).select(*[F.col(g).alias(f"_large_{g}") for g in group]))
+    if large.isEmpty():
+        return _in_windows(df, totals, order, group)
+    same = [F.col(g).eqNullSafe(F.col(f"_large_{g}")) for g in group]
+    small_rows, large_rows = (df.join(F.broadcast(large), same, how) for how in ("left_anti", "left_semi"))
+    return _in_windows(small_rows, totals, order, group).unionByName(_in_parts(large_rows, totals, order, group))
+
+
+def _in_windows(df: DataFrame, totals: dict[str, Column], order: Sequence[Column], group: list[str]) -> DataFrame:
+    here = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.select("*", *[F.sum(e.cast("long")).over(here).alias(n) for n, e in totals.items()])
+
+
+def _in_parts(df: DataFrame, totals: dict[str, Column], order: Sequence[Column], group: list[str]) -> DataFrame:
+    """A window over a group would sort it whole in one task. Here the
     rows are range partitioned by group *and* order, so a large group spreads over
     many partitions, and cut into parts of at most ``2 ** PART_BITS`` rows. Each part
     adds up its own rows, and what earlier parts hold of the same group is added on
     top. Only the group that a part begins with can have started earlier, so there
     is at most one such amount per part, which is what bounds the broadcast.
     """
-    group = list(within)
     ordering = [*[F.col(g).asc() for g in group], *order]
     laid = df.select("*", *[e.cast("long").alias(f"_add_{n}") for n, e in totals.items()])
     laid = laid.repartitionByRange(*ordering).sortWithinPartitions(*ordering)

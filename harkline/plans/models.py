@@ -82,6 +82,13 @@ def cv_grid(spark: SparkSession, sf: str) -> DataFrame:
     return settings
 
 
+def tuned_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics on the test side of the best model of the same small grid."""
+    train, test = binary_sides(spark, sf)
+    model, _ = classify.tune_boosted_trees(train, KEY, sampling_rates=[0.5, 1.0], iterations=[5], depths=[3, 5], folds=2)
+    return classify.compare_models({("boosted trees", "tuned"): model}, test)
+
+
 @lru_cache(maxsize=4)
 def triplet_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     train, test = splits.triplet_sides(spark, sf)
@@ -188,6 +195,7 @@ QUERIES = {
     "rf_multiclass_metrics": Query(rf_multiclass_metrics),
     "model_comparison": Query(model_comparison),
     "cv_grid": Query(cv_grid),
+    "tuned_metrics": Query(tuned_metrics),
     "id_index": Query(
         id_index,
         t.with_sql(

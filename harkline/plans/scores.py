@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from harkline.operators import metrics, ranking
 from harkline.plans import tables as t
-from harkline.plans.splits import triplet_sides
+from harkline.plans.models import triplet_sides
 from harkline.plans.tables import Query, with_sql
 
 K = 10
@@ -65,6 +65,15 @@ def list_metric(name: str):
     return run
 
 
+_LIST_METRICS = ["precision_at_k", "ndcg_at_k", "map_at_k"]
+
+
+def list_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """All three metrics of the same lists at once."""
+    train, test = triplet_sides(spark, sf)
+    return metrics.ranking_metrics(popular_lists(train), test, K).select("n_users", *[rounded(m) for m in _LIST_METRICS])
+
+
 def rounded(name: str, digits: int = 9):
     return F.round(name, digits).alias(name)
 
@@ -191,6 +200,12 @@ QUERIES = {
             WHERE position <= {LISTED}"""),
     ),
     "relevant_items": Query(relevant_items, _ranking_sql("test")),
+    "list_metrics": Query(
+        list_metrics,
+        with_sql(
+            f"SELECT count(*) AS n_users, {', '.join(f'round(avg({m}), 9) AS {m}' for m in _LIST_METRICS)} FROM per_user", **_LISTS
+        ),
+    ),
     "precision_at_k": Query(list_metric("precision_at_k"), _list_sql("precision_at_k")),
     "ndcg_at_k": Query(list_metric("ndcg_at_k"), _list_sql("ndcg_at_k")),
     "map_at_k": Query(list_metric("map_at_k"), _list_sql("map_at_k")),

@@ -27,7 +27,6 @@ MIN_PLAYS = 600
 MIN_SONGS = 30
 POSITIVE_GENRE = "Brand#4"
 MISMATCHED_SIZE = 2  # parts up to this size are on the mismatch list
-LABELLED_SIZE = 45  # parts up to this size have a genre
 FEATURES = ["n", "sq", "aq", "sd", "sp", "ap", "ad"]
 
 
@@ -107,8 +106,7 @@ def feature_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def genres(spark: SparkSession, sf: str) -> DataFrame:
-    part = table(spark, sf, "part").filter(F.col("p_size") <= LABELLED_SIZE)
-    return part.select(_code("T", "p_partkey").alias("track_id"), F.col("p_brand").alias("genre"))
+    return table(spark, sf, "part").select(_code("T", "p_partkey").alias("track_id"), F.col("p_brand").alias("genre"))
 
 
 def labelled_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -159,7 +157,7 @@ _SQL_PARTS = {
     "plain_features": """
         SELECT substr("MSD_TRACKID", 2, 18) AS track_id, * EXCLUDE ("MSD_TRACKID") FROM features""",
     "genres": f"""
-        SELECT {_code_sql('T', 'p_partkey')} AS track_id, p_brand AS genre FROM part WHERE p_size <= {LABELLED_SIZE}""",
+        SELECT {_code_sql('T', 'p_partkey')} AS track_id, p_brand AS genre FROM part""",
     "labelled": "SELECT g.track_id, g.genre, f.* EXCLUDE (track_id) FROM genres g JOIN plain_features f USING (track_id)",
     "binary_tracks": f"""
         SELECT *, CASE WHEN genre = '{POSITIVE_GENRE}' THEN 1 ELSE 0 END AS class FROM labelled""",
