@@ -1,7 +1,7 @@
 """Substring dedup with super-k-mers: passages that occur earlier lose their words.
 
 A window is ``WINDOW`` words in a row. Each window has a minimiser, the smallest hash of ``MINIMISER`` words in
-a row inside it. Neighbouring windows mostly share it, and travel as one packed string to the bucket of
+a row inside it, of long words if there are any. Neighbouring windows mostly share it, and travel as one packed string to the bucket of
 their minimiser, where equal windows meet, as they have equal minimisers. There, words are numbered and
 windows sorted; equal ones are compared word by word, so the counts are exact. All but the earliest of equal
 windows are sent back as runs of words.
@@ -23,11 +23,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from harkline.llm import text as T
 
-WINDOW, MINIMISER = 20, 5
+WINDOW, MINIMISER = 20, 2
+#: Minimisers are taken from longer words first, which are rarer, so that no minimiser has too many windows.
+LONG_WORD = 5
 #: Bytes of text whose windows share a bucket, on average.
 BUCKET_BYTES = 5_000_000
 _LAST = (1 << 63) - 1
 
+#: Bytes of text in which packed strings that repeat are sent once.
+CHUNK_BYTES = 4_000_000
+#: How hard strings and texts are compressed before they are moved.
+LEVEL = 6
 _PACKED = "bucket int, doc binary, key binary, start binary, stop binary, words binary"
 _RUNS = "doc long, key long, start int, stop int"
 
@@ -41,12 +47,18 @@ def _smallest(values: np.ndarray, wide: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (wide - have)], values[wide - have :]) if wide > have else values
 
 
+def _any_of(flags: np.ndarray, wide: int) -> np.ndarray:
+    return np.uint64(1) - _smallest(np.uint64(1) - flags, wide)
+
+
 def _super_windows(words: T.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word, end of words and minimiser of each run of neighbouring windows with one minimiser."""
     if len(words.start) < WINDOW:
         none = np.zeros(0, np.int64)
         return none, none, none.astype(np.uint64)
-    least = _smallest(T.run_hashes(words.hashes(), MINIMISER), WINDOW - MINIMISER + 1)
+    short = (words.end - words.start < LONG_WORD).astype(np.uint64)
+    order = T.run_hashes(words.hashes(), MINIMISER) >> np.uint64(1) | _any_of(short, MINIMISER) << np.uint64(63)
+    least = _smallest(order, WINDOW - MINIMISER + 1)
     at = np.flatnonzero(words.spans(WINDOW))
     cut = np.ones(len(at), bool)
     cut[1:] = (np.diff(at) > 1) | (least[at[1:]] != least[at[:-1]])
@@ -57,7 +69,7 @@ def _super_windows(words: T.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _pack(buckets: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in T.chunks(batches):
+        for chunk in T.chunks(batches, CHUNK_BYTES):
             doc, key = chunk.column("doc").to_numpy(), chunk.column("key").to_numpy()
             order = np.argsort(doc, kind="stable")
             doc, key = doc[order], key[order]
@@ -84,12 +96,11 @@ def _pack(buckets: int):
                 yield _rows([(-1, np.flatnonzero(~sent), b"")], bucket, doc[of], key[of], start, stop, buckets)
             at = np.flatnonzero(sent)
             at = at[np.argsort(bucket[at], kind="stable")]
-            zip_ = zstandard.ZstdCompressor(level=3)
             cuts = np.flatnonzero(np.diff(bucket[at], prepend=-1, append=buckets))
             groups = []
             for x, y in zip(cuts, cuts[1:]):
                 part = at[x:y]
-                groups.append((int(bucket[part[0]]), part, zip_.compress(b"\n".join([strings[i] for i in part.tolist()]))))
+                groups.append((int(bucket[part[0]]), part, zstandard.ZstdCompressor(level=LEVEL).compress(b"\n".join([strings[i] for i in part.tolist()]))))
             if groups:
                 yield _rows(groups, bucket, doc[of], key[of], start, stop, buckets)
 
@@ -180,22 +191,29 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("key"), "text")
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for chunk in T.chunks(batches):
-        counts, gone, kept = [], [], []
-        for text, runs in zip(T.raw(chunk.column("text")), chunk.column("runs").to_pylist()):
-            words = (text or b"").split()
-            counts.append(len(words))
-            if runs:
-                hit = np.zeros(len(words), bool)
-                for r in runs:
-                    hit[r["start"] : r["stop"]] = True
-                words = [w for w, h in zip(words, hit) if not h]
-            gone.append(counts[-1] - len(words))
-            kept.append(b" ".join(words))
-        yield chunk.select(["doc_id"]).append_column("n_words", pa.array(counts, pa.int64())).append_column("n_removed", pa.array(gone, pa.int64())).append_column(
-            "kept", pa.array(kept, pa.binary()).cast(pa.string())
-        )
+        packed = [zstandard.ZstdCompressor(level=LEVEL).compress(t or b"") for t in T.raw(chunk.column("text"))]
+        yield chunk.select(["doc_id", "doc", "key"]).append_column("packed", pa.array(packed, pa.binary()))
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a in range(0, batch.num_rows, 1000):
+            chunk = batch.slice(a, 1000)
+            counts, gone, kept = [], [], []
+            for packed, runs in zip(chunk.column("packed").to_pylist(), chunk.column("runs").to_pylist()):
+                words = zstandard.ZstdDecompressor().decompress(packed).split()
+                counts.append(len(words))
+                if runs:
+                    hit = np.zeros(len(words), bool)
+                    for r in runs:
+                        hit[r["start"] : r["stop"]] = True
+                    words = [w for w, h in zip(words, hit) if not h]
+                gone.append(counts[-1] - len(words))
+                kept.append(b" ".join(words))
+            columns = [chunk.column("doc_id"), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept"])
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
@@ -207,5 +225,6 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     A null or empty text has no words. A null id comes last. Rows with one id and one text are one document. No rows give no rows.
     """
     runs = repeated_runs(docs).groupBy("doc", "key").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
-    rows = _keyed(docs.select("doc_id", "text")).withColumn("doc_id", F.when(F.col("doc") != _LAST, F.col("doc")))
-    return rows.join(runs, ["doc", "key"], "left").select("doc_id", "text", "runs").mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept string")
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("key"), "text")
+    rows = rows.mapInArrow(_zip, "doc_id long, doc long, key long, packed binary")
+    return rows.join(runs, ["doc", "key"], "left").select("doc_id", "packed", "runs").mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept string")
