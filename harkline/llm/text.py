@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 #: The pattern of a word, for Spark's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text is worked on in chunks of about so many bytes.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -38,11 +38,21 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def lowered(text: str | Column) -> Column:
+    """A text column with A-Z as a-z, and nothing else changed."""
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """Bytes of all texts, from which numbers of buckets follow."""
     return docs.agg(F.sum(F.octet_length(text))).head()[0] or 0
 
 
+def any_of(number: int, count: int) -> int:
+    """One of ``count``, evenly over numbers that may follow each other."""
+    return int(mix(np.array([number], np.uint64))[0] % np.uint64(count))
+
+
 def is_space(buffer: np.ndarray) -> np.ndarray:
     return _SPACE[buffer]
 
