@@ -124,7 +124,7 @@ def language_references(docs: DataFrame, limits: Limits = Limits(), lang: str =
     docs = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     classes = docs.mapInArrow(_count_classes, _COUNTED).select("lang", F.posexplode("counts"))
     classes = classes.groupBy("lang", "pos").agg(F.sum("col").alias("n")).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("classes"))
-    counted = docs.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(T.WORD), F.lit(0))).alias("word")).groupBy("lang", "word").count()
+    counted = docs.select("lang", F.explode(F.regexp_extract_all(T.lowered("text"), F.lit(T.WORD), F.lit(0))).alias("word")).groupBy("lang", "word").count()
     counted = freeze(counted)
     totals = F.broadcast(counted.groupBy("lang").agg(F.sum("count").alias("total")))  # one row per language
     common = counted.alias("c").join(totals.alias("t"), F.col("c.lang").eqNullSafe(F.col("t.lang")))

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
+from harkline.llm.text import lowered
+
 #: Longest context of the models, in characters.
 ORDER = 4
 #: The models and the threshold are fitted to at most so many labelled URLs of each kind, those with the
@@ -37,7 +39,7 @@ def split_url(url: Column) -> tuple[Column, Column]:
     rest = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://(.*)$", 1)
     before = F.regexp_extract(rest, r"(?s)^([^?#]*)", 1)
     host = F.regexp_extract(before, r"(?s)^([^/]*)", 1)
-    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.substring(before, F.length(host) + F.lit(1), F.length(before))
+    return lowered(host), F.substring(before, F.length(host) + F.lit(1), F.length(before))
 
 
 def rule_of(host: Column, path: Column, rules: Iterable[tuple[str, str]] = RULES) -> Column:

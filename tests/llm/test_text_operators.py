@@ -98,7 +98,7 @@ def test_quality_references_and_distances(spark, sf):
     references = {r["lang"]: r for r in quality.language_references(docs)}
     assert set(references) == set(frame.lang)
     for lang, own in frame.groupby("lang"):
-        counts = Counter(w for t in own.text for w in brute.words(t.lower()))
+        counts = Counter(w for t in own.text for w in brute.words(brute.lowered(t)))
         total = sum(counts.values())
         assert references[lang]["words"] == {w: n for w, n in counts.items() if n * 400 >= total}
         assert references[lang]["others"] == total - sum(references[lang]["words"].values())
@@ -106,7 +106,7 @@ def test_quality_references_and_distances(spark, sf):
     judged = {r["doc_id"]: r for r in quality.judge_quality(docs).collect()}
     row = frame[frame.text.str.split().str.len() > 200].iloc[0]
     common = list(references[row.lang]["words"])
-    own = Counter(w for w in brute.words(row.text.lower()))
+    own = Counter(w for w in brute.words(brute.lowered(row.text)))
     p = np.array([*[own[w] for w in common], sum(own.values()) - sum(own[w] for w in common)], float)
     q = np.array([*references[row.lang]["words"].values(), references[row.lang]["others"]], float)
     p, q = p / p.sum(), q / q.sum()
