@@ -9,8 +9,8 @@ into ranges of shingles, and each range meets in one task:
    shares one of its first n - ceil(t n) + 1. A shingle that only one document has links nothing, so a document whose first
    part is made of those is done; most are.
 3. Sets that are equal become one. For the others, the first parts are the sparse rows that meet by shingle. First each set is
-   compared with one partner, the smallest set that shares a shingle, of several the one that shares the most. That joins most large groups at
-   once. Then only pairs of different groups are left: those that sizes and places in the order allow are
+   compared with one partner: of each shingle's sets the one that has most in common with all others, and of several such
+   the one that shares the most. That joins most large groups at once. Then only pairs of different groups are left: those that sizes and places in the order allow are
    counted in full.
 
 Shingles are 64-bit hashes where they are counted and 48 bits of them where sets are compared: the chance that two
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -43,7 +44,7 @@ _BITS = 48
 
 _SENT = "range int, block long, kind int, grams binary, held binary, docs binary"
 _BACK = "block long, kind int, grams binary, held binary, docs binary, total binary"
-_SETS = "doc long, text_key long, n long, node long, alone long, grams binary, first array<long>"
+_SETS = "doc long, text_key long, n long, node long, alone long, common double, grams binary, first array<long>"
 
 
 def shingle_sets(texts: list[bytes | None], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,6 +76,7 @@ def _send(ranges: int, most: int):
         part = TaskContext.get().partitionId()
         for number, chunk in enumerate(T.chunks(batches)):
             block = (part << 32) | number
+            any_range = T.any_of(block, ranges)  # what is not a range's own comes back to the block by any of them
             doc, grams, n = shingle_sets(T.raw(chunk.column("text")))
             first = np.concatenate([[0], np.cumsum(n)])
             nodes = np.array([xxhash.xxh3_64_intdigest(grams[a:b].tobytes()) for a, b in zip(first, first[1:])], np.uint64).view(np.int64)
@@ -84,10 +86,10 @@ def _send(ranges: int, most: int):
             begin = np.flatnonzero(np.diff(short, prepend=np.uint64(1 << 63)) != 0) if len(short) else np.zeros(0, np.int64)
             distinct, held = short[begin], np.diff(np.append(begin, len(short)))
             many = np.repeat(held > most, held)
-            rows = [(number % ranges, block, 2, T.pack(chunk.column("doc").to_numpy()), T.pack(n.astype(np.uint32)), T.pack(nodes))]
-            rows.append((number % ranges, block, 3, T.pack(chunk.column("text_key").to_numpy()), b"", b""))
+            rows = [(any_range, block, 2, T.pack(chunk.column("doc").to_numpy()), T.pack(n.astype(np.uint32)), T.pack(nodes))]
+            rows.append((any_range, block, 3, T.pack(chunk.column("text_key").to_numpy()), b"", b""))
             if many.any():
-                rows.append((number % ranges, block, 1, T.pack_sorted(distinct[held > most]), T.pack(held[held > most].astype(np.uint32)), T.pack(doc[many])))
+                rows.append((any_range, block, 1, T.pack_sorted(distinct[held > most]), T.pack(held[held > most].astype(np.uint32)), T.pack(doc[many])))
             few = np.concatenate([[0], np.cumsum(np.where(held > most, 0, held))])
             doc = doc[~many]
             cuts = np.searchsorted(distinct, [(r << _BITS) // ranges for r in range(ranges)] + [1 << _BITS])
@@ -105,8 +107,8 @@ def _send(ranges: int, most: int):
 def _count(most: int):
     def count(table: pa.Table) -> pa.Table:
         """Counts a range's shingles over all blocks; sends each block those that others, or more of its documents, have too."""
-        rows, out = table.to_pylist(), []
-        counted = [(r, T.unpack_sorted(r["grams"], np.uint64), T.unpack(r["held"], np.uint32)) for r in rows if r["kind"] == 0]
+        rows, out = table.filter(pc.equal(table.column("kind"), 0)).to_pylist(), []
+        counted = [(r, T.unpack_sorted(r["grams"], np.uint64), T.unpack(r["held"], np.uint32)) for r in rows]
         if counted:
             every, back = np.unique(np.concatenate([g for _, g, _ in counted]), return_inverse=True)
             total = np.bincount(back, np.concatenate([h for _, _, h in counted])).astype(np.int64)
@@ -119,12 +121,12 @@ def _count(most: int):
                     sent = np.where(held > most, 0, held)
                     docs = T.unpack(r["docs"], np.uint32)[np.repeat(twice, sent)]
                     out.append((r["block"], 0, T.pack_sorted(grams[twice]), T.pack(held[twice]), T.pack(docs), T.pack(of[twice])))
-        for r in rows:
-            if r["kind"]:
-                out.append((r["block"], r["kind"], r["grams"], r["held"], r["docs"], b""))
         columns = zip(*out) if out else [[]] * 6
         types = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "kind", "grams", "held", "docs", "total"])
+        made = pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "kind", "grams", "held", "docs", "total"])
+        passed = table.filter(pc.greater(table.column("kind"), 0)).select(made.column_names[:-1])
+        passed = passed.append_column("total", pa.nulls(len(passed), pa.binary()))
+        return pa.concat_tables([made, passed.cast(made.schema)])
 
     return count
 
@@ -157,6 +159,7 @@ def _gather(most: int):
         order = np.lexsort((g, t, d))
         g, d = g[order], d[order].astype(np.int64)
         shared = np.bincount(d, minlength=len(ids))
+        common = np.bincount(d, t[order], minlength=len(ids)) / np.maximum(n, 1)
         begin = np.concatenate([[0], np.cumsum(shared)])
         alone = n - shared
         more = first_part(n) - alone
@@ -170,7 +173,7 @@ def _gather(most: int):
                 firsts.append(None)
                 sets.append(None)
         return pa.table(
-            {"doc": ids, "text_key": keys, "n": n, "node": nodes, "alone": alone, "grams": pa.array(sets, pa.binary()), "first": pa.array(firsts, pa.list_(pa.int64()))}
+            {"doc": ids, "text_key": keys, "n": n, "node": nodes, "alone": alone, "common": common, "grams": pa.array(sets, pa.binary()), "first": pa.array(firsts, pa.list_(pa.int64()))}
         )
 
     return gather
@@ -215,18 +218,18 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, most: int = MANY
     held = freeze(back.groupBy("block").applyInArrow(_gather(most), _SETS))
 
     alike = held.filter("grams is not null").groupBy("node").agg(
-        F.min("doc").alias("doc"), F.any_value("n").alias("n"), F.any_value("alone").alias("alone"), F.any_value("grams").alias("grams"), F.any_value("first").alias("first")
+        F.min("doc").alias("doc"), F.any_value("n").alias("n"), F.any_value("alone").alias("alone"), F.any_value("common").alias("common"), F.any_value("grams").alias("grams"), F.any_value("first").alias("first")
     )
     sets = freeze(alike)
-    firsts = sets.select("node", "n", "alone", F.posexplode("first").alias("place", "gram"))
-    firsts = freeze(firsts.select("node", "n", "gram", (F.col("n") - F.col("alone") - F.col("place")).alias("left")))
+    firsts = sets.select("node", "n", "alone", "common", F.posexplode("first").alias("place", "gram"))
+    firsts = freeze(firsts.select("node", "n", "common", "gram", (F.col("n") - F.col("alone") - F.col("place")).alias("left")))
 
-    # One partner for each set.
-    hubs = firsts.groupBy("gram").agg(F.min("node").alias("hub"), F.min_by("n", "node").alias("hub_n"), F.count("*").alias("sets")).filter("sets > 1")
+    # One partner for each set, of those whose shingles are the commonest: what others are copies of.
+    hubs = firsts.groupBy("gram").agg(F.max(F.struct("common", "node", "n")).alias("hub"), F.count("*").alias("sets")).filter("sets > 1")
     fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    met = firsts.join(hubs, "gram").filter(F.col("node") != F.col("hub")).filter(fits(F.col("n"), F.col("hub_n")))
-    best = met.groupBy("node", "hub").agg(F.count("*").alias("shared")).groupBy("node").agg(F.max_by("hub", "shared").alias("hub"))
-    # A hub is the smallest set of its shingle, so these links are trees.
+    met = firsts.join(hubs, "gram").filter(F.col("node") != F.col("hub.node")).filter(fits(F.col("n"), F.col("hub.n")))
+    best = met.groupBy("node", F.col("hub.node").alias("hub")).agg(F.count("*").alias("shared")).groupBy("node").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
+    # A hub comes before the others of its shingle in one order of all, so these links are trees.
     links = _links(best.select(F.col("node").alias("a"), F.col("hub").alias("b")), sets, percent)
     group = roots(links.select(F.col("a").alias("node"), F.col("b").alias("parent")))
 
