@@ -25,8 +25,8 @@ REPEAT_COSTS = (0, 1, 3)
 CYCLE = (5, 2, 1)
 #: More membership patterns than this are refused: they would no longer fit on the driver.
 MAX_PATTERNS = 200_000
-#: A pattern's documents are cut at the right place within one of so many ranges of their draw.
-RANGES = 1 << 14
+#: A pattern's documents are cut at the right place within one of two to the power of so many ranges of their draw.
+RANGE_BITS = 12
 SEED = 20
 
 
@@ -130,7 +130,7 @@ def mix_sources(
     words = word_count("text") if size is None else F.coalesce(size, F.lit(0)).cast("long")
     rows = docs.select(F.col(doc_id).alias("mix_id"), members.alias("mix_sources"), words.alias("mix_size"))
     draw = F.xxhash64(F.lit(seed), "mix_id", "mix_size")
-    rows = freeze(rows.withColumn("mix_draw", draw).withColumn("mix_range", F.shiftrightunsigned(draw, 50).cast("int")))
+    rows = freeze(rows.withColumn("mix_draw", draw).withColumn("mix_range", F.shiftrightunsigned(draw, 64 - RANGE_BITS).cast("int")))
 
     found = rows.groupBy("mix_sources").agg(F.sum("mix_size").alias("size")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
