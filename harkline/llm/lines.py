@@ -5,6 +5,8 @@ Lines without a word are left out. Of a text's other lines, every two neighbours
 ``SURE_LINES`` lines share a fingerprint in it. Fingerprints that occur more than once are extended both ways: to the next
 fingerprint, and by each number of lines up to where another one must begin. Each extended run is looked up by
 its hash, so it meets the earliest place of just that run, and a run that has an earlier place goes.
+Shorter runs count by their words: every line and every two neighbours with ``LONG_WORDS`` words or more are
+fingerprints and runs of their own.
 
 Lines are equal if their words are. Runs are told apart by 64-bit hashes.
 """
@@ -22,22 +24,25 @@ from harkline.llm import text as T
 from harkline.operators.frozen import freeze
 
 #: Lines in a fingerprint, and fingerprints of which one is kept.
-LINES, WINDOW = 2, 3
-#: Runs of fewer lines are left. Runs of SURE_LINES or more are always found.
-MIN_LINES = 3
+LINES, WINDOW = 2, 2
+#: Runs of SURE_LINES lines or more are found whatever their words, shorter ones if they have LONG_WORDS words.
 SURE_LINES = LINES + WINDOW - 1
+LONG_WORDS = 20
+#: The fewest lines of a run that goes.
+MIN_LINES = 1
 #: A null id comes after all others.
 _LAST = (1 << 63) - 1
 
 
-def line_hashes(text: bytes | None) -> tuple[list[int], np.ndarray]:
-    """Numbers and hashes of a text's lines with a word."""
-    at, hashes = [], []
+def line_hashes(text: bytes | None) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Numbers, hashes and numbers of words of a text's lines with a word."""
+    at, hashes, sizes = [], [], []
     for i, line in enumerate((text or b"").split(b"\n")):
         if words := line.split():
             at.append(i)
             hashes.append(xxhash.xxh64_intdigest(b" ".join(words)))
-    return at, np.array(hashes, np.uint64)
+            sizes.append(len(words))
+    return at, np.array(hashes, np.uint64), np.array(sizes, np.int64)
 
 
 def fingerprints(hashes: np.ndarray) -> np.ndarray:
@@ -57,14 +62,23 @@ _PRINTS = "doc long, text_key long, at int, print long, runs array<struct<start:
 
 
 def _runs(hashes: np.ndarray, places: np.ndarray) -> Iterator[list[tuple[int, int, int]]]:
-    """For each fingerprint, the runs it is extended to, each at least ``MIN_LINES`` long."""
+    """For each fingerprint, the runs it is extended to, each at least ``SURE_LINES`` long."""
     n = len(hashes)
-    by_size = {k: T.run_hashes(hashes, k).view(np.int64) for k in range(MIN_LINES, LINES + WINDOW + 1)}
+    by_size = {k: T.run_hashes(hashes, k).view(np.int64) for k in range(SURE_LINES, LINES + WINDOW + 1)}
     for j, p in enumerate(places.tolist()):
         spans = {(p - more, p + LINES) for more in range(1, WINDOW)} | {(p, p + LINES + more) for more in range(1, WINDOW)}
         if j + 1 < len(places):
             spans.add((p, int(places[j + 1]) + LINES))
-        yield [(a, b, int(by_size[b - a][a])) for a, b in sorted(spans) if a >= 0 and b <= n and b - a >= MIN_LINES]
+        yield [(a, b, int(by_size[b - a][a])) for a, b in sorted(spans) if a >= 0 and b <= n and b - a >= SURE_LINES]
+
+
+def _long_runs(hashes: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Runs of fewer than ``SURE_LINES`` lines that have ``LONG_WORDS`` words."""
+    words = np.concatenate([[0], np.cumsum(sizes)])
+    for k in range(MIN_LINES, min(SURE_LINES, len(hashes) + 1)):
+        marks = T.run_hashes(hashes, k).view(np.int64)
+        for a in np.flatnonzero(words[k:] - words[:-k] >= LONG_WORDS).tolist():
+            yield a, a + k, int(marks[a])
 
 
 def _print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,12 +86,14 @@ def _print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for chunk in T.chunks(batches):
         rows = []
         for doc, key, text in zip(chunk.column("doc").to_pylist(), chunk.column("text_key").to_pylist(), T.raw(chunk.column("text"))):
-            _, hashes = line_hashes(text)
+            _, hashes, sizes = line_hashes(text)
             places = fingerprints(hashes)
             marks = T.run_hashes(hashes, LINES).view(np.int64)
             for p, runs in zip(places.tolist(), _runs(hashes, places)):
                 if runs:
                     rows.append((doc, key, p, int(marks[p]), [{"start": a, "stop": b, "hash": h} for a, b, h in runs]))
+            for a, b, h in _long_runs(hashes, sizes):
+                rows.append((doc, key, a, h, [{"start": a, "stop": b, "hash": h}]))
         if rows:
             columns = list(zip(*rows))
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), kind]
@@ -86,7 +102,7 @@ def _print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def without_runs(text: bytes | None, spans: list[dict] | None) -> tuple[int, int, bytes | None]:
     """Lines with a word, how many of them go, and the text without them and the blank lines between them."""
-    at, _ = line_hashes(text)
+    at, _, _ = line_hashes(text)
     hit = np.zeros(len(at) + 1, bool)
     for s in spans or []:
         hit[s["start"] : s["stop"]] = True
@@ -125,9 +141,8 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``row`` (all columns of a row of ``docs``), ``text`` without lines of runs that occur earlier, ``line_count``, ``lines_removed``.
 
-    Earlier is a smaller ``doc_id``, or the same and an earlier line. All lines of any run of ``SURE_LINES`` lines or more
-    that occurs earlier go, and no line that isn't in a run of ``MIN_LINES`` lines that does; runs are
-    judged on the input. A text that keeps all its lines keeps its bytes.
+    Earlier is a smaller ``doc_id``, or the same and an earlier line. All lines of any run of ``SURE_LINES`` lines or more,
+    or of ``LONG_WORDS`` words or more, that occurs earlier go, and no others; runs are judged on the input. A text that keeps all its lines keeps its bytes.
 
     Null and empty texts stay as they are, a null id is the last. Rows with one id and one text are one
     document and lose the same lines. No rows give no rows. ``docs`` must read alike each time (a stored table).

@@ -215,6 +215,50 @@ def test_line_dedup_of_supplied_texts(spark, sf):
             assert r["kept_sha256"] == brute.sha(text)
 
 
+def plain_line_runs(docs):
+    """Lines of runs with an earlier place: of three lines, or of one or two that have twenty words."""
+    gone = {k: set(v) for k, v in brute.line_runs(docs, 3).items()}
+    for n in (1, 2):
+        for (d, t), held in brute.line_runs(docs, n).items():
+            own = [len(brute.words(x)) for x in (t or "").split("\n") if brute.words(x)]
+            long = [a for a in range(len(own) - n + 1) if sum(own[a : a + n]) >= 20]
+            first = {a for a in long if set(range(a, a + n)) <= held}
+            gone[d, t] |= {a + k for a in first if _has_earlier(docs, d, t, a, n) for k in range(n)}
+    return gone
+
+
+def _has_earlier(docs, d, t, a, n):
+    lines_of = lambda x: [tuple(brute.words(y)) for y in (x or "").split("\n") if brute.words(y)]
+    run = lines_of(t)[a : a + n]
+    return any((e, b) < (d, a) and own[b : b + n] == run for e, u in docs for own in [lines_of(u)] for b in range(len(own) - n + 1))
+
+
+def test_line_dedup_is_exact(odd_docs, odd_rows):
+    docs = [(LAST if d is None else d, t) for d, t in odd_rows]
+    want = plain_line_runs(docs)
+    for r in lines.dedup_lines(odd_docs).collect():
+        doc, text = r["row"]["doc_id"], r["row"]["text"]
+        assert r["lines_removed"] == len(want[LAST if doc is None else doc, text]), doc
+
+
+def test_short_runs_of_lines_are_found(spark, tmp_path):
+    """Planted runs of one, two and three lines go; one or two lines of few words stay."""
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    planted = {
+        "one": [words("a", 20)], "two": [words("b", 9), words("c", 11)], "three": ["d e", "f", "g h i"],
+        "short": [words("j", 19)], "short pair": [words("k", 9), words("l", 10)],
+    }
+    rows = []
+    for n, run in enumerate(planted.values()):
+        for copy in range(3):
+            own = [[f"{side} {n} {copy} {i}" for i in range(4)] for side in ("x", "y")]
+            rows.append((10 * n + copy, "\n".join([*own[0], *run, *own[1]])))
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "d"))
+    gone = {r["row"]["doc_id"]: r["lines_removed"] for r in lines.dedup_lines(spark.read.parquet(str(tmp_path / "d"))).collect()}
+    lost = {"one": 1, "two": 2, "three": 3, "short": 0, "short pair": 0}
+    assert gone == {10 * n + copy: lost[name] if copy else 0 for n, name in enumerate(planted) for copy in range(3)}
+
+
 def test_fingerprints_are_window_minima():
     h = np.random.default_rng(2).integers(0, 2**63, 50).astype(np.uint64)
     places = lines.fingerprints(h)
