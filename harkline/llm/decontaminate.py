@@ -8,7 +8,8 @@ Every document is cut into overlapping passages, long enough that any item lies
 and every passage is a query. An item's commonest words alone can't reach the threshold, so passages
 with too little of its other words are left out at once; for the others, block-max WAND walks the postings
 and skips blocks that can't reach the threshold. Each item found is then verified: enough of the question's and of
-the answer's word pairs must occur in the passage.
+the answer's word pairs must occur in the passage. A guessed answer of few pairs has no test of its own; the item is then
+verified as one text. Words are compared without the ASCII punctuation around them.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ K1, B = 1.2, 0.75
 BLOCK = 32
 #: Bytes of item text that one index holds; more items make more indexes, each a pass over the passages.
 INDEX_BYTES = 8_000_000
+#: A guessed answer of fewer word pairs is verified together with the question.
+MIN_ANSWER_PAIRS = 5
 _END = 1 << 60
 
 
@@ -62,7 +65,7 @@ class Index:
         self.limits, self.ids, self.parts = limits, [], []
         counts = []
         for item, question, answer in items:
-            asked, answered = T.words_of([question], lower=True).hashes(), T.words_of([answer], lower=True).hashes()
+            asked, answered = _hashes(question), _hashes(answer)
             words = np.concatenate([asked, answered])
             if len(words) >= limits.min_words:
                 self.ids.append(item)
@@ -175,6 +178,10 @@ class Index:
         return found
 
 
+def _hashes(text: bytes) -> np.ndarray:
+    return T.words_of([text], lower=True).stripped().hashes()
+
+
 def pairs(hashes: np.ndarray) -> set[int]:
     """Neighbouring words as one hash each; a single word stands for itself."""
     return set((T.run_hashes(hashes, 2) if len(hashes) > 1 else hashes).tolist())
@@ -200,7 +207,7 @@ def _last_before(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
 def _hits(index: Index, texts: list[bytes | None]) -> dict[tuple[int, int], tuple]:
     """By text and item, the best passage: its start, score, number of words, and shares of question and answer."""
     limits, half = index.limits, max(1, index.longest)
-    words = T.words_of(texts, lower=True)
+    words = T.words_of(texts, lower=True).stripped()
     hashes = words.hashes()
     n = np.diff(words.first)
     # A passage is two neighbouring halves. Its bound counts each word once.
@@ -265,16 +272,17 @@ def _clean(shared: Broadcast):
 
 
 def question_and_answer(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """``(item_id, question, answer)`` of items that are one text: the answer is its last sentence, if there are two."""
+    """``(item_id, question, answer, guessed)`` of items that are one text: the answer is its last sentence, if there are two."""
     last = F.regexp_extract(F.rtrim(text), r"(?s)^(.*[.!?]\s)(.+)$", 2)
     first = F.regexp_extract(F.rtrim(text), r"(?s)^(.*[.!?]\s)(.+)$", 1)
-    return items.select(F.col(item_id).alias("item_id"), F.when(first == "", F.col(text)).otherwise(first).alias("question"), last.alias("answer"))
+    return items.select(F.col(item_id).alias("item_id"), F.when(first == "", F.col(text)).otherwise(first).alias("question"), last.alias("answer"), F.lit(True).alias("guessed"))
 
 
 def find_items(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), index_bytes: int = INDEX_BYTES) -> DataFrame:
     """The test items that each document holds.
 
-    ``docs`` has ``doc_id`` and ``text``, ``items`` ``item_id``, ``question`` and ``answer``. Items are indexed in parts of
+    ``docs`` has ``doc_id`` and ``text``, ``items`` ``item_id``, ``question`` and ``answer``, and ``guessed``
+    where answers may be a guess (``MIN_ANSWER_PAIRS``; such an item's ``answer`` share is 1). Items are indexed in parts of
     at most ``index_bytes`` of text (or one item), each small enough for every task; all documents pass each.
 
     One row for each document and item found: ``doc_id``, ``text_key`` (a hash of the text), ``item_id``, the passage's
@@ -295,8 +303,11 @@ def find_items(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), ind
 def _parts(items: DataFrame, index_bytes: int) -> Iterator[list[tuple[int, bytes, bytes]]]:
     """The items in lists of bounded size; one list at a time is on the driver."""
     part, size = [], 0
-    for row in items.select("item_id", "question", "answer").toLocalIterator():
+    guessed = F.col("guessed") if "guessed" in items.columns else F.lit(False).alias("guessed")
+    for row in items.select("item_id", "question", "answer", guessed).toLocalIterator():
         question, answer = (row["question"] or "").encode(), (row["answer"] or "").encode()
+        if row["guessed"] and len(pairs(_hashes(answer))) < MIN_ANSWER_PAIRS:
+            question, answer = question + b" " + answer, b""
         if part and size + len(question) + len(answer) > index_bytes:
             yield part
             part, size = [], 0

@@ -9,7 +9,7 @@ the words themselves with a chance below 1e-12.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,8 @@ CHUNK_BYTES = 2_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MASK = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
@@ -81,6 +83,14 @@ class Words:
     def word(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]]
 
+    def stripped(self) -> Words:
+        """The same words without ASCII punctuation at either end, if anything else is in them."""
+        plain = np.flatnonzero(~_PUNCTUATION[self.buffer])
+        start = plain[np.searchsorted(plain, self.start)]
+        end = plain[np.searchsorted(plain, self.end) - 1] + 1
+        held = start < self.end
+        return replace(self, start=np.where(held, start, self.start), end=np.where(held, end, self.end))
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
         length = self.end - self.start

@@ -106,6 +106,21 @@ def test_question_and_answer(spark):
     assert got == {1: ("Who? Me. ", "You."), 2: ("No end", ""), 3: (None, None), 4: ("", "")}
 
 
+def test_edited_and_cut_copies_of_items_are_found(spark):
+    """A guessed answer of few words need not occur; an answer of its own must. Punctuation around words is not compared."""
+    asked = "If ann has nine red apples, and bob takes four of them away, how many apples are left with ann now?"
+    rows = [(1, f"{asked} It is five."), (2, "Name the (longest) river that flows through the whole of the old town! Rhine.")]
+    guessed = decontaminate.question_and_answer(spark.createDataFrame(rows, "item_id long, text string"))
+    texts = [f"x y z {asked} It was&&& six", f"x y z {asked}", "a b \"name the longest\" river, that flows through the whole of the old town", "nothing of it " * 9]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_items(docs, guessed).collect()} == {(0, 1), (1, 1), (2, 2)}
+    assert [r["doc_id"] for r in decontaminate.drop_contaminated(docs, guessed).collect()] == [3]
+    real = guessed.drop("guessed")
+    assert decontaminate.find_items(docs, real).count() == 0
+    words = T.words_of([b"(ab). && c-d e\xc3\xa9, ..x"]).stripped()
+    assert [words.word(i) for i in range(5)] == [b"ab", b"&&", b"c-d", b"e\xc3\xa9", b"x"]
+
+
 # URL filter
 
 URLS = [
