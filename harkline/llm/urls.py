@@ -4,7 +4,8 @@ Two variable-order Markov models give a URL's probability, one learned from acce
 rejected URLs. A character's probability after a context mixes the counts of that context with
 what the next shorter context says (Witten-Bell smoothing), down to a uniform distribution. The
 difference of the two log-likelihoods, by character, is compared with a threshold that is set
-where it best parts held-out labelled URLs.
+where it best parts held-out labelled URLs. The models see whole URLs; only the part of a URL that a rule fits,
+from which its label follows, is masked.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ HELD_OUT = 5
 #: What stands for any character no model has seen: one of so many.
 ALPHABET = 1024
 
+#: What stands for the part of a host, and of a path, that a rule fits.
+MASK = "\x01"
+
 #: Fixed rules: what a host and path start with, and the verdict.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 
@@ -55,6 +59,22 @@ def rule_of(host: Column, path: Column, rules: Iterable[tuple[str, str]] = RULES
     return found
 
 
+def model_text(url: Column, host: Column, rule: Column) -> Column:
+    """The whole URL as the models see it: scheme and host lower-cased, the part that ``rule`` fits, if any, masked.
+
+    The label follows from that part, so the models must not learn from it.
+    """
+    whole = F.coalesce(url, F.lit(""))
+    scheme = F.regexp_extract(whole, r"(?s)^(.*?://)", 1)
+    after = F.substring(whole, F.length(scheme) + F.length(host) + F.lit(1), F.length(whole))
+    name = F.substring_index(rule, "/", 1)
+    prefix = F.greatest(F.lit(1), F.length(rule) - F.length(name))
+    masked = F.concat(
+        lowered(scheme), F.substring(host, F.lit(1), F.length(host) - F.length(name)), F.lit(MASK + MASK), F.substring(after, prefix + F.lit(1), F.length(whole))
+    )
+    return F.when(scheme == "", whole).when(rule.isNull(), F.concat(lowered(scheme), host, after)).otherwise(masked)
+
+
 @dataclass
 class CharModel:
     """Counts of characters after each context of up to ``order`` characters."""
@@ -115,12 +135,12 @@ def _best_threshold(margins: list[tuple[float, bool]]) -> float:
 
 
 def fit_filter(labelled: DataFrame, max_training: int = MAX_TRAINING) -> UrlFilter:
-    """Fits both models and the threshold to ``(text, accepted)`` rows.
+    """Fits both models and the threshold to ``(text, accepted)`` rows, or ``(url, text, accepted)``, ``text`` following from ``url``.
 
-    At most ``max_training`` distinct texts of each kind are used. Without any of a kind its model is
-    uniform.
+    At most ``max_training`` distinct URLs (texts, where there is no ``url``) of each kind are used, drawn by their hash;
+    a text counts as often as there are URLs that have it. Without any of a kind its model is uniform.
     """
-    rows = labelled.filter("text is not null and accepted is not null").distinct().withColumn("_draw", F.xxhash64("text"))
+    rows = labelled.filter("text is not null and accepted is not null").distinct().withColumn("_draw", F.xxhash64("url" if "url" in labelled.columns else "text"))
     parts = {ok: [(r["text"], r["_draw"]) for r in rows.filter(F.col("accepted") == ok).orderBy("_draw", "text").limit(max_training).collect()] for ok in (True, False)}
     learned = {ok: [t for t, d in part if d % HELD_OUT] for ok, part in parts.items()}
     made = UrlFilter(CharModel.fit(learned[True]), CharModel.fit(learned[False]))
@@ -142,19 +162,19 @@ def judge_urls(
 ) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``margin`` of every row of ``pages``.
 
-    Where a rule fits, its verdict holds; the pages it fits also teach the models. What the models see of
-    a URL is its path, and its host without the first label, digits as ``0``: a rule that speaks of a
-    part of the hosts must not decide by their names alone. A null or odd URL has an empty host and path and
+    Where a rule fits, its verdict holds; the pages it fits also teach the models, which see whole URLs but for the part
+    of host and path that the rule fits (``model_text``). A null or odd URL has an empty host and path and
     is judged like any other; equal URLs get equal verdicts; no rows give no rows.
     """
     host, path = split_url(F.col(url))
-    rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
+    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules)).select(
-        "page_id", "host", "path", F.col("_rule.rule").alias("rule"), F.col("_rule.verdict").alias("ruled"),
-        F.regexp_replace(F.concat(F.regexp_replace("host", r"^[^.]*\.", ""), F.lit(" "), "path"), "[0-9]", "0").alias("model_text"),
+        "url", "page_id", "host", "path", F.col("_rule.rule").alias("rule"), F.col("_rule.verdict").alias("ruled"),
+        model_text(F.col("url"), F.col("host"), F.col("_rule.rule")).alias("model_text"),
     )
-    model = fit_filter(rows.select(F.col("model_text").alias("text"), (F.col("ruled") == "allow").alias("accepted")), max_training)
+    model = fit_filter(rows.select("url", F.col("model_text").alias("text"), (F.col("ruled") == "allow").alias("accepted")), max_training)
     shared = pages.sparkSession.sparkContext.broadcast(model)  # bounded by max_training
     schema = "page_id long, host string, path string, rule string, ruled string, model_text string, margin double"
+    rows = rows.drop("url")
     verdict = F.coalesce("ruled", F.when(F.col("margin") >= model.threshold, "allow").otherwise("block"))
     return rows.mapInArrow(_score(shared), schema).select("page_id", "host", "path", "rule", verdict.alias("verdict"), "margin")

@@ -191,6 +191,24 @@ def test_url_models_tell_kinds_apart(spark):
     assert urls.fit_filter(rows.filter("accepted")).threshold == 0
 
 
+def test_url_models_see_whole_urls(spark):
+    """Queries, digits and first host labels tell, and patterns count as often as they occur; what a rule fits does not tell."""
+    rules = (("org/ok/", "allow"), ("org/no/", "block"))
+    rows = [f"http://news{i}.org/ok/a?id=story{i}" for i in range(200)] + [f"http://free-bets{i}.org/no/a?win=cash{i}" for i in range(200)]
+    rows += [f"http://{h}{i}.net/q?{q}{i}" for i in range(300, 320) for h, q in (("news", "id=story"), ("free-bets", "win=cash"))]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = {rows[r["page_id"]]: r for r in urls.judge_urls(pages, rules).collect()}
+    for i in range(300, 320):
+        assert got[f"http://news{i}.net/q?id=story{i}"]["verdict"] == "allow" and got[f"http://free-bets{i}.net/q?win=cash{i}"]["verdict"] == "block"
+    made = spark.createDataFrame([("HTTP://A.B.org/ok/X?y#z",), ("http://A.net/X?y#z",), ("odd X",), (None,)], "url string")
+    host, path = urls.split_url(F.col("url"))
+    texts = made.select(urls.model_text(F.col("url"), host, urls.rule_of(host, path, rules)["rule"]).alias("t")).collect()
+    assert [r["t"] for r in texts] == [f"http://a.b.{urls.MASK * 2}X?y#z", "http://a.net/X?y#z", "odd X", ""]
+    often = spark.createDataFrame([(f"u{i}", "aa" if i < 90 else "bb", True) for i in range(100)], "url string, text string, accepted boolean")
+    model = urls.fit_filter(often)
+    assert model.accepted.log_probability("aa") > model.accepted.log_probability("bb") + 1
+
+
 # Token rollups
 
 
