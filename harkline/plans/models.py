@@ -73,20 +73,19 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return classify.compare_models(classify.fit_all(train, KEY), test)
 
 
+@lru_cache(maxsize=4)
+def tuned(spark: SparkSession, sf: str) -> tuple[Model, DataFrame]:
+    """The full grid of ``tune_boosted_trees``, searched once for both queries."""
+    return classify.tune_boosted_trees(binary_sides(spark, sf)[0], KEY)
+
+
 def cv_grid(spark: SparkSession, sf: str) -> DataFrame:
-    """A small grid; ``tune_boosted_trees`` searches the full one by default."""
-    train, _ = binary_sides(spark, sf)
-    _, settings = classify.tune_boosted_trees(
-        train, KEY, sampling_rates=[0.5, 1.0], iterations=[5], depths=[3, 5], folds=2
-    )
-    return settings
+    return tuned(spark, sf)[1]
 
 
 def tuned_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Metrics on the test side of the best model of the same small grid."""
-    train, test = binary_sides(spark, sf)
-    model, _ = classify.tune_boosted_trees(train, KEY, sampling_rates=[0.5, 1.0], iterations=[5], depths=[3, 5], folds=2)
-    return classify.compare_models({("boosted trees", "tuned"): model}, test)
+    """Metrics on the test side of the best model of the grid."""
+    return classify.compare_models({("boosted trees", "tuned"): tuned(spark, sf)[0]}, binary_sides(spark, sf)[1])
 
 
 @lru_cache(maxsize=4)
@@ -173,7 +172,7 @@ def sampled_users(spark: SparkSession, sf: str) -> DataFrame:
 
 def forget() -> None:
     """Drops the models and tables kept for the session, so that the next query fits anew."""
-    for kept in [binary_sides, genre_sides, genre_forest, triplet_sides, recommender]:
+    for kept in [binary_sides, genre_sides, genre_forest, tuned, triplet_sides, recommender]:
         kept.cache_clear()
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from harkline.operators import classify, features, metrics, sampling
 from harkline.operators.frozen import freeze
 from harkline.operators.recommend import fit_recommender
-from harkline.plans import tables as t
+from harkline.plans import models, tables as t
 
 KEY = ["track_id"]
 
@@ -62,6 +62,24 @@ def test_full_grid_is_the_default():
     assert (size, defaults["folds"]) == (48, 3)
 
 
+def test_both_queries_share_one_search_of_the_full_grid(spark, sf, sides, monkeypatch):
+    searches = []
+    small = classify.tune_boosted_trees
+
+    def search(train, keys, **cut):
+        searches.append(cut)
+        return small(train, keys, sampling_rates=[1.0], iterations=[2], depths=[3], folds=2)
+
+    models.forget()
+    monkeypatch.setattr(classify, "tune_boosted_trees", search)
+    monkeypatch.setattr(models, "binary_sides", lambda *_: sides)
+    try:
+        assert models.cv_grid(spark, sf).count() == 1 and models.tuned_metrics(spark, sf).count() == 1
+    finally:
+        models.tuned.cache_clear()
+    assert searches == [{}]  # nothing of the default grid is left out
+
+
 def test_label_index_orders_by_frequency_then_label(spark, monkeypatch):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "genre string")
     indexer = features.label_indexer(df, "genre")
