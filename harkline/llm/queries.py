@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harkline.llm import classlm, decontaminate, jaccard, lines, mixing, quality, repeats, rollup, secrets, urls
+from harkline.llm import classlm, decontaminate, fingerprints, jaccard, lines, mixing, quality, repeats, rollup, secrets, urls
 from harkline.operators.frozen import freeze
 from harkline.plans.tables import Query, table
 from harkline.session import tables_dir
@@ -115,6 +115,14 @@ def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_weighted_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    prints = fingerprints.fingerprint_edits(table(spark, sf, "documents"))
+    return prints.select(
+        "doc_id", "n_chars", "edited_sha256", fingerprints.printed("marks").alias("fingerprint"),
+        fingerprints.printed("edited_marks").alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 QUERIES = {
     "op1_decontamination": Query(op1_decontamination),
     "op4_url_filter": Query(op4_url_filter),
@@ -126,4 +134,5 @@ QUERIES = {
     "op8_class_lm": Query(op8_class_lm),
     "op9_secret_scan": Query(op9_secret_scan),
     "op10_source_mix": Query(op10_source_mix),
+    "op11_weighted_fingerprint": Query(op11_weighted_fingerprint),
 }
