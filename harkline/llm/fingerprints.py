@@ -7,7 +7,7 @@ have the same sample with a chance equal to the generalised Jaccard similarity o
 smaller weights of each word by the sum of the larger ones. A fingerprint is ``MARK_BITS`` bits of each sample.
 
 All of it is built-in DataFrame functions. Places of a document of weight W are exponential with rate W, so the
-smallest is under ``REACH / W`` but for a chance of exp(-REACH), 4e-11. A bound below the place, from
+smallest is under ``REACH / W`` but for a chance of exp(-REACH), 1e-7. A bound below the place, from
 one hash and without logarithms, leaves out words that can't get there. A sample that nothing reaches has the mark -1.
 """
 
@@ -19,18 +19,19 @@ from harkline.llm import text as T
 from harkline.operators.frozen import freeze
 from harkline.operators.running import rank_within
 
-#: Samples of a fingerprint: the standard error of a likeness of one half is a sixteenth.
-SAMPLES = 64
-REACH = 24.0
+#: Samples of a fingerprint: the standard error of a likeness of one half is 0.09.
+SAMPLES = 32
+REACH = 16.0
 #: Different samples have equal marks with a chance of 1 in 65,536.
 MARK_BITS = 16
+_SPACE = r"\x20\x09-\x0D"
 #: Longer words are cut into pieces of so many code points, so that text without spaces has terms as well.
 PIECE = 16
 
 
 def term_hashes(text: Column) -> Column:
     """64-bit hashes of the terms of a text, with repeats: words with A-Z as a-z, in pieces of ``PIECE``; none for null."""
-    words = F.regexp_extract_all(T.lowered(F.coalesce(text, F.lit(""))), F.lit(rf"[^\x20\x09-\x0D]{{1,{PIECE}}}"), F.lit(0))
+    words = F.regexp_extract_all(T.lowered(F.coalesce(text, F.lit(""))), F.lit(rf"[^{_SPACE}]{{1,{PIECE}}}"), F.lit(0))
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
@@ -45,9 +46,10 @@ def samples(weighted: DataFrame, key: str, weights: dict[str, tuple[str, str]],
     the term's weight (0: not there, else 1 or more) and the sum of the key's weights. Several weights share the random
     numbers of a term. Returns ``key``, ``sample`` (0 to k - 1) and a place for each name.
     """
-    share = F.greatest(*[F.col(w) / F.greatest(F.col(total), F.lit(1)) for w, total in weights.values()]) * REACH
-    rows = weighted.select(key, "term", *[w for w, _ in weights.values()], share.alias("share"), F.explode(F.array(*map(F.lit, range(k)))).alias("sample"))
-    rows = rows.withColumn("h", F.xxhash64("term", "sample")).drop("term")
+    shares = [F.col(w) / F.greatest(F.col(total), F.lit(1)) for w, total in weights.values()]
+    share = (F.greatest(*shares) if len(shares) > 1 else shares[0]) * REACH
+    seeds = F.array(*[F.xxhash64("term", F.lit(i)) for i in range(k)])
+    rows = weighted.select(key, *[w for w, _ in weights.values()], share.alias("share"), F.posexplode(seeds).alias("sample", "h"))
     # Sixteen leading bits of the four uniform numbers: r is under -ln(of zl), c above 1 - vh.
     lead = [_bits(F.col("h"), 16 * i, 16) for i in range(4)]
     low, high = lead[3] * lead[2] * 2.0**-32, (lead[1] + 1) * (lead[0] + 1) * 2.0**-32
@@ -127,17 +129,22 @@ def fingerprint_edits(docs: DataFrame, k: int = SAMPLES) -> DataFrame:
     takers = placed.select(F.col("place").alias("taker_place"), F.col("row").alias("taker"), F.floor(F.col("size") / 4).cast("int").alias("need"))
     wanted = freeze(placed.select("row", taker.alias("taker_place")).join(takers, "taker_place").select("row", "taker", "need"))
     heads = rows.join(wanted, "row").select(F.col("taker").alias("row"), F.expr("left(text, need)").alias("head"))
-    size = F.length("text")
-    edited = F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 4) as int))"), "head")
-    both = rows.join(heads.hint("merge"), "row").select("row", "text", size.alias("n_chars"), edited.alias("edited"))
-
-    hashed = both.select("row", term_hashes(F.col("text")).alias("own"), term_hashes(F.col("edited")).alias("new"))
-    listed = hashed.select("row", F.size("own").alias("n_own"), F.size("new").alias("n_new"), F.posexplode(F.concat("own", "new")).alias("at", "term"))
-    own = F.col("at") < F.col("n_own")
-    weighted = listed.groupBy("row", "n_own", "n_new", "term").agg(F.count_if(own).alias("own"), F.count_if(~own).alias("new"))
+    # What stays is split into terms once, up to a space near its end.
+    stays = F.expr("left(text, length(text) - cast(floor(length(text) / 4) as int))")
+    both = rows.join(heads.hint("merge"), "row").select("row", "text", stays.alias("stays"), "head")
+    tail = F.length(F.regexp_extract(F.expr("right(stays, 256)"), f"[^{_SPACE}]*$", 0))
+    cut = both.withColumn("alike", F.when(tail < 256, F.length("stays") - tail).otherwise(0))
+    terms = cut.select(
+        "row", term_hashes(F.expr("left(text, alike)")).alias("alike"), term_hashes(F.expr("substr(text, alike + 1)")).alias("own"),
+        term_hashes(F.expr("concat(substr(stays, alike + 1), head)")).alias("new"),
+    )
+    n_alike, n_own = F.size("alike"), F.size("own")
+    listed = terms.select("row", n_alike.alias("n_alike"), (n_alike + n_own).alias("n_own"), (n_alike + F.size("new")).alias("n_new"), F.posexplode(F.concat("alike", "own", "new")).alias("at", "term"))
+    own, new = F.col("at") < F.col("n_own"), (F.col("at") < F.col("n_alike")) | (F.col("at") >= F.col("n_own"))
+    weighted = listed.groupBy("row", "n_own", "n_new", "term").agg(F.count_if(own).alias("own"), F.count_if(new).alias("new"))
     marked = marks(samples(weighted, "row", {"marks": ("own", "n_own"), "edited_marks": ("new", "n_new")}, k), "row", ["marks", "edited_marks"], k)
     none = F.array().cast("array<int>")
-    told = both.select("row", "n_chars", F.sha2("edited", 256).alias("edited_sha256")).join(marked, "row", "left")
+    told = both.select("row", F.length("text").alias("n_chars"), F.sha2(F.concat("stays", "head"), 256).alias("edited_sha256")).join(marked, "row", "left")
     told = told.withColumns({"marks": F.coalesce("marks", none), "edited_marks": F.coalesce("edited_marks", none)})
     prints = freeze(told)
     # The row a row's start is wanted by is the one before it.
