@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harkline.llm import classlm, decontaminate, fingerprints, jaccard, lines, mixing, quality, repeats, rollup, secrets, urls
+from harkline.llm import classlm, decontaminate, fingerprints, jaccard, lines, mixing, negatives, quality, repeats, rollup, secrets, urls
 from harkline.operators.frozen import freeze
 from harkline.plans.tables import Query, table
 from harkline.session import tables_dir
@@ -123,6 +123,25 @@ def op11_weighted_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), negatives.whole_components("embedding").alias("vector"))
+    return negatives.mine_hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+OP13_SQL = """
+    WITH rows AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+          list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS s
+        FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+      positives AS (SELECT * FROM scored WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, id) <= 5)
+    SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.id AS negative_id, p.s AS positive_score, n.s AS negative_score
+    FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.alike AND 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s
+    WINDOW w AS (PARTITION BY p.anchor_id, p.id ORDER BY n.s DESC, n.id) QUALIFY row_number() OVER w <= 5"""
+
+
 QUERIES = {
     "op1_decontamination": Query(op1_decontamination),
     "op4_url_filter": Query(op4_url_filter),
@@ -135,4 +154,5 @@ QUERIES = {
     "op9_secret_scan": Query(op9_secret_scan),
     "op10_source_mix": Query(op10_source_mix),
     "op11_weighted_fingerprint": Query(op11_weighted_fingerprint),
+    "op13_hard_negatives": Query(op13_hard_negatives, OP13_SQL),
 }
