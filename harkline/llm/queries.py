@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harkline.llm import classlm, decontaminate, fingerprints, jaccard, lines, mixing, negatives, quality, repeats, rollup, secrets, urls
+from harkline.llm import classlm, decontaminate, fingerprints, jaccard, lexical, lines, mixing, negatives, quality, repeats, rollup, secrets, urls
 from harkline.operators.frozen import freeze
 from harkline.plans.tables import Query, table
 from harkline.session import tables_dir
@@ -123,6 +123,25 @@ def op11_weighted_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+_TERMS_SQL = rf"coalesce(regexp_extract_all({_LOWER_SQL}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), [])"
+OP12_SQL = f"""
+    WITH texts AS (SELECT doc_id, {_TERMS_SQL} AS w FROM documents),
+      totals AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM texts),
+      counted AS (SELECT doc_id, any_value(len(w)) AS n, term, count(*) AS tf
+        FROM (SELECT doc_id, w, unnest(w) AS term FROM texts) GROUP BY doc_id, term),
+      weighted AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+        FROM counted, totals GROUP BY term),
+      wanted AS (SELECT DISTINCT item_id, unnest({_TERMS_SQL}) AS term FROM benchmark),
+      scored AS (SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+        FROM wanted JOIN weighted USING (term) JOIN counted USING (term), totals GROUP BY item_id, doc_id)
+    SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+    WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER w <= 10"""
+
+
 def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -154,5 +173,6 @@ QUERIES = {
     "op9_secret_scan": Query(op9_secret_scan),
     "op10_source_mix": Query(op10_source_mix),
     "op11_weighted_fingerprint": Query(op11_weighted_fingerprint),
+    "op12_lexical_search": Query(op12_lexical_search, OP12_SQL),
     "op13_hard_negatives": Query(op13_hard_negatives, OP13_SQL),
 }
