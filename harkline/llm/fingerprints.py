@@ -19,8 +19,8 @@ from harkline.llm import text as T
 from harkline.operators.frozen import freeze
 from harkline.operators.running import rank_within
 
-#: Samples of a fingerprint: the standard error of a likeness of one half is 0.09.
-SAMPLES = 32
+#: Samples of a fingerprint: the standard error of a likeness of one half is a sixteenth.
+SAMPLES = 64
 REACH = 16.0
 #: Different samples have equal marks with a chance of 1 in 65,536.
 MARK_BITS = 16

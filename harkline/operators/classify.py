@@ -11,11 +11,11 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from harkline.functions.draws import SEED, draw
 from harkline.operators import metrics, sampling
+from harkline.operators.ensembles import first_rounds
 from harkline.operators.frozen import freeze
 
 
@@ -116,6 +116,16 @@ class Rebalanced(Estimator):
         return self.estimator.fit(self.rebalance(dataset))
 
 
+# Rows of a training set that one task works on; fits of few rows are many short jobs, for which tasks cost more than rows.
+FIT_ROWS = 100_000
+
+
+def _few_parts(rows: DataFrame) -> DataFrame:
+    """``rows`` as a table in as few parts as their number calls for."""
+    stored = freeze(rows)
+    return freeze(stored.coalesce(-(-stored.count() // FIT_ROWS) or 1))
+
+
 def tune_boosted_trees(
     train: DataFrame,
     keys: Sequence[str],
@@ -123,34 +133,45 @@ def tune_boosted_trees(
     iterations: Sequence[int] = (20, 50, 100),
     depths: Sequence[int] = (3, 4, 5, 6),
     folds: int = 3,
-    parallelism: int = 2,
+    parallelism: int | None = None,
     seed: int = SEED,
 ) -> tuple[Model, DataFrame]:
     """The best model of a grid, refitted on all of ``train``, and the mean AUROC of each setting.
 
-    Folds follow from the keys.
+    Folds follow from the keys. Only the training side of a fold is up-sampled, so no copies of a row lie on both sides; it is
+    written down once. A fit of the most rounds holds the fits of fewer (``ensembles.first_rounds``), so each sampling rate and
+    depth is fitted once a fold and scored at every number of rounds. ``parallelism`` fits share the cluster, one per core unless given.
     """
-    gbt = boosted_trees(seed)
-    grid = (
-        ParamGridBuilder()
-        .addGrid(gbt.subsamplingRate, list(sampling_rates))
-        .addGrid(gbt.maxIter, list(iterations))
-        .addGrid(gbt.maxDepth, list(depths))
-        .build()
-    )
-    validator = CrossValidator(
-        estimator=Rebalanced(gbt, lambda rows: sampling.upsample(rows, "class", keys)),
-        estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(labelCol="class", numBins=0),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    folded = train.withColumn("fold", F.floor(draw(keys, "fold", seed) * folds).cast("int"))
-    fitted = validator.fit(freeze(folded))
-    settings = [
-        (float(s[gbt.subsamplingRate]), s[gbt.maxIter], s[gbt.maxDepth], float(m))
-        for s, m in zip(grid, fitted.avgMetrics)
+    spark = train.sparkSession
+    folded = freeze(train.withColumn("fold", F.floor(draw(keys, "fold", seed) * folds).cast("int")))
+    sides = [
+        (
+            _few_parts(sampling.upsample(folded.filter(F.col("fold") != i), "class", keys).select("features", "class")),
+            _few_parts(folded.filter(F.col("fold") == i).select("features", "class")),
+        )
+        for i in range(folds)
     ]
-    columns = "sampling_rate double, iterations int, depth int, auroc double"
-    return fitted.bestModel, train.sparkSession.createDataFrame(settings, columns)
+    evaluator = BinaryClassificationEvaluator(labelCol="class", numBins=0)
+
+    def learner(rate: float, rounds: int, depth: int) -> GBTClassifier:
+        return boosted_trees(seed).setSubsamplingRate(rate).setMaxIter(rounds).setMaxDepth(depth)
+
+    def search(task: tuple[float, int, int]) -> dict[tuple[float, int, int], float]:
+        rate, depth, fold = task
+        fit_side, held_out = sides[fold]
+        model = learner(rate, max(iterations), depth).fit(fit_side)
+        return {(rate, n, depth): evaluator.evaluate(first_rounds(model, n).transform(held_out)) for n in iterations}
+
+    # The longest fits first.
+    tasks = [(rate, depth, fold) for depth in sorted(depths, reverse=True) for rate in sampling_rates for fold in range(folds)]
+    found: dict[tuple[float, int, int], list[float]] = {}
+    with ThreadPoolExecutor(parallelism or spark.sparkContext.defaultParallelism) as pool:
+        for areas in pool.map(inheritable_thread_target(spark)(search), tasks):
+            for setting, area in areas.items():
+                found.setdefault(setting, []).append(area)
+    grid = [(rate, n, depth) for rate in sampling_rates for n in iterations for depth in depths]
+    means = [sum(found[setting]) / folds for setting in grid]
+    best = grid[max(range(len(grid)), key=lambda i: means[i])]
+    model = learner(*best).fit(_few_parts(sampling.upsample(train, "class", keys).select("features", "class")))
+    settings = [(float(rate), n, depth, float(mean)) for (rate, n, depth), mean in zip(grid, means)]
+    return model, spark.createDataFrame(settings, "sampling_rate double, iterations int, depth int, auroc double")
