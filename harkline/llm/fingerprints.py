@@ -95,12 +95,12 @@ def fingerprint_texts(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     hashed = docs.select(F.col(key).alias("key"), F.explode_outer(term_hashes(F.col(text))).alias("term"))
     counted = hashed.groupBy("key", "term").agg(F.count("term").alias("w"))
-    totals = counted.groupBy("key").agg(F.sum("w").alias("total"))
-    weighted = counted.filter("w > 0").join(totals, counted["key"].eqNullSafe(totals["key"])).select(counted["key"], "term", "w", "total")
+    totals = counted.groupBy(F.col("key").alias("of")).agg(F.sum("w").alias("total"))
     # Null keys are grouped with each other, so they are joined as such.
+    weighted = counted.filter("w > 0").join(totals, F.col("key").eqNullSafe(F.col("of"))).select("key", "term", "w", "total")
     marked = marks(samples(weighted, "key", {"marks": ("w", "total")}, k), "key", ["marks"], k)
-    joined = totals.join(marked, totals["key"].eqNullSafe(marked["key"]), "left")
-    return joined.select(totals["key"].alias(key), F.coalesce("marks", F.array().cast("array<int>")).alias("marks"))
+    joined = totals.select("of").join(marked, F.col("key").eqNullSafe(F.col("of")), "left")
+    return joined.select(F.col("of").alias(key), F.coalesce("marks", F.array().cast("array<int>")).alias("marks"))
 
 
 def fingerprint_edits(docs: DataFrame, k: int = SAMPLES) -> DataFrame:

@@ -88,7 +88,7 @@ def _document_counts(size: int):
 class Tree:
     """A trie of documents, each a list of terms by falling document frequency (0 is the most common)."""
 
-    def __init__(self, ids: list, m: np.ndarray, terms: np.ndarray, tfs: np.ndarray, sizes: np.ndarray, n_terms: int):
+    def __init__(self, ids: list, m: np.ndarray, terms: np.ndarray, tfs: np.ndarray, sizes: np.ndarray, n_terms: int, leaf: int = LEAF):
         starts = np.concatenate([[0], np.cumsum(sizes)])
         # Ranks as big-endian numbers sort like the paths.
         wide = terms.astype(">u4").tobytes()
@@ -106,10 +106,10 @@ class Tree:
         def add(first: int, last: int, depth: int) -> int:
             """A node over documents ``first`` to ``last`` that share ``depth`` terms; children come before their parent."""
             kids = None
-            while last - first > LEAF:
+            while last - first > leaf:
                 cuts = self._branches(first, last, depth)
                 if len(cuts) > 2:
-                    kids = np.array([add(a, b, depth + 1) for a, b in _joined(cuts)])
+                    kids = np.array([add(a, b, depth + 1) for a, b in _joined(cuts, leaf)])
                     break
                 if self.sizes[first] <= depth:
                     break  # all are alike
@@ -170,11 +170,11 @@ class Tree:
         return best
 
 
-def _joined(cuts: np.ndarray) -> list[tuple[int, int]]:
+def _joined(cuts: np.ndarray, leaf: int) -> list[tuple[int, int]]:
     """Spans between cuts, small neighbours as one."""
     out: list[tuple[int, int]] = []
     for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
-        if out and b - out[-1][0] <= LEAF:
+        if out and b - out[-1][0] <= leaf:
             out[-1] = (out[-1][0], b)
         else:
             out.append((a, b))
@@ -184,26 +184,26 @@ def _joined(cuts: np.ndarray) -> list[tuple[int, int]]:
 _FOUND = "item int, doc_id long, score long"
 
 
-def _searched(items: list[np.ndarray], weights: np.ndarray, rank: np.ndarray, n_docs: int, n_terms: int, k: int):
+def _searched(items: list[np.ndarray], weights: np.ndarray, rank: np.ndarray, n_docs: int, n_terms: int, k: int, rows: int, leaf: int):
     """The first ``k`` documents of a task for each item. ``weights`` are by rank, ``rank`` by term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[list] = [[] for _ in items]
         place = np.full(len(rank), -1, np.int64)
-        for ids, n, terms, tfs, sizes in _trees(batches, rank):
-            tree = Tree(ids, length_share(n, n_docs, n_terms), terms, tfs, sizes, len(rank))
+        for ids, n, terms, tfs, sizes in _trees(batches, rank, rows):
+            tree = Tree(ids, length_share(n, n_docs, n_terms), terms, tfs, sizes, len(rank), leaf)
             for i, item in enumerate(items):
                 place[item] = np.arange(len(item))
                 best[i] = tree.search(item, weights[item], place, best[i], k)
                 place[item] = -1
-        rows = [(i, None if null else doc, -score) for i, found in enumerate(best) for score, null, doc in found]
-        columns = zip(*rows) if rows else ((), (), ())
+        firsts = [(i, None if null else doc, -score) for i, found in enumerate(best) for score, null, doc in found]
+        columns = zip(*firsts) if firsts else ((), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64()))], names=["item", "doc_id", "score"])
 
     return run
 
 
-def _trees(batches: Iterator[pa.RecordBatch], rank: np.ndarray) -> Iterator[tuple]:
+def _trees(batches: Iterator[pa.RecordBatch], rank: np.ndarray, size: int) -> Iterator[tuple]:
     """Documents with terms of the items, in chunks for one trie each; terms as ranks, rising."""
     held, rows, postings = [], 0, 0
 
@@ -212,8 +212,8 @@ def _trees(batches: Iterator[pa.RecordBatch], rank: np.ndarray) -> Iterator[tupl
         return ids, *(np.concatenate([part[k] for part in held]) for k in range(1, 5))
 
     for batch in batches:
-        cuts = range(0, batch.num_rows, TREE_ROWS // 8)
-        for part in (batch.slice(c, TREE_ROWS // 8) for c in cuts):
+        step = max(size // 8, 1)
+        for part in (batch.slice(c, step) for c in range(0, batch.num_rows, step)):
             (terms, sizes), (tfs, _) = _flat(part.column("terms")), _flat(part.column("tfs"))
             ranks = rank[terms]
             order = np.lexsort((ranks, np.repeat(np.arange(len(sizes)), sizes)))
@@ -221,7 +221,7 @@ def _trees(batches: Iterator[pa.RecordBatch], rank: np.ndarray) -> Iterator[tupl
             ids = part.column("doc_id").to_pylist()
             held.append(([ids[i] for i in some.tolist()], part.column("n").to_numpy()[some], ranks[order], tfs[order], sizes[some]))
             rows, postings = rows + len(some), postings + len(terms)
-            if rows >= TREE_ROWS or postings >= TREE_POSTINGS:
+            if rows >= size or postings >= TREE_POSTINGS:
                 yield chunk()
                 held, rows, postings = [], 0, 0
     if rows:
@@ -270,7 +270,7 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 10, item_bytes: i
         rank[order] = np.arange(len(order))
         weights = np.array([weight(int(d), n_docs) for d in df[order]], np.int64)
         searched = [np.sort(rank[np.searchsorted(vocabulary, h)]) for _, h in block]
-        found = vectors.mapInArrow(_searched(searched, weights, rank, n_docs, n_terms, k), _FOUND)
+        found = vectors.mapInArrow(_searched(searched, weights, rank, n_docs, n_terms, k, TREE_ROWS, LEAF), _FOUND)
         first = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
         ranked = found.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k)
         names = spark.createDataFrame([(i, item) for i, (item, _) in enumerate(block)], "item int, item_id long")

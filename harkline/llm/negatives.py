@@ -17,7 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from harkline.llm import text as T
 from harkline.operators.frozen import freeze
@@ -90,8 +91,6 @@ def _packed(size: int, width: int, anchors_only: bool):
     """Packs rows, in their order, into blocks; repeats of a row, which are neighbours, count once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         number, before, held = TaskContext.get().partitionId() << 32, None, []
         for batch in batches:
             ids, labels = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("vec_id", "label"))
@@ -156,8 +155,8 @@ def _single_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 _PAGE = "page long, blocks binary, page_low binary, page_high binary, page_kinds array<array<long>>, page_counts array<array<int>>"
 
 
-def _paged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Zone maps of up to ``PAGE`` blocks as one row."""
+def _paged(size: int):
+    """Zone maps of up to ``size`` blocks as one row."""
 
     def page(rows: list[dict]) -> pa.RecordBatch:
         columns = [
@@ -167,14 +166,17 @@ def _paged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ]
         return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _PAGE.split(", ")])
 
-    held: list[dict] = []
-    for row in _single_rows(batches):
-        held.append(row)
-        if len(held) == PAGE:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for row in _single_rows(batches):
+            held.append(row)
+            if len(held) == size:
+                yield page(held)
+                held = []
+        if held:
             yield page(held)
-            held = []
-    if held:
-        yield page(held)
+
+    return run
 
 
 _PAIRS = "group long, block long, wanted binary, bound long"
@@ -313,8 +315,6 @@ def _read_windows(width: int, k: int, least: int, most: int):
 
 def _firsts(found: DataFrame, k: int) -> DataFrame:
     """The first ``k`` of each anchor and window, with their ``rank``; each task has sent ``k`` of each at most."""
-    from pyspark.sql import Window
-
     order = Window.partitionBy("group", "at", "nth").orderBy(F.col("score").desc(), "id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
@@ -347,7 +347,7 @@ def mine_hard_negatives(
     blocks = freeze(keyed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_packed(BLOCK, width, False), _BLOCK))
     chosen = freeze(keyed.filter("anchor").repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_packed(ANCHORS, width, True), _BLOCK))
     anchors = chosen.select(F.col("block").alias("group"), *[F.col(c).alias(f"a_{c}") for c in ("ids", "labels", "vectors")])
-    pages = freeze(blocks.select("block", "low", "high", "kinds", "counts").mapInArrow(_paged, _PAGE))
+    pages = freeze(blocks.select("block", "low", "high", "kinds", "counts").mapInArrow(_paged(PAGE), _PAGE))
 
     def paired(groups: DataFrame) -> DataFrame:
         # Each anchor block meets each page of zone maps: query set by blocks, a few rows a page.
