@@ -75,8 +75,8 @@ def lookup_join(
     written down first, so that it is computed once. Its size is then checked. A
     small one is broadcast and the facts do not move. Otherwise both sides are
     shuffled, and the rows of each key with more than ``task_rows`` are spread over as many
-    values as that takes, with the lookup's row repeated for each. Keys are counted for that, so facts that
-    are not ``facts_stored`` are written down before.
+    values as that takes, by their place in the table, with the lookup's row repeated for each. Keys are counted for that, so facts that
+    are not ``facts_stored`` (a table, or a plain scan of one) are written down before.
     """
     keys = [on] if isinstance(on, str) else list(on)
     types = {k: common_type(facts.schema[k].dataType, lookup.schema[k].dataType) for k in keys}
@@ -94,18 +94,11 @@ def lookup_join(
         joined = left.join(F.broadcast(right), match, how)
     else:
         spread = F.broadcast(freeze(spread_keys(left, match, task_rows)))  # fewer than SPREAD_KEYS rows
-        sortable = [f.name for f in facts.schema if not _has_map(f.dataType)]
         left = left.withColumn("_hash", _hash(match)).join(spread, "_hash", "left")
-        left = left.withColumn("_salt", F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(*sortable), "_salts")).otherwise(0).cast("int"))
+        left = left.withColumn("_salt", F.when(F.col("_salts").isNotNull(), F.pmod(F.monotonically_increasing_id(), "_salts")).otherwise(0).cast("int"))
         right = right.withColumn("_hash", _hash(match)).join(spread, "_hash", "left").drop("_hash")
         right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
         joined = left.join(right, [*match, "_salt"], how)
     out = [*keys, *[c for c in facts.columns if c not in keys]]
     return joined.select(*out, *(others if how in ("inner", "left") else []))
 
-
-def _has_map(kind: T.DataType) -> bool:
-    """Whether Spark can't hash values of the type."""
-    if isinstance(kind, T.StructType):
-        return any(_has_map(f.dataType) for f in kind)
-    return isinstance(kind, (T.MapType, T.VariantType)) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)

@@ -8,10 +8,10 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from harkline.functions.draws import SEED, draw_bits
-from harkline.functions.lists import items_by_score
 from harkline.operators.features import apply_index, frequency_index
 from harkline.operators.frozen import freeze
 from harkline.operators.joins import lookup_join
+from harkline.operators.products import top_products
 from harkline.session import scratch_dir
 
 # Ratings that one block holds, on average.
@@ -39,37 +39,37 @@ class Recommender:
         )
 
     def recommend(self, k: int = 5, users: DataFrame | None = None) -> DataFrame:
-        """``(user_id, position, song_id, rating)``: the ``k`` best songs of every user, or of those of ``users`` (``user_id``)."""
-        if users is None:
-            scored = self.model.recommendForAllUsers(k)
-        else:
-            known = lookup_join(users.select("user_id").distinct(), self.users.select("user_id", "user_int"), "user_id", "inner", stored=True)
-            scored = self.model.recommendForUserSubset(known.select("user_int"), k)
-        listed = scored.select("user_int", F.posexplode("recommendations").alias("at", "rec"))
-        rows = listed.select(
-            "user_int",
-            (F.col("at") + 1).alias("position"),
-            F.col("rec.song_int").alias("song_int"),
-            F.col("rec.rating").alias("rating"),
-        )
-        return self._named(rows).select("user_id", "position", "song_id", "rating")
+        """``(user_id, position, song_id, rating)``: the ``k`` best songs of every user, or of those of ``users`` (``user_id``).
+
+        Songs of equal rating are in order of their index.
+        """
+        wanted = self.users if users is None else lookup_join(self.users, users.select("user_id").distinct(), "user_id", "left_semi", stored=True, facts_stored=True)
+        return self._best(wanted.select("user_int", F.lit(k).alias("want")))
 
     def recommend_unplayed(self, played: DataFrame, k: int = 5) -> DataFrame:
         """As ``recommend``, without the songs that a user has in ``played``.
 
-        A user with n such songs needs the k + n best to be left with k, so as many are scored as the most any has.
+        A user with n such songs needs the k + n best to be left with k, and so many are sought for that user.
         """
         pairs = freeze(played.select("user_id", "song_id").distinct())
-        most = pairs.groupBy("user_id").count().agg(F.max("count")).head()[0] or 0
-        fresh = self.recommend(k + most).join(pairs, ["user_id", "song_id"], "left_anti")
+        counts = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+        wanted = self.users.join(counts, "user_id", "left").select("user_int", (F.coalesce("n", F.lit(0)) + k).alias("want"))
+        fresh = self._best(wanted).join(pairs, ["user_id", "song_id"], "left_anti")
         place = F.row_number().over(Window.partitionBy("user_id").orderBy("position"))
         return fresh.withColumn("position", place).filter(F.col("position") <= k).select("user_id", "position", "song_id", "rating")
 
     def recommended_items(self, k: int = 5) -> DataFrame:
         """``(user_id, position, song_id)``: the list of each user without the ratings."""
-        songs = items_by_score(F.col("recommendations"), "song_int", "rating", k)
-        rows = self.model.recommendForAllUsers(k).select("user_int", F.posexplode(songs).alias("at", "song_int"))
-        return self._named(rows).select("user_id", (F.col("at") + 1).alias("position"), "song_id")
+        return self.recommend(k).select("user_id", "position", "song_id")
+
+    def _best(self, wanted: DataFrame) -> DataFrame:
+        """The best songs of users, as many for each as ``wanted`` (``user_int``, ``want``) says."""
+        users = self.model.userFactors.join(wanted, F.col("id") == F.col("user_int")).select("id", "features", "want")
+        found = top_products(users, self.model.itemFactors, F.col("want"))
+        rows = found.select(
+            F.col("id").alias("user_int"), (F.col("at") + 1).alias("position"), F.col("item").alias("song_int"), F.col("product").alias("rating")
+        )
+        return self._named(rows).select("user_id", "position", "song_id", "rating")
 
     def score(self, triplets: DataFrame) -> DataFrame:
         """Adds ``prediction`` to the rows whose user and song are known."""
@@ -82,7 +82,7 @@ class Recommender:
         return self.score(lookup_join(test, drawn, "user_id", "left_semi"))
 
     def _named(self, rows: DataFrame) -> DataFrame:
-        """Ids for indexes. The rows are all users times all songs scored, so they are written down once, k a user."""
+        """Ids for indexes. The rows cost a search, so they are written down once."""
         songs = self.songs.select("song_int", "song_id")
         users = self.users.select("user_int", "user_id")
         named = lookup_join(freeze(rows), songs, "song_int", "inner", stored=True, facts_stored=True)

@@ -55,7 +55,7 @@ def triplets(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     return (
-        lookup_join(lines, orders, "l_orderkey", "inner", stored=True)
+        lookup_join(lines, orders, "l_orderkey", "inner", stored=True, facts_stored=True)
         .groupBy("o_custkey", "l_partkey")
         .agg(F.sum("l_quantity").cast("int").alias("play_count"))
         .select(_code("U", "o_custkey").alias("user_id"), _code("S", "l_partkey").alias("song_id"), "play_count")

@@ -72,6 +72,21 @@ def test_large_lookup_spreads_the_hot_key(spark, facts):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_equal_rows_of_one_key_use_all_salts(spark):
+    facts = freeze(spark.range(3000).select(F.lit("hot").alias("key")))
+    lookup = spark.createDataFrame([("hot", 1)], "key string, w int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    try:
+        joined = lookup_join(facts, lookup, "key", "inner", max_bytes=0, task_rows=100, facts_stored=True)
+        parts = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    # Thirty salts of a hundred rows each, by hash over 64 partitions.
+    assert sum(parts) == 3000 and len(parts) > 15 and max(parts) <= 600
+
+
 NUMBERS = [1.0, 1.5, 2.0, 2.0**40, None]
 
 
