@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from harkline.operators import classify, features, metrics, sampling
+from harkline.operators import classify, ensembles, features, metrics, sampling
 from harkline.operators.frozen import freeze
 from harkline.operators.recommend import fit_recommender
 from harkline.plans import models, tables as t
@@ -152,3 +152,71 @@ def test_multiclass_probabilities_are_arrays(sides):
     assert dict(scored.dtypes)["probability"] == "array<double>"
     got = {r["class"]: r["auroc"] for r in metrics.ovr_auroc(scored).collect()}
     assert got[0] == pytest.approx(got[1]) and got[1] > 0.9
+
+
+@pytest.fixture(scope="module")
+def boosted(sides):
+    """A long fit and a short one of the same settings, with rows left out at random."""
+    train, _ = sides
+    return [classify.boosted_trees().setSubsamplingRate(0.5).setMaxDepth(3).setMaxIter(n).fit(train) for n in (6, 3)]
+
+
+def scores(model, rows):
+    return [r["score"] for r in classify.score(model, rows, KEY).orderBy(*KEY).collect()]
+
+
+def test_first_rounds_are_the_shorter_fit(sides, boosted):
+    long, short = boosted
+    assert ensembles.first_rounds(long, 6) is long
+    assert scores(ensembles.first_rounds(long, 3), sides[1]) == scores(short, sides[1])
+    assert scores(ensembles.first_rounds(long, 3), sides[1]) != scores(long, sides[1])
+
+
+def test_staged_search_equals_separate_fits(sides):
+    """Every setting's area, against a fit of its own on each fold."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    from harkline.functions.draws import draw
+
+    train, _ = sides
+    grid = {"sampling_rates": [0.5, 1.0], "iterations": [2, 4], "depths": [2, 3]}
+    best, settings = classify.tune_boosted_trees(train, KEY, **grid, folds=2)
+    folded = freeze(train.withColumn("fold", F.floor(draw(KEY, "fold", 42) * 2).cast("int")))
+    fits = [freeze(classify._few_parts(sampling.upsample(folded.filter(F.col("fold") != i), "class", KEY).select("features", "class"))) for i in range(2)]
+    evaluator = BinaryClassificationEvaluator(labelCol="class", numBins=0)
+    rows = settings.collect()
+    assert [(r["sampling_rate"], r["iterations"], r["depth"]) for r in rows] == [(s, n, d) for s in grid["sampling_rates"] for n in grid["iterations"] for d in grid["depths"]]
+    for r in rows[1::3]:
+        gbt = classify.boosted_trees().setSubsamplingRate(r["sampling_rate"]).setMaxIter(r["iterations"]).setMaxDepth(r["depth"])
+        areas = [evaluator.evaluate(gbt.fit(fits[i]).transform(folded.filter(F.col("fold") == i))) for i in range(2)]
+        assert r["auroc"] == pytest.approx(sum(areas) / 2, abs=1e-9)
+    top = max(rows, key=lambda r: r["auroc"])
+    assert (best.getNumTrees, best.getOrDefault("maxDepth")) == (top["iterations"], top["depth"])
+
+
+def test_boosted_trees_as_a_table(sides, boosted):
+    """Margins of the table, all rounds and the first, are the model's raw scores: twice the margin."""
+    _, test = sides
+    leaves = freeze(ensembles.leaves_reached(ensembles.tree_table(boosted[0]), test, KEY))
+    for rounds, model in ((None, boosted[0]), (3, boosted[1])):
+        margins = [r["margin"] for r in ensembles.boosted_margin(leaves, KEY, rounds).orderBy(*KEY).collect()]
+        # The library's raw score of class 1 is the margin, of class 0 its negative.
+        assert margins == pytest.approx(scores(model, test))
+
+
+def test_a_forest_as_a_table(sides):
+    train, test = sides
+    model = classify.random_forest().setNumTrees(4).fit(train)
+    votes = ensembles.forest_votes(ensembles.leaves_reached(ensembles.tree_table(model), test, KEY), KEY)
+    got = {(r["track_id"], r["at"]): r["share"] for r in votes.collect()}
+    for r in classify.score_classes(model, test, KEY).collect():
+        assert [got[r["track_id"], c] for c in (0, 1)] == pytest.approx(r["probability"])
+
+
+def test_a_tree_of_one_leaf(spark, sides):
+
+    train, test = sides
+    model = classify.random_forest().setNumTrees(2).setMaxDepth(0).fit(train)
+    nodes = ensembles.tree_table(model)
+    assert nodes.count() == 2 and nodes.filter("feature IS NOT NULL").count() == 0
+    assert ensembles.leaves_reached(nodes, test, KEY).count() == 2 * test.count()
