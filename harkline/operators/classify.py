@@ -140,7 +140,7 @@ def tune_boosted_trees(
 
     Folds follow from the keys. Only the training side of a fold is up-sampled, so no copies of a row lie on both sides; it is
     written down once. A fit of the most rounds holds the fits of fewer (``ensembles.first_rounds``), so each sampling rate and
-    depth is fitted once a fold and scored at every number of rounds. ``parallelism`` fits share the cluster, one per core unless given.
+    depth is fitted once a fold and scored at every number of rounds. ``parallelism`` fits share the cluster, two per core unless given, as each is many short jobs that wait for the driver.
     """
     spark = train.sparkSession
     folded = freeze(train.withColumn("fold", F.floor(draw(keys, "fold", seed) * folds).cast("int")))
@@ -165,7 +165,7 @@ def tune_boosted_trees(
     # The longest fits first.
     tasks = [(rate, depth, fold) for depth in sorted(depths, reverse=True) for rate in sampling_rates for fold in range(folds)]
     found: dict[tuple[float, int, int], list[float]] = {}
-    with ThreadPoolExecutor(parallelism or spark.sparkContext.defaultParallelism) as pool:
+    with ThreadPoolExecutor(parallelism or 2 * spark.sparkContext.defaultParallelism) as pool:
         for areas in pool.map(inheritable_thread_target(spark)(search), tasks):
             for setting, area in areas.items():
                 found.setdefault(setting, []).append(area)
