@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from harkline.operators.frozen import freeze
 from harkline.session import tables_dir
@@ -52,20 +52,21 @@ def tree_table(model: Model) -> DataFrame:
     return freeze(nodes.join(F.broadcast(weights), "tree"))
 
 
-def leaves_reached(nodes: DataFrame, rows: DataFrame, keys: Sequence[str], features: str = "features") -> DataFrame:
-    """``(*keys, tree, value, leaf_counts, weight)``: the leaf of each tree that a row of vectors ends in.
+def leaves_reached(nodes: DataFrame, rows: DataFrame, keys: Sequence[str], features: str = "features", leaf: bool = False) -> DataFrame:
+    """``(*keys, tree, value, leaf_counts, weight)``: the leaf of each tree that a row of vectors ends in; ``node`` as well if ``leaf``.
 
     One join with the nodes per level. The nodes are those of one model, so they are broadcast; rows times trees
     are narrow and never shuffled.
     """
     deepest = _depth(nodes)
     values = vector_to_array(F.col(features))
-    at = rows.select(*keys, values.alias("_x")).crossJoin(F.broadcast(nodes.select("tree").distinct())).withColumn("node", F.lit(0))
+    last = nodes.agg(F.max("tree")).head()[0]
+    at = rows.select(*keys, values.alias("_x"), F.explode(F.sequence(F.lit(0), F.lit(last))).alias("tree")).withColumn("node", F.lit(0))
     for _ in range(deepest):
         step = F.when(F.get("_x", F.col("feature")) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
         at = at.join(F.broadcast(nodes.select("tree", "node", "feature", "threshold", "left", "right")), ["tree", "node"])
         at = at.select(*keys, "_x", "tree", F.when(F.col("feature").isNull(), F.col("node")).otherwise(step).alias("node"))
-    return at.join(F.broadcast(nodes), ["tree", "node"]).select(*keys, "tree", "value", "leaf_counts", "weight")
+    return at.join(F.broadcast(nodes), ["tree", "node"]).select(*keys, "tree", *(["node"] if leaf else []), "value", "leaf_counts", "weight")
 
 
 def _depth(nodes: DataFrame) -> int:
@@ -92,3 +93,20 @@ def forest_votes(leaves: DataFrame, keys: Sequence[str]) -> DataFrame:
     total = F.aggregate("leaf_counts", F.lit(0.0), lambda a, b: a + b)
     votes = leaves.select(*keys, "tree", total.alias("_total"), F.posexplode("leaf_counts").alias("at", "_n"))
     return votes.groupBy(*keys, "at").agg(F.avg(F.col("_n") / F.col("_total")).alias("share"))
+
+
+def leaf_errors(nodes: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(tree, leaf, n_rows, value, expected)`` of a boosted model and the rows it was fitted on, without subsampling.
+
+    A leaf's value is the mean of what its round set out to fit, over the rows that reach it: the signs of the classes in the first
+    round, and then the negative slopes of the loss 2 log(1 + exp(-2 y F)) at the margin F of the rounds before. Margins of all rounds
+    are running sums along each row's leaves.
+    """
+    labels = rows.select(*keys, F.when(F.col("class") == 1, 1.0).otherwise(-1.0).alias("_y"))
+    leaves = freeze(leaves_reached(nodes, rows, keys, leaf=True))
+    before = Window.partitionBy(*keys).orderBy("tree").rowsBetween(Window.unboundedPreceding, -1)
+    margin = F.sum(F.col("weight") * F.col("value")).over(before)
+    y = F.col("_y")
+    asked = F.when(F.col("tree") == 0, y).otherwise(4 * y / (1 + F.exp(2 * y * F.col("_margin"))))
+    reached = leaves.withColumn("_margin", margin).join(labels, list(keys))
+    return reached.groupBy("tree", F.col("node").alias("leaf")).agg(F.count(F.lit(1)).alias("n_rows"), F.any_value("value").alias("value"), F.avg(asked).alias("expected"))

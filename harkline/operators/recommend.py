@@ -25,6 +25,7 @@ class Recommender:
     model: ALSModel
     users: DataFrame
     songs: DataFrame
+    regularization: float
 
     def index(self, triplets: DataFrame) -> DataFrame:
         """Adds ``user_int`` and ``song_int`` as training knows them; rows with unknown ids are dropped."""
@@ -62,6 +63,33 @@ class Recommender:
         """``(user_id, position, song_id)``: the list of each user without the ratings."""
         return self.recommend(k).select("user_id", "position", "song_id")
 
+    def residuals(self, train: DataFrame) -> DataFrame:
+        """``(user_id, n_songs, residual)``: how far each user's factors are from solving their normal equations, given the songs'.
+
+        The last step of the fit solves for the users. With song factors y, c = |plays|, n songs of c > 0 and the regularization r, a user's
+        x solves (sum of all y y' + sum of c y y' + r n) x = sum of (1 + c) y, sums with c over the user's songs. The residual
+        is the length of the difference by the length of the right side. The sum over all songs is a matrix of rank by rank; users' sums are added up
+        in each task before rows move.
+        """
+        r = float(self.regularization)
+        songs = self.model.itemFactors.select(F.col("id").alias("song_int"), F.transform("features", lambda v: v.cast("double")).alias("y"))
+        users = self.model.userFactors.select(F.col("id").alias("user_int"), F.transform("features", lambda v: v.cast("double")).alias("x"))
+        squares = songs.select("y", F.posexplode("y").alias("i", "yi")).select("i", "yi", F.posexplode("y").alias("j", "yj"))
+        gram = squares.groupBy("i", "j").agg(F.sum(F.col("yi") * F.col("yj")).alias("g"))
+        rated = self.index(train).select("user_int", "song_int", F.abs(F.col("play_count").cast("double")).alias("c")).filter("c > 0")
+        rows = lookup_join(lookup_join(rated, freeze(songs), "song_int", "inner", stored=True), freeze(users), "user_int", "inner", stored=True)
+        dot = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+        rows = rows.select("user_int", "c", dot.alias("s"), F.posexplode("y").alias("i", "yi"))
+        sums = rows.groupBy("user_int", "i").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("c") * F.col("s") * F.col("yi")).alias("own"), F.sum((1 + F.col("c")) * F.col("yi")).alias("asked")
+        )
+        entries = users.select("user_int", F.posexplode("x").alias("i", "xi"))
+        common = entries.withColumnRenamed("i", "j").join(F.broadcast(gram), "j").groupBy("user_int", "i").agg(F.sum(F.col("g") * F.col("xi")).alias("common"))
+        parts = sums.join(entries, ["user_int", "i"]).join(common, ["user_int", "i"])
+        off = F.col("common") + F.col("own") + r * F.col("n") * F.col("xi") - F.col("asked")
+        told = parts.groupBy("user_int").agg(F.max("n").alias("n_songs"), (F.sqrt(F.sum(off * off)) / F.sqrt(F.sum(F.col("asked") * F.col("asked")))).alias("residual"))
+        return lookup_join(told, self.users.select("user_int", "user_id"), "user_int", "inner", stored=True).select("user_id", "n_songs", "residual")
+
     def _best(self, wanted: DataFrame) -> DataFrame:
         """The best songs of users, as many for each as ``wanted`` (``user_int``, ``want``) says."""
         users = self.model.userFactors.join(wanted, F.col("id") == F.col("user_int")).select("id", "features", "want")
@@ -117,4 +145,4 @@ def fit_recommender(
         numItemBlocks=blocks,
         checkpointInterval=2,
     )
-    return Recommender(als.fit(indexed.select("user_int", "song_int", "play_count")), users, songs)
+    return Recommender(als.fit(indexed.select("user_int", "song_int", "play_count")), users, songs, regularization)

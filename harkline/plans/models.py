@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from harkline.operators import classify, features, metrics, sampling
+from harkline.operators import classify, ensembles, features, metrics, sampling
 from harkline.operators.frozen import freeze
 from harkline.operators.recommend import Recommender, fit_recommender
 from harkline.plans import splits, tables as t
@@ -164,6 +164,57 @@ def unplayed_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return rows.join(played, ["user_id", "song_id"], "left").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.count("played").alias("n_played"))
 
 
+# What fitted values must satisfy, whatever the data: SQL says that all of them do.
+
+
+@lru_cache(maxsize=4)
+def logistic_model(spark: SparkSession, sf: str, weighted: bool) -> Model:
+    train, _ = binary_sides(spark, sf)
+    rows = sampling.class_weight(train, "class") if weighted else train
+    # Far more rounds than the fit of the comparison, so that it ends at the optimum.
+    return classify.logistic_regression("weight" if weighted else None).setMaxIter(200).setTol(1e-12).fit(rows)
+
+
+def lr_optimality(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the loss is flat at the coefficients of a plain and a weighted logistic regression."""
+    train, _ = binary_sides(spark, sf)
+    weighted = sampling.class_weight(train, "class")
+    parts = [("plain", classify.loss_gradient(logistic_model(spark, sf, False), train)), ("weighted", classify.loss_gradient(logistic_model(spark, sf, True), weighted, "weight"))]
+    flat = [df.select(F.lit(name).alias("treatment"), "term", (F.abs("gradient") < 1e-5).alias("flat")) for name, df in parts]
+    return flat[0].unionByName(flat[1])
+
+
+def tree_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the test side, and those scored alike by the table of a model's trees and the model."""
+    train, test = binary_sides(spark, sf)
+    parts = []
+    for learner in ["random forest", "boosted trees"]:
+        model = classify.LEARNERS[learner]().fit(train)
+        leaves = ensembles.leaves_reached(ensembles.tree_table(model), test, KEY)
+        if learner == "boosted trees":
+            ours, theirs = ensembles.boosted_margin(leaves, KEY).withColumnRenamed("margin", "ours"), classify.score(model, test, KEY)
+        else:
+            ours = ensembles.forest_votes(leaves, KEY).filter("at = 1").withColumnRenamed("share", "ours")
+            theirs = classify.score_classes(model, test, KEY).withColumn("score", F.col("probability")[1])
+        same = F.abs(F.col("ours") - F.col("score")) < 1e-9
+        parts.append(ours.join(theirs, KEY).agg(F.lit(learner).alias("learner"), F.count(F.lit(1)).alias("n"), F.count_if(same).alias("n_same")))
+    return parts[0].unionByName(parts[1])
+
+
+def boosted_leaves(spark: SparkSession, sf: str) -> DataFrame:
+    """For each boosting round, the training rows in its leaves, and whether all leaves hold the mean of what the round fitted."""
+    train, _ = binary_sides(spark, sf)
+    errors = ensembles.leaf_errors(ensembles.tree_table(classify.boosted_trees().fit(train)), train, KEY)
+    right = F.abs(F.col("value") - F.col("expected")) < 1e-9
+    return errors.groupBy("tree").agg(F.sum("n_rows").alias("n"), F.bool_and(right).alias("all_right"))
+
+
+def als_residual(spark: SparkSession, sf: str) -> DataFrame:
+    """For each user, songs played in training, and whether the factors solve the user's normal equations."""
+    rows = recommender(spark, sf).residuals(triplet_sides(spark, sf)[0])
+    return rows.select("user_id", "n_songs", (F.col("residual") < 1e-3).alias("solved"))
+
+
 def sampled_users(spark: SparkSession, sf: str) -> DataFrame:
     """The drawn users and how many of their test rows are scored."""
     rows = recommender(spark, sf).sampled_user_scores(triplet_sides(spark, sf)[1])
@@ -172,7 +223,7 @@ def sampled_users(spark: SparkSession, sf: str) -> DataFrame:
 
 def forget() -> None:
     """Drops the models and tables kept for the session, so that the next query fits anew."""
-    for kept in [binary_sides, genre_sides, genre_forest, tuned, triplet_sides, recommender]:
+    for kept in [binary_sides, genre_sides, genre_forest, tuned, triplet_sides, recommender, logistic_model]:
         kept.cache_clear()
 
 
@@ -245,6 +296,30 @@ QUERIES = {
                 FROM train GROUP BY user_id"""
         ),
     ),
+    "lr_optimality": Query(
+        lr_optimality,
+        f"""SELECT treatment, CAST(term AS INTEGER) AS term, true AS flat
+            FROM (VALUES ('plain'), ('weighted')) AS t(treatment), range(-1, {len(FEATURES)}) AS r(term)""",
+    ),
+    "tree_scores": Query(
+        tree_scores,
+        t.with_sql(
+            """SELECT learner, count(*) AS n, count(*) AS n_same FROM split
+                JOIN (VALUES ('random forest'), ('boosted trees')) AS l(learner) ON true WHERE NOT in_train GROUP BY learner""",
+            **splits.SPLIT_SQL,
+        ),
+    ),
+    "boosted_leaves": Query(
+        boosted_leaves,
+        t.with_sql(
+            "SELECT CAST(tree AS INTEGER) AS tree, count(*) AS n, true AS all_right FROM training, range(20) AS r(tree) GROUP BY tree",
+            **splits.SPLIT_SQL,
+        ),
+    ),
+    "als_residual": Query(
+        als_residual,
+        t.with_sql("SELECT user_id, count(*) AS n_songs, true AS solved FROM train GROUP BY user_id"),
+    ),
     "sampled_users": Query(
         sampled_users,
         t.with_sql(

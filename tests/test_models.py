@@ -220,3 +220,61 @@ def test_a_tree_of_one_leaf(spark, sides):
     nodes = ensembles.tree_table(model)
     assert nodes.count() == 2 and nodes.filter("feature IS NOT NULL").count() == 0
     assert ensembles.leaves_reached(nodes, test, KEY).count() == 2 * test.count()
+
+
+def test_leaves_hold_what_their_round_fitted(spark, sides):
+    train, _ = sides
+    model = classify.boosted_trees().setMaxIter(4).setMaxDepth(3).fit(train)
+    nodes = ensembles.tree_table(model)
+    errors = ensembles.leaf_errors(nodes, train, KEY).collect()
+    assert {r["tree"] for r in errors} == {0, 1, 2, 3}
+    assert all(r["value"] == pytest.approx(r["expected"], abs=1e-9) for r in errors)
+    assert all(sum(r["n_rows"] for r in errors if r["tree"] == i) == train.count() for i in range(4))
+    # With other values in one tree, it and those after it do not fit.
+    mixed = nodes.withColumn("value", F.when(F.col("tree") == 1, F.col("value") + 0.1).otherwise(F.col("value")))
+    wrong = {r["tree"] for r in ensembles.leaf_errors(mixed, train, KEY).collect() if abs(r["value"] - r["expected"]) > 1e-6}
+    assert wrong == {1, 2, 3}
+
+
+@pytest.mark.parametrize("weight", [None, "weight"])
+def test_the_loss_is_flat_at_its_optimum_only(sides, weight):
+    train = sampling.class_weight(sides[0], "class")
+    slopes = lambda rounds, reg=0.3: [
+        r["gradient"] for r in classify.loss_gradient(classify.logistic_regression(weight).setMaxIter(rounds).setTol(1e-12).setRegParam(reg).fit(train), train, weight).collect()
+    ]
+    assert len(slopes(100)) == len(t.FEATURES) + 1
+    assert max(map(abs, slopes(100))) < 1e-6 < 1e-4 < max(map(abs, slopes(1)))
+    # Fitted with other weights, the same coefficients are no optimum.
+    other = classify.logistic_regression(None if weight else "weight").setMaxIter(100).setTol(1e-12).fit(train)
+    assert max(abs(r["gradient"]) for r in classify.loss_gradient(other, train, weight).collect()) > 1e-4
+
+
+def test_gradient_of_a_constant_feature(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = spark.createDataFrame([(i % 2, Vectors.dense([float(i % 3), 7.0])) for i in range(30)], ["class", "features"])
+    found = {r["term"]: r["gradient"] for r in classify.loss_gradient(classify.logistic_regression().fit(rows), rows).collect()}
+    assert found[1] == 0.0 and set(found) == {-1, 0, 1}
+
+
+def test_factors_solve_their_equations(spark, plays, recommender):
+    import dataclasses
+
+    import numpy as np
+
+    rows = {r["user_id"]: r for r in recommender.residuals(plays[0]).collect()}
+    assert set(rows) == {r["user_id"] for r in plays[0].select("user_id").distinct().collect()}
+    assert max(r["residual"] for r in rows.values()) < 1e-4
+    # The same by arrays, with another regularization, under which they do not.
+    wrong = dataclasses.replace(recommender, regularization=3.0)
+    factors = {(r["kind"], r["name"]): np.array(r["features"], float) for r in recommender.factors().collect()}
+    y = np.array([v for (kind, _), v in factors.items() if kind == "song"])
+    of_user = {}
+    for r in plays[0].collect():
+        of_user.setdefault(r["user_id"], []).append((factors["song", r["song_id"]], r["play_count"]))
+    for r in wrong.residuals(plays[0]).limit(20).collect():
+        x, own = factors["user", r["user_id"]], of_user[r["user_id"]]
+        left = y.T @ y @ x + sum(c * v * (v @ x) for v, c in own) + 3.0 * len(own) * x
+        right = sum((1 + c) * v for v, c in own)
+        assert r["n_songs"] == len(own) and r["residual"] > 1e-3
+        assert r["residual"] == pytest.approx(np.linalg.norm(left - right) / np.linalg.norm(right), rel=1e-6)
