@@ -210,6 +210,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, most: int = MANY
     one id are linked as their texts are. A null id comes after all others; alone, its component is null. ``docs`` must
     read alike each time (a stored table). No rows give no rows.
     """
+    T.bound_batches(docs.sparkSession)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(2 * partitions, T.text_bytes(docs) // RANGE_BYTES)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("text_key"), "text")

@@ -252,6 +252,7 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 10, item_bytes: i
     are ignored. No documents or no items give no rows.
     """
     spark = docs.sparkSession
+    T.bound_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = []
     for block in item_blocks(items, item_bytes):

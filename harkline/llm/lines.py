@@ -127,6 +127,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """``(doc, text_key, start, stop)``: runs of lines that have an earlier place; lines with a word are numbered from 0."""
+    T.bound_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("text_key"), "text")
     prints = freeze(rows.mapInArrow(_print, _PRINTS))
     twice = prints.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print")

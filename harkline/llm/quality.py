@@ -121,6 +121,7 @@ def language_references(docs: DataFrame, limits: Limits = Limits(), lang: str =
     A language has at most ``limits.common_share`` common words, so the result is bounded by the
     number of languages. Texts without a language form one of their own.
     """
+    T.bound_batches(docs.sparkSession)
     docs = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     classes = docs.mapInArrow(_count_classes, _COUNTED).select("lang", F.posexplode("counts"))
     classes = classes.groupBy("lang", "pos").agg(F.sum("col").alias("n")).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("classes"))

@@ -8,6 +8,7 @@ the words themselves with a chance below 1e-12.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -16,13 +17,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: The pattern of a word, for Spark's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text is worked on in chunks of about so many bytes.
 CHUNK_BYTES = 2_000_000
+#: Rows come from Spark in batches of at most so many bytes, or one row.
+BATCH_BYTES = 8_000_000
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _PUNCTUATION = np.zeros(256, bool)
@@ -140,6 +144,23 @@ def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
         size *= 2
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lets tasks get their input in batches of at most ``BATCH_BYTES``, from now on in this session.
+
+    A batch is held by the JVM outside its heap and by the Python worker, whole. Results do not depend on it.
+    """
+    named = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(named).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(named, str(BATCH_BYTES))
+
+
+def hand_back() -> None:
+    """Gives freed memory back to the system; a Python worker lives on for the next tasks."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES, text: str = "text") -> Iterator[pa.RecordBatch]:
     """Cuts batches so that each has about ``size`` bytes of text, or one row."""
     for batch in batches:
@@ -150,6 +171,7 @@ def chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES, text: str
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+        hand_back()
 
 
 def raw(column: pa.Array) -> list[bytes | None]:
