@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from harkline.operators.frozen import freeze
 
@@ -47,34 +47,40 @@ OWNED = Kind(
 MAX_OWNERS = 2
 
 
-def found(text: Column, kind: Kind, number: int) -> Column:
-    """The candidates of a kind in a text: ``start``, ``kind``, ``end`` in characters, end exclusive, and ``value``, a hash.
-
-    The text is cut at the matches; lengths of pieces and matches add up to the places.
-    """
+def pieces(text: Column, kind: Kind, number: int) -> Column:
+    """The candidates of a kind in a text, in order: the characters before each since the last, its own, and its value's length and hash."""
     whole = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     secret = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group))
     step = F.zip_with(F.split(text, kind.pattern, -1), whole, lambda piece, match: F.struct(F.length(piece).alias("gap"), F.length(match).alias("long")))
-    parts = F.zip_with(step, secret, lambda s, v: F.struct(s["gap"].alias("gap"), s["long"].alias("long"), v.alias("value")))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,size:int,value:bigint>>")
-    walked = F.aggregate(
-        F.filter(parts, lambda p: p["long"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, p: F.struct(
-            (acc["at"] + p["gap"] + p["long"]).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + p["gap"]).alias("start"), F.lit(number).alias("kind"), (acc["at"] + p["gap"] + p["long"]).alias("end"),
-                        F.length(p["value"]).alias("size"), F.xxhash64(p["value"]).alias("value"),
-                    )
-                ),
-            ).alias("out"),
+    parts = F.zip_with(
+        step, secret,
+        lambda s, v: F.struct(
+            F.lit(number).alias("kind"), s["gap"].alias("gap"), s["long"].alias("long"), F.length(v).alias("size"), F.xxhash64(v).alias("value")
         ),
     )
-    kept = F.filter(walked["out"], lambda s: s["size"] >= kind.least)
-    return F.when(text.rlike(kind.hint), kept).otherwise(none)
+    none = F.array().cast("array<struct<kind:int,gap:int,long:int,size:int,value:bigint>>")
+    return F.when(text.rlike(kind.hint), F.filter(parts, lambda p: p["long"].isNotNull())).otherwise(none)
+
+
+def located(pieced: DataFrame, kinds: list[Kind]) -> DataFrame:
+    """``(row, owner, repository, span)``: the candidates that are long enough, with ``start``, ``kind``, ``end`` in characters, end exclusive, ``size`` and ``value``.
+
+    Places are running sums of the pieces of a text, and a long token is left out that overlaps one of a named kind: before it by the
+    largest end, after it by the smallest start. So the work follows the number of candidates, however many one text has.
+    """
+    listed = pieced.select("row", "owner", "repository", F.posexplode("pieces").alias("at", "piece")).select("row", "owner", "repository", "at", "piece.*")
+    upto = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    least = F.element_at(F.array(*[F.lit(k.least) for k in kinds]), F.col("kind") + 1)
+    placed = listed.withColumn("end", F.sum(F.col("gap") + F.col("long")).over(upto).cast("int")).filter(F.col("size") >= least)
+    placed = placed.withColumn("start", F.col("end") - F.col("long"))
+    # Both ways as running values; a window that ends with the text would be added up anew for each row.
+    rising, falling = (Window.partitionBy("row").orderBy(*o).rowsBetween(Window.unboundedPreceding, 0) for o in (("start", "kind"), (F.desc("start"), F.desc("kind"))))
+    named = F.col("kind") < len(BASE)
+    reached = F.max(F.when(named, F.col("end"))).over(rising)
+    following = F.min(F.when(named, F.col("start"))).over(falling)
+    overlaps = F.coalesce(reached > F.col("start"), F.lit(False)) | F.coalesce(following < F.col("end"), F.lit(False))
+    placed = placed.withColumn("taken", overlaps).filter(named | ~F.col("taken"))
+    return placed.select("row", "owner", "repository", F.struct("start", "kind", "end", "size", "value").alias("span"))
 
 
 def _listed(spans: Column, kinds: list[Kind]) -> Column:
@@ -100,15 +106,12 @@ def scan_secrets(
     text = F.coalesce("text", F.lit(""))
     owner = F.col("source") if owner is None else owner
     repository = F.concat_ws("/", "source", "lang") if repository is None else repository
-    spans = F.array_sort(F.concat(*[found(text, k, i) for i, k in enumerate(kinds)]))
-    # A long token that a named kind has found already is left to it.
-    rows = docs.select("doc_id", owner.cast("string").alias("owner"), repository.cast("string").alias("repository"), spans.alias("spans"))
-    named = F.filter("spans", lambda s: s["kind"] < len(BASE))
-    inside = lambda s: F.exists(named, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    rows = rows.withColumn("spans", F.when(F.size("spans") > F.size(named), F.filter("spans", lambda s: (s["kind"] < len(BASE)) | ~inside(s))).otherwise(F.col("spans")))
-    rows = freeze(rows.withColumn("row", F.monotonically_increasing_id()))
-
-    values = rows.select("row", "owner", "repository", F.explode("spans").alias("span"))
+    found = F.concat(*[pieces(text, k, i) for i, k in enumerate(kinds)])
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", owner.cast("string").alias("owner"), repository.cast("string").alias("repository"), found.alias("pieces")
+    )
+    rows = freeze(rows)
+    values = freeze(located(rows.filter(F.size("pieces") > 0), kinds))
     # Each owner and repository of a value counts once, so that no value is gathered whole.
     owners = values.groupBy(F.col("span.value").alias("value"), "owner", "repository").agg(F.lit(1).alias("one"))
     owners = owners.groupBy("value", "owner").agg(F.count("*").alias("repositories"))
@@ -119,12 +122,12 @@ def scan_secrets(
     )
     of_row = judged.groupBy("row").agg(
         F.array_sort(F.collect_list(F.when(F.col("live") | (F.col("span.kind") < len(BASE)), F.col("span")))).alias("kept"),
+        *[F.count_if(F.col("span.kind") == i).alias(f"n_{k.name}") for i, k in enumerate(BASE)],
         F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_copied"), F.max("owners").alias("max_owners"), F.max("repositories").alias("max_repositories"),
     )
-    base = F.filter("spans", lambda s: s["kind"] < len(BASE))
-    count = lambda i: F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long")
+    base = F.filter("kept", lambda s: s["kind"] < len(BASE))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return rows.join(of_row, "row", "left").select(
-        "doc_id", *[count(i).alias(f"n_{k.name}") for i, k in enumerate(BASE)], _listed(base, kinds).alias("base"),
+    return rows.select("row", "doc_id").join(of_row, "row", "left").select(
+        "doc_id", *[zero(f"n_{k.name}") for k in BASE], F.coalesce(_listed(base, kinds), F.lit("")).alias("base"),
         F.coalesce(_listed(F.col("kept"), kinds), F.lit("")).alias("spans"), zero("n_live"), zero("n_copied"), zero("max_owners"), zero("max_repositories"),
     )

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import brute
 import numpy as np
@@ -283,6 +284,17 @@ def test_secrets_of_supplied_texts(spark):
         assert r["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
 
 
+def test_a_text_of_a_hundred_thousand_secrets(spark):
+    """The work follows the matches of one text, not their square."""
+    n = 100_000
+    docs = spark.createDataFrame([(1, " ".join(f"password=abcdef{i:08d}" for i in range(n)), "a", "en")], "doc_id long, text string, source string, lang string")
+    start = time.monotonic()
+    row = secrets.scan_secrets(docs).head()
+    assert time.monotonic() - start < 120
+    assert (row["n_assign"], row["n_live"], row["n_copied"]) == (n, n, 0)
+    assert row["base"].split(",")[-1] == f"assign:{24 * (n - 1)}:{24 * n - 1}"
+
+
 def test_secrets_by_owner(spark):
     own, common = "Zx9_" + "a1B2c3D4e5F6" * 2, "Example_1234567890_abcdef"
     rows = [(i, f"see {common} ok", f"o{i % 4}", "en") for i in range(12)] + [(20, f"{own} and {common}", "o1", "en"), (21, f"my password={own}", "o1", "de")]
