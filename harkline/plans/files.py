@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from harkline.plans import tables as t
 from harkline.plans.tables import Query, with_sql
@@ -65,7 +65,28 @@ def mismatch_files(spark: SparkSession, sf: str) -> DataFrame:
     return text.parse_mismatches(text.read_lines(spark, folder))
 
 
+def quarantined_triplets(spark: SparkSession, sf: str) -> DataFrame:
+    """Triplets from TSV parts, of which some have lost their last field, got another, or have a word for a number: rows and plays
+    that are read, and rows put aside by reason."""
+    folder = _new_folder(spark)
+    plays = F.col("play_count")
+    last = F.when(plays % 5 == 0, "").when(plays % 7 == 0, F.concat(F.lit("\tx"), plays)).when(plays % 11 == 0, F.concat(F.lit("\t"), plays, F.lit("\t0"))).otherwise(F.concat(F.lit("\t"), plays))
+    t.triplets(spark, sf).select(F.concat("user_id", F.lit("\t"), "song_id", last).alias("value")).write.text(folder)
+    good, bad = text.read_checked(spark, folder, text.TRIPLET_SCHEMA, sep="\t")
+    read = good.agg(F.lit("read").alias("reason"), F.count(F.lit(1)).alias("n_rows"), F.sum("play_count").alias("plays"))
+    aside = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("long").alias("plays"))
+    return read.unionByName(aside)
+
+
 QUERIES = {
+    "quarantined_triplets": Query(
+        quarantined_triplets,
+        with_sql(
+            """SELECT CASE WHEN play_count % 5 = 0 THEN 'fields' WHEN play_count % 7 = 0 THEN 'types' WHEN play_count % 11 = 0 THEN 'fields' ELSE 'read' END AS reason,
+                count(*) AS n_rows, CAST(sum(CASE WHEN play_count % 5 <> 0 AND play_count % 7 <> 0 AND play_count % 11 <> 0 THEN play_count END) AS BIGINT) AS plays
+                FROM triplets GROUP BY reason"""
+        ),
+    ),
     "feature_files": Query(feature_files, with_sql("SELECT * FROM features")),
     "untyped_files": Query(
         untyped_files,

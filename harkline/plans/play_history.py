@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harkline.operators import clean, profile
+from harkline.operators import clean, profile, sketches
+from harkline.operators.frozen import freeze
 from harkline.plans import tables as t
 from harkline.plans.tables import MIN_PLAYS, MIN_SONGS, Query, with_sql
 from harkline.sources.catalogue import preview
@@ -35,6 +36,15 @@ def row_counts(spark: SparkSession, sf: str) -> DataFrame:
     return profile.row_counts(datasets)
 
 
+def sketched_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    """Users and songs counted from sketches of ten parts (by the last digit of the song), and whether that is within four standard errors."""
+    triplets = t.stored_triplets(spark, sf)
+    parts = freeze(sketches.distinct_sketches(triplets.withColumn("part", F.substring("song_id", -1, 1)), ["song_id", "user_id"], "part"))
+    exact = profile.distinct_counts(triplets, ["song_id", "user_id"]).withColumnRenamed("n_distinct", "exact")
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= 4 * sketches.STANDARD_ERROR * F.col("exact") + 1
+    return sketches.merged_distinct(parts).join(exact, "column").select("column", "n_parts", "exact", near.alias("near"))
+
+
 def popularity_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return profile.histogram(profile.total_plays(t.clean_triplets(spark, sf), "song_id"), "total_plays", BINS)
 
@@ -94,6 +104,11 @@ QUERIES = {
         with_sql("""SELECT 'song_id' AS "column", count(DISTINCT song_id) AS n_distinct FROM clean_triplets
             UNION ALL SELECT 'user_id', count(DISTINCT user_id) FROM clean_triplets"""),
     ),
+    "sketched_distinct": Query(
+        sketched_distinct,
+        with_sql("""SELECT 'song_id' AS "column", count(DISTINCT substr(song_id, -1)) AS n_parts, count(DISTINCT song_id) AS exact, true AS near FROM clean_triplets
+            UNION ALL SELECT 'user_id', count(DISTINCT substr(song_id, -1)), count(DISTINCT user_id), true FROM clean_triplets"""),
+    ),
     "song_popularity": Query(
         lambda spark, sf: profile.total_plays(t.clean_triplets(spark, sf), "song_id"),
         with_sql("SELECT song_id, CAST(sum(play_count) AS BIGINT) AS total_plays FROM clean_triplets GROUP BY song_id"),

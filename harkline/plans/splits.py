@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from harkline.functions.draws import SEED
 from harkline.operators import profile, sampling
-from harkline.operators.frozen import freeze
+from harkline.operators.frozen import freeze, freeze_by
 from harkline.operators.joins import lookup_join
 from harkline.plans import tables as t
 from harkline.plans.tables import Query, with_sql
@@ -52,6 +52,13 @@ def shuffled_warm_users(spark: SparkSession, sf: str) -> DataFrame:
     return lookup_join(sampling.holdout(split), users, "user_id", "left_semi", max_bytes=0, task_rows=20)
 
 
+def bucketed_warm_users(spark: SparkSession, sf: str, buckets: int | None = None) -> DataFrame:
+    """Warm users where the split is stored by user: neither the users of training nor the join move rows again."""
+    split = freeze_by(triplet_split(spark, sf), "user_id", buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    users = sampling.training(split).select("user_id").distinct()
+    return sampling.holdout(split).join(users.hint("merge"), "user_id", "left_semi")
+
+
 _RANKED = f"SELECT *, row_number() OVER (PARTITION BY class ORDER BY {_bits_sql('split', 'track_id')}, track_id) AS rn"
 SPLIT_SQL = {
     "ranked": f"{_RANKED}, count(*) OVER (PARTITION BY class) AS size FROM binary_tracks",
@@ -127,6 +134,7 @@ QUERIES = {
         lambda spark, sf: shuffled_warm_users(spark, sf),
         with_sql("SELECT * FROM test"),
     ),
+    "warm_users_bucketed": Query(bucketed_warm_users, with_sql("SELECT * FROM test")),
     "warm_users": Query(lambda spark, sf: triplet_sides(spark, sf)[1], with_sql("SELECT * FROM test")),
     "shuffled": Query(
         lambda spark, sf: sampling.shuffled(t.active_triplets(spark, sf), ["user_id", "song_id"]),

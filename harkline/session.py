@@ -6,6 +6,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+#: Catalog names of the bucketed tables in the scratch folder.
+BUCKETED: list[str] = []
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks on one machine, with a checkpoint folder of its own.
@@ -54,5 +57,7 @@ def release_tables(spark: SparkSession) -> None:
     Spark does not clear a checkpoint folder by itself. Call this once no frame
     that was built on such tables is needed any more.
     """
+    while BUCKETED:
+        spark.sql(f"DROP TABLE IF EXISTS {BUCKETED.pop()}")
     path = spark._jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

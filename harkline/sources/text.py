@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from harkline.functions import ids
+from harkline.operators.frozen import freeze
 
 TRIPLET_SCHEMA = T.StructType(
     [
@@ -37,6 +38,25 @@ def read_delimited(
     return df if partitions is None else df.repartition(partitions)
 
 
+_RAW = "_raw"
+
+
+def read_checked(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The rows of delimited text that fit ``schema``, and ``(file, line, reason)`` of those that do not.
+
+    A row with more or fewer fields is refused as ``fields``, one with a value that is not of its column's type as ``types``. Empty values are
+    nulls and fit. The files are parsed once and the result written down, so no row is in both frames or in neither.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(_RAW, T.StringType())])
+    reader = spark.read.option("sep", sep).option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RAW)
+    rows = reader.schema(whole).csv(path)
+    n = F.size(F.split(F.col(_RAW), f"\\Q{sep}\\E", -1))
+    reason = F.when(n == len(schema), "types").otherwise("fields")
+    judged = freeze(rows.select("*", F.input_file_name().alias("_file")))
+    bad = judged.filter(F.col(_RAW).isNotNull()).select(F.col("_file").alias("file"), F.col(_RAW).alias("line"), reason.alias("reason"))
+    return judged.filter(F.col(_RAW).isNull()).select(*schema.names), bad
+
+
 def read_triplets(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     return read_delimited(spark, path, sep="\t", schema=TRIPLET_SCHEMA, partitions=partitions)
 
