@@ -89,19 +89,33 @@ def tuned_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @lru_cache(maxsize=4)
+def split_triplets(spark: SparkSession, sf: str) -> DataFrame:
+    return freeze(splits.triplet_split(spark, sf))
+
+
+def train_triplets(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.training(split_triplets(spark, sf))
+
+
+@lru_cache(maxsize=4)
+def test_triplets(spark: SparkSession, sf: str) -> DataFrame:
+    """Test triplets of users who occur in training; only queries that use them have them written."""
+    split = split_triplets(spark, sf)
+    return freeze(sampling.warm_users(sampling.holdout(split), sampling.training(split)))
+
+
 def triplet_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    train, test = splits.triplet_sides(spark, sf)
-    return train, freeze(test)
+    return train_triplets(spark, sf), test_triplets(spark, sf)
 
 
 @lru_cache(maxsize=4)
 def recommender(spark: SparkSession, sf: str) -> Recommender:
-    return fit_recommender(triplet_sides(spark, sf)[0])
+    return fit_recommender(train_triplets(spark, sf))
 
 
 def id_index(spark: SparkSession, sf: str) -> DataFrame:
     """Index of the users and songs of the training triplets."""
-    train, _ = triplet_sides(spark, sf)
+    train = train_triplets(spark, sf)
     indexes = [
         features.frequency_index(train, column, "index").select(
             F.lit(column).alias("kind"), F.col(column).alias("name"), "n_rows", "index"
@@ -113,7 +127,7 @@ def id_index(spark: SparkSession, sf: str) -> DataFrame:
 
 def test_index(spark: SparkSession, sf: str) -> DataFrame:
     """Test triplets under the training index."""
-    train, test = triplet_sides(spark, sf)
+    train, test = train_triplets(spark, sf), test_triplets(spark, sf)
     users = freeze(features.frequency_index(train, "user_id", "user_int"))
     songs = freeze(features.frequency_index(train, "song_id", "song_int"))
     indexed = features.apply_index(features.apply_index(test, users, "user_id"), songs, "song_id")
@@ -126,7 +140,7 @@ def als_factors(spark: SparkSession, sf: str) -> DataFrame:
 
 def recommendation_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Precision, NDCG and mean average precision of the songs recommended to the users of the test side."""
-    test = triplet_sides(spark, sf)[1]
+    test = test_triplets(spark, sf)
     return metrics.ranking_metrics(recommender(spark, sf).recommend(K, test), test, K)
 
 
@@ -158,7 +172,7 @@ def recommendation_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 def unplayed_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """For each user, how many songs are listed when those played in training are left out, and how many of them were played."""
-    train = triplet_sides(spark, sf)[0]
+    train = train_triplets(spark, sf)
     rows = recommender(spark, sf).recommend_unplayed(train, K)
     played = train.select("user_id", "song_id", F.lit(1).alias("played"))
     return rows.join(played, ["user_id", "song_id"], "left").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.count("played").alias("n_played"))
@@ -211,19 +225,19 @@ def boosted_leaves(spark: SparkSession, sf: str) -> DataFrame:
 
 def als_residual(spark: SparkSession, sf: str) -> DataFrame:
     """For each user, songs played in training, and whether the factors solve the user's normal equations."""
-    rows = recommender(spark, sf).residuals(triplet_sides(spark, sf)[0])
+    rows = recommender(spark, sf).residuals(train_triplets(spark, sf))
     return rows.select("user_id", "n_songs", (F.col("residual") < 1e-3).alias("solved"))
 
 
 def sampled_users(spark: SparkSession, sf: str) -> DataFrame:
     """The drawn users and how many of their test rows are scored."""
-    rows = recommender(spark, sf).sampled_user_scores(triplet_sides(spark, sf)[1])
+    rows = recommender(spark, sf).sampled_user_scores(test_triplets(spark, sf))
     return rows.groupBy("user_id").agg(F.count("prediction").alias("n_rows"))
 
 
 def forget() -> None:
     """Drops the models and tables kept for the session, so that the next query fits anew."""
-    for kept in [binary_sides, genre_sides, genre_forest, tuned, triplet_sides, recommender, logistic_model]:
+    for kept in [binary_sides, genre_sides, genre_forest, tuned, split_triplets, test_triplets, recommender, logistic_model]:
         kept.cache_clear()
 
 
@@ -266,7 +280,7 @@ QUERIES = {
     "user_recommendations": Query(lambda spark, sf: recommender(spark, sf).recommend(K)),
     "recommended_items": Query(lambda spark, sf: recommender(spark, sf).recommended_items(K)),
     "sampled_user_scores": Query(
-        lambda spark, sf: recommender(spark, sf).sampled_user_scores(triplet_sides(spark, sf)[1])
+        lambda spark, sf: recommender(spark, sf).sampled_user_scores(test_triplets(spark, sf))
     ),
     "recommendation_metrics": Query(recommendation_metrics),
     "model_coverage": Query(

@@ -106,7 +106,11 @@ def feature_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def genres(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").select(_code("T", "p_partkey").alias("track_id"), F.col("p_brand").alias("genre"))
+    return genres_of(table(spark, sf, "part"))
+
+
+def genres_of(parts: DataFrame) -> DataFrame:
+    return parts.select(_code("T", "p_partkey").alias("track_id"), F.col("p_brand").alias("genre"))
 
 
 def labelled_features(spark: SparkSession, sf: str) -> DataFrame:
