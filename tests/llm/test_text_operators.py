@@ -1,6 +1,7 @@
 """Operators on whole texts against plain answers, on odd texts and on supplied ones."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -338,6 +339,69 @@ def test_exchange_finds_word_classes():
     assert len(set(own[:10])) == 1 and len(set(own[10:])) == 1 and own[0] != own[19]
 
 
+def test_words_seen_often_go_where_the_likelihood_gains_most():
+    """Against the terms of the objective that a word changes, for every class: its neighbours' cells, less the class's margins."""
+    rng = np.random.default_rng(9)
+    size, fixed = classlm.SHAPES + 1 + 6, classlm.SHAPES + 1
+    grid = rng.integers(0, 400, (size, size)).astype(float)
+    left, right = (rng.integers(0, 30, (40, size)) * (rng.random((40, size)) < 0.3) for _ in range(2))
+    right[:, 0] += np.maximum(0, left.sum(1) - right.sum(1))  # as many after a word as before it
+    left[:, 0] += np.maximum(0, right.sum(1) - left.sum(1))
+    got = classlm.best_classes(left, right, grid)
+    for i in range(40):
+        worth = []
+        for b in range(fixed, size):
+            x = lambda v: v * np.log(np.maximum(v, 1))
+            rows, columns, n = grid.sum(1), grid.sum(0), right[i].sum()
+            apart = x(grid[b] + right[i]).sum() - x(grid[b]).sum() + x(grid[:, b] + left[i]).sum() - x(grid[:, b]).sum()
+            worth.append(apart - x(rows[b] + n) + x(rows[b]) - x(columns[b] + n) + x(columns[b]))
+        assert got[i] == fixed + int(np.argmax(worth))
+
+
+def test_words_of_two_kinds_get_classes_of_their_own(spark, tmp_path):
+    """Common words a and b are followed by words of two kinds, each too rare to be frequent; all of a kind end in one class."""
+    rng = random.Random(4)
+    kinds = {"a": [f"noun{i:03d}" for i in range(1000)], "b": [f"verb{i:03d}" for i in range(1000)]}
+    docs = []
+    for i in range(1500):
+        pairs = [(c, rng.choice(kinds[c])) for c in rng.choices("ab", k=40)]
+        docs.append((i, " ".join(f"{c} {w}" for c, w in pairs)))
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    stored, plain = [], classlm.freeze
+    classlm.freeze = lambda df: stored.append(plain(df)) or stored[-1]
+    try:
+        rows = classlm.score_texts(spark.read.parquet(str(tmp_path / "d"))).collect()
+    finally:
+        classlm.freeze = plain
+    held_out = [r for r in rows if r["held_out"]]
+    # Classes tell which kind comes next: half a bit a word and more over words alone.
+    assert len(held_out) > 50
+    gain = sum(r["score"] - r["base_score"] for r in held_out) / sum(r["n_tokens"] for r in held_out)
+    assert gain > 0.1 * np.log10(2)
+    given = next(df for df in stored if set(df.columns) == {"block", "kind", "range", "a", "b"})
+    shares = [T.unpack(r["b"], float) for r in given.filter("kind = 3").collect()]
+    assert sum(x[: classlm.SHAPES + 1].sum() for x in shares) == 0  # none is left to its shape
+
+
+def test_share_of_words_in_learned_classes(spark, sf):
+    """Every word seen ten times in training, and most running words."""
+    stored, plain = [], classlm.freeze
+    classlm.freeze = lambda df: stored.append(plain(df)) or stored[-1]
+    try:
+        classlm.score_texts(spark.read.parquet(f"{sf}/documents.parquet")).count()
+    finally:
+        classlm.freeze = plain
+    counts = Counter()
+    for d, t in rows_of(sf):
+        if zlib.crc32(str(d).encode()) % 10:
+            counts.update(brute.words(brute.lowered(t)))
+    total = sum(counts.values())
+    often = {w: n for w, n in counts.items() if n >= classlm.MIN_SEEN and n * classlm.FREQUENT < total}
+    given = next(df for df in stored if set(df.columns) == {"block", "kind", "range", "a", "b"})
+    sums = [(T.unpack(r["a"], float).sum(), T.unpack(r["b"], float).sum()) for r in given.filter("kind = 3").collect()]
+    assert (sum(n for n, _ in sums), sum(k for _, k in sums)) == (sum(often.values()), len(often))
+
+
 @pytest.mark.parametrize("run", [repeats.drop_repeats, quality.judge_quality, jaccard.jaccard_components, lines.dedup_lines, classlm.score_texts])
 def test_no_rows(no_docs, run):
     assert run(no_docs).count() == 0
