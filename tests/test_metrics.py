@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.mllib.evaluation import RankingMetrics
@@ -97,12 +98,14 @@ def test_items_by_score(spark):
     assert [(r["all"], r["top"]) for r in listed.collect()] == [([3, 4, 1, 2], [3, 4]), ([], [])]
 
 
-def test_both_correlation_routes_agree(spark):
+def test_correlation_in_blocks_of_columns(spark):
     df = spark.range(200).selectExpr("rand(1) AS a", "rand(1) + rand(2) / 4 AS b", "-rand(1) AS c", "1.0D AS d")
-    few = {(r["i"], r["j"]): r["corr"] for r in correlate.feature_correlation(df, ["a", "b", "c"]).collect()}
-    many = {(r["i"], r["j"]): r["corr"] for r in correlate.feature_correlation(df, ["a", "b", "c"], max_pairwise=0).collect()}
-    assert few.keys() == many.keys()
-    assert all(few[p] == pytest.approx(many[p], abs=1e-9) for p in few)
+    x = np.array(df.select("a", "b", "c").collect())
+    want = np.corrcoef(x.T)
+    for block in (1, 2, 128):
+        for parts in (1, 7):
+            got = {(r["i"], r["j"]): r["corr"] for r in correlate.feature_correlation(df.repartition(parts), ["a", "b", "c"], block).collect()}
+            assert got == {(i, j): pytest.approx(want["abc".index(i), "abc".index(j)], abs=1e-12) for i, j in ("ab", "ac", "bc")}
     everything = correlate.feature_correlation(df, ["a", "b", "c", "d"])
     assert {(r["i"], r["j"]) for r in correlate.high_correlation_pairs(everything).collect()} == {("a", "b")}
     strong = correlate.high_correlation_pairs(everything, absolute=True).collect()
@@ -115,11 +118,32 @@ def test_macro_auroc_leaves_out_classes_without_one(spark):
     assert (row["n_classes"], row["macro_auroc"]) == (2, 0.75)
 
 
-@pytest.mark.parametrize("max_pairwise", [0, 12])
-def test_correlation_of_few_or_missing_rows(spark, max_pairwise):
+def test_correlation_of_many_columns_in_passes(spark, monkeypatch):
+    """Three hundred columns with a large mean, in blocks of which a task holds two pairs at a time."""
+    monkeypatch.setattr(correlate.co_moments, "__defaults__", (correlate.BLOCK, 2 * 8 * 100**2))
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 300)) @ rng.normal(size=(300, 300)) + 1e6
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "v array<double>").repartition(5)
+    wide = df.select(*[F.get("v", F.lit(i)).alias(f"v{i}") for i in range(300)])
+    got = {(r["i"], r["j"]): r["corr"] for r in correlate.feature_correlation(wide, wide.columns, 100).collect()}
+    want = np.corrcoef(x.T)
+    assert len(got) == 300 * 299 // 2
+    assert max(abs(c - want[int(i[1:]), int(j[1:])]) for (i, j), c in got.items()) < 1e-8
+
+
+def test_co_moments_merge_exactly():
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=(100, 3)) + 50, rng.normal(size=(100, 2))
+    whole, parts = correlate.CoMoments.of(a, b), [correlate.CoMoments.of(a[s], b[s]) for s in (slice(0, 1), slice(1, 40), slice(40, 100))]
+    merged = parts[0].merge(parts[1]).merge(parts[2])
+    assert merged.n == 100 and np.allclose(merged.moments, whole.moments) and np.allclose(merged.mean_a, a.mean(0))
+
+
+@pytest.mark.parametrize("block", [1, 128])
+def test_correlation_of_few_or_missing_rows(spark, block):
     def corr(rows, **more):
         df = spark.createDataFrame(rows, "a double, b int")
-        return [r["corr"] for r in correlate.feature_correlation(df, ["a", "b"], max_pairwise=max_pairwise, **more).collect()]
+        return [r["corr"] for r in correlate.feature_correlation(df, ["a", "b"], block=block, **more).collect()]
 
     assert all(math.isnan(c) for c in corr([]) + corr([(1.0, 2)]) + corr([(1.0, 2), (1.0, 3)]))
     rows = [(1.0, 2), (2.0, 4), (3.0, 6), (None, 1), (float("nan"), 5)]
