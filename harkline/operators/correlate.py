@@ -141,18 +141,17 @@ def feature_correlation(df: DataFrame, columns: Sequence[str], block: int = BLOC
         wrong = F.raise_error(F.lit("a row to correlate has a missing value")).cast("double")
         df = df.select(*[F.when(F.col(p).isNull() | F.isnan(p), wrong).otherwise(F.col(p)).alias(p) for p in places])
     cells = freeze(co_moments(df, places, block))  # a row per pair of columns
-    own, named = cells.filter("i = j"), F.broadcast(spark.createDataFrame(list(enumerate(columns)), "of int, name string"))
-    side = lambda k: F.broadcast(own.select(F.col("i").alias(k), F.col("moment").alias(f"{k}_moment")))
+    own = {r["i"]: r["moment"] for r in cells.filter("i = j").collect()}  # one per column
+    if not own:
+        named = spark.createDataFrame(list(enumerate(columns)), "at int, name string")
+        pairs = named.alias("x").join(named.alias("y"), F.col("x.at") < F.col("y.at"))
+        return pairs.select(F.col("x.name").alias("i"), F.col("y.name").alias("j"), F.lit(float("nan")).alias("corr"))
+    told = spark.createDataFrame([(k, name, own[k]) for k, name in enumerate(columns)], "at int, name string, moment double")
+    side = lambda k: F.broadcast(told.select(F.col("at").alias(k), F.col("name").alias(f"{k}_name"), F.col("moment").alias(f"{k}_moment")))
     found = cells.filter("i < j").join(side("i"), "i").join(side("j"), "j")
     product = F.sqrt(F.col("i_moment") * F.col("j_moment"))  # a column and its copy have exactly 1
     corr = F.when((F.col("n") < 2) | (product == 0), F.lit(float("nan"))).otherwise(F.col("moment") / product)
-    found = found.select("i", "j", corr.alias("corr"))
-    n = len(columns)
-    pairs = spark.range(n - 1).select(F.col("id").cast("int").alias("i"), F.explode(F.sequence(F.col("id").cast("int") + 1, F.lit(n - 1))).alias("j"))
-    whole = pairs.join(found, ["i", "j"], "left").withColumn("corr", F.coalesce("corr", F.lit(float("nan"))))
-    for k in ("i", "j"):
-        whole = whole.join(named.select(F.col("of").alias(k), F.col("name").alias(f"{k}_name")), k)
-    return whole.select(F.col("i_name").alias("i"), F.col("j_name").alias("j"), "corr")
+    return found.select(F.col("i_name").alias("i"), F.col("j_name").alias("j"), corr.alias("corr"))
 
 
 def high_correlation_pairs(correlations: DataFrame, above: float = 0.7, absolute: bool = False) -> DataFrame:
