@@ -25,12 +25,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from harkline.llm import text as T
+from harkline.operators.frozen import freeze
 
 #: Fixed values of BM25.
 K1, B = 1.2, 0.75
 #: Postings in a block.
 BLOCK = 32
-#: Bytes of item text that one index holds; more items make more indexes, each a pass over the passages.
+#: Bytes of item text that are looked for at a time; more items make more passes over the documents.
 INDEX_BYTES = 8_000_000
 #: A guessed answer of fewer word pairs is verified together with the question.
 MIN_ANSWER_PAIRS = 5
@@ -44,7 +45,7 @@ class Limits:
     min_share: float = 0.5  # of the item's BM25 weight
     min_question: float = 0.5  # of the question's word pairs
     min_answer: float = 0.5  # of the answer's word pairs
-    min_words: int = 8  # items with fewer words are not looked for
+    min_words: int = 8  # items with fewer words are looked for as they are
 
 
 @dataclass
@@ -58,10 +59,23 @@ class Postings:
     most: float
 
 
+@dataclass
+class Statistics:
+    """What weights are taken from, over all items: their number, mean length, and how many hold each word."""
+
+    n: int
+    mean: float
+    held: dict[int, int]
+
+    @classmethod
+    def of(cls, counts: list[Counter]) -> Statistics:
+        return cls(len(counts), sum(sum(c.values()) for c in counts) / max(1, len(counts)), Counter(w for c in counts for w in c))
+
+
 class Index:
-    """Items by word. ``items`` are ``(id, question, answer)``, the texts as bytes."""
+    """Items by word. ``items`` are ``(id, question, answer)``, the texts as bytes; weights are by ``statistics`` of all items there are."""
 
-    def __init__(self, items: list[tuple[int, bytes, bytes]], limits: Limits = Limits()):
+    def __init__(self, items: list[tuple[int, bytes, bytes]], limits: Limits = Limits(), statistics: Statistics | None = None, half: int | None = None):
         self.limits, self.ids, self.parts = limits, [], []
         counts = []
         for item, question, answer in items:
@@ -71,10 +85,10 @@ class Index:
                 self.ids.append(item)
                 self.parts.append((pairs(asked), pairs(answered)))
                 counts.append(Counter(words.tolist()))
-        self.longest = max((sum(c.values()) for c in counts), default=0)
-        mean = sum(sum(c.values()) for c in counts) / max(1, len(counts))
-        held = Counter(w for c in counts for w in c)
-        idf = {w: math.log(1 + (len(counts) - n + 0.5) / (n + 0.5)) for w, n in held.items()}
+        self.half = max((sum(c.values()) for c in counts), default=0) if half is None else half  # of a passage, in words
+        told = Statistics.of(counts) if statistics is None else statistics
+        mean = told.mean
+        idf = {w: math.log(1 + (told.n - told.held[w] + 0.5) / (told.held[w] + 0.5)) for c in counts for w in c}
         lists: dict[int, list[tuple[int, float]]] = {}
         for i, c in enumerate(counts):
             size = sum(c.values())
@@ -178,6 +192,51 @@ class Index:
         return found
 
 
+class Sequences:
+    """Items of few words, as the hashes of their word sequences, by their number of words."""
+
+    def __init__(self, items: list[tuple[int, bytes, bytes]], limits: Limits):
+        self.ids, by = [], {}
+        for item, question, answer in items:
+            words = np.concatenate([_hashes(question), _hashes(answer)])
+            if 0 < len(words) < limits.min_words:
+                by.setdefault(len(words), []).append((int(T.run_hashes(words, len(words))[0]), len(self.ids)))
+                self.ids.append(item)
+        self.by = {n: (np.array([h for h, _ in sorted(held)], np.uint64), np.array([i for _, i in sorted(held)])) for n, held in by.items()}
+
+    def found(self, words: T.Words, hashes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """``(text, item, start, words)`` where an item's words follow each other in a text, the first place of each."""
+        for n, (known, items) in self.by.items():
+            runs = T.run_hashes(hashes, n)
+            low, high = np.searchsorted(known, runs), np.searchsorted(known, runs, "right")
+            seen = set()
+            for at in np.flatnonzero((low < high) & words.spans(n)).tolist():
+                doc = int(np.searchsorted(words.first, at, "right")) - 1
+                for item in items[low[at] : high[at]].tolist():
+                    if (doc, item) not in seen:
+                        seen.add((doc, item))
+                        yield doc, item, at - int(words.first[doc]), n
+
+
+@dataclass
+class Items:
+    """The items of one pass: an index for each class of lengths, so that a passage fits its items, and short ones as sequences."""
+
+    indexes: list[Index]
+    sequences: Sequences
+
+    def hits(self, texts: list[bytes | None]) -> dict[tuple[int, int, int], tuple]:
+        """By text, index and item: the item's id, and the best passage (see ``_hits``)."""
+        words = T.words_of(texts, lower=True).stripped()
+        hashes, rows = words.hashes(), {}
+        for k, index in enumerate(self.indexes):
+            for (doc, item), found in _hits(index, words, hashes).items():
+                rows[doc, k, item] = (index.ids[item], *found)
+        for doc, item, start, n in self.sequences.found(words, hashes):
+            rows[doc, -1, item] = (self.sequences.ids[item], start, 1.0, n, 1.0, 1.0)
+        return rows
+
+
 def _hashes(text: bytes) -> np.ndarray:
     return T.words_of([text], lower=True).stripped().hashes()
 
@@ -204,11 +263,9 @@ def _last_before(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return before
 
 
-def _hits(index: Index, texts: list[bytes | None]) -> dict[tuple[int, int], tuple]:
+def _hits(index: Index, words: T.Words, hashes: np.ndarray) -> dict[tuple[int, int], tuple]:
     """By text and item, the best passage: its start, score, number of words, and shares of question and answer."""
-    limits, half = index.limits, max(1, index.longest)
-    words = T.words_of(texts, lower=True).stripped()
-    hashes = words.hashes()
+    limits, half = index.limits, max(1, index.half)
     n = np.diff(words.first)
     # A passage is two neighbouring halves. Its bound counts each word once.
     passages = np.maximum(1, -(-n // half) - 1)
@@ -246,13 +303,13 @@ def _hits(index: Index, texts: list[bytes | None]) -> dict[tuple[int, int], tupl
 def _search(shared: Broadcast):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in T.chunks(batches):
-            rows = _hits(shared.value, T.raw(chunk.column("text")))
+            rows = shared.value.hits(T.raw(chunk.column("text")))
             if rows:
-                at = pa.array([d for d, _ in rows], pa.int64())
-                start, score, words, asked, answered = zip(*rows.values())
+                at = pa.array([d for d, _, _ in rows], pa.int64())
+                ids, start, score, words, asked, answered = zip(*rows.values())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        chunk.column("doc_id").take(at), chunk.column("text_key").take(at), pa.array([shared.value.ids[i] for _, i in rows], pa.int64()),
+                        chunk.column("doc_id").take(at), chunk.column("text_key").take(at), pa.array(ids, pa.int64()),
                         pa.array(start, pa.int32()), pa.array(words, pa.int32()), pa.array(score, pa.float64()), pa.array(asked, pa.float64()), pa.array(answered, pa.float64()),
                     ],
                     names=["doc_id", "text_key", "item_id", "start", "words", "score", "question", "answer"],
@@ -265,7 +322,7 @@ def _clean(shared: Broadcast):
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in T.chunks(batches):
             kept = np.ones(chunk.num_rows, bool)
-            kept[[d for d, _ in _hits(shared.value, T.raw(chunk.column("text")))]] = False
+            kept[[d for d, _, _ in shared.value.hits(T.raw(chunk.column("text")))]] = False
             yield chunk.filter(pa.array(kept))
 
     return clean
@@ -282,24 +339,61 @@ def find_items(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), ind
     """The test items that each document holds.
 
     ``docs`` has ``doc_id`` and ``text``, ``items`` ``item_id``, ``question`` and ``answer``, and ``guessed``
-    where answers may be a guess (``MIN_ANSWER_PAIRS``; such an item's ``answer`` share is 1). Items are indexed in parts of
-    at most ``index_bytes`` of text (or one item), each small enough for every task; all documents pass each.
+    where answers may be a guess (``MIN_ANSWER_PAIRS``; such an item's ``answer`` share is 1). Items are looked for in parts of
+    at most ``index_bytes`` of text (or one item), each small enough for every task; all documents pass each. Weights are by the
+    statistics of all items, and a passage is as long as items of about one length ask, so what is found does not depend on the parts.
 
     One row for each document and item found: ``doc_id``, ``text_key`` (a hash of the text), ``item_id``, the passage's
-    ``start`` and ``words``, ``score``, and the shares of ``question`` and ``answer`` pairs it holds. Items with null
-    or few words are never found, nor is anything in a null or empty text. Repeated items and documents
+    ``start`` and ``words``, ``score``, and the shares of ``question`` and ``answer`` pairs it holds. Items of fewer than ``limits.min_words`` words are found
+    where their words follow each other, with a score and shares of 1. Items without words are never found, nor is anything in a null or empty text. Repeated items and documents
     are found each. No items or documents give no rows.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     out = spark.createDataFrame([], _HIT_SCHEMA)
-    for part in _parts(items, index_bytes):
-        index = Index(part, limits)
-        if index.ids:
-            out = out.unionByName(rows.mapInArrow(_search(spark.sparkContext.broadcast(index)), _HIT_SCHEMA))
+    for part in _indexed(items, limits, index_bytes):
+        out = out.unionByName(rows.mapInArrow(_search(spark.sparkContext.broadcast(part)), _HIT_SCHEMA))
     return out
 
 
+def _length(words: int) -> int:
+    """The class of an item's length: up to two to its power."""
+    return max(words - 1, 0).bit_length()
+
+
+def _words_held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different words of each item, and (word null) how many words it has."""
+    for batch in batches:
+        held, sizes = [], []
+        for question, answer in zip(T.raw(batch.column("question")), T.raw(batch.column("answer"))):
+            words = np.concatenate([_hashes(question or b""), _hashes(answer or b"")])
+            sizes.append(len(words))
+            held.append(np.unique(words).view(np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64()), pa.array(held, pa.list_(pa.int64()))], names=["size", "words"])
+
+
+def _indexed(items: DataFrame, limits: Limits, index_bytes: int) -> Iterator[Items]:
+    """The items in parts of bounded size, each with the statistics of its words over all items."""
+    spark, told = items.sparkSession, None
+    for part in _parts(items, index_bytes):
+        counts = [Counter(np.concatenate([_hashes(q), _hashes(a)]).tolist()) for _, q, a in part]
+        long = [i for i, c in enumerate(counts) if sum(c.values()) >= limits.min_words]
+        if told is None:
+            sized = freeze(items.select("question", "answer").mapInArrow(_words_held, "size long, words array<long>").filter(F.col("size") >= limits.min_words))
+            n, mean = sized.agg(F.count(F.lit(1)), F.avg("size")).head()
+            told = freeze(sized.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+        # As many words as the part has at most.
+        own = spark.createDataFrame([(w,) for w in set(np.array([w for i in long for w in counts[i]], np.uint64).view(np.int64).tolist())], "word long")
+        held = {r["word"] % 2**64: r["n"] for r in told.join(F.broadcast(own), "word").toLocalIterator()}
+        by: dict[int, list] = {}
+        for i in long:
+            by.setdefault(_length(sum(counts[i].values())), []).append(part[i])
+        indexes = [Index(group, limits, Statistics(n, mean, held), 1 << length) for length, group in sorted(by.items())]
+        sequences = Sequences(part, limits)
+        if indexes or sequences.ids:
+            yield Items(indexes, sequences)
+
+
 def _parts(items: DataFrame, index_bytes: int) -> Iterator[list[tuple[int, bytes, bytes]]]:
     """The items in lists of bounded size; one list at a time is on the driver."""
     part, size = [], 0
@@ -319,8 +413,6 @@ def _parts(items: DataFrame, index_bytes: int) -> Iterator[list[tuple[int, bytes
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), index_bytes: int = INDEX_BYTES) -> DataFrame:
     """The rows of ``docs`` that hold none of the items, as they are. Rows are not moved."""
-    for part in _parts(items, index_bytes):
-        index = Index(part, limits)
-        if index.ids:
-            docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(index)), docs.schema)
+    for part in _indexed(items, limits, index_bytes):
+        docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(part)), docs.schema)
     return docs

@@ -62,11 +62,12 @@ def test_passages_left_out_hold_nothing():
             at = rng.randint(0, len(words))
             words[at:at] = (q[1] + b" " + q[2]).decode().split()
         texts.append(" ".join(words).encode())
-    found = decontaminate._hits(index, texts)
+    words = T.words_of(texts, lower=True).stripped()
+    found = decontaminate._hits(index, words, words.hashes())
     want = set()
     for d, text in enumerate(texts):
         hashes = T.words_of([text], lower=True).hashes()
-        half = index.longest
+        half = index.half
         for k in range(max(1, -(-len(hashes) // half) - 1)):
             own = hashes[k * half : (k + 2) * half]
             held = decontaminate.pairs(own) | set(own.tolist())
@@ -93,14 +94,42 @@ def test_decontamination_of_odd_rows(spark, odd_docs, no_docs):
     items = spark.createDataFrame(rows, "item_id long, question string, answer string")
     for limit in (decontaminate.INDEX_BYTES, 10):  # in one index, and in one for each item
         hits = decontaminate.find_items(odd_docs, items, index_bytes=limit)
-        assert {(r["doc_id"], r["item_id"]) for r in hits.collect()} == {(d, 1) for d in (100, 101, 102, 103, 104, 105, 132, 140)}
+        assert {(r["doc_id"], r["item_id"]) for r in hits.collect()} == {(d, 1) for d in (100, 101, 102, 103, 104, 105, 132, 140)} | {(131, None)}
         left = decontaminate.drop_contaminated(odd_docs, items, index_bytes=limit)
-        assert left.schema == odd_docs.schema and left.count() == odd_docs.count() - 9
+        assert left.schema == odd_docs.schema and left.count() == odd_docs.count() - 10
     assert decontaminate.find_items(no_docs, items).count() == 0
     assert decontaminate.find_items(odd_docs, items.limit(0)).count() == 0
     assert decontaminate.drop_contaminated(odd_docs, items.limit(0)).count() == odd_docs.count()
 
 
+def test_what_is_found_does_not_depend_on_parts_or_other_items(spark):
+    """Short items beside one of four thousand words, in one part and in many; texts of common words hold none of them."""
+    rng = random.Random(11)
+    common = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choices(common, k=12)), "") for i in range(50)]
+    texts = [" ".join(rng.choices(common, k=900)) for _ in range(6)] + [f"{texts_} end" for texts_ in (items[3][1], items[7][1])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    long = (99, " ".join(rng.choices(common, k=4000)), "")
+    schema = "item_id long, question string, answer string"
+    hits = lambda rows, size: {
+        (r["doc_id"], r["item_id"], round(r["score"], 9)) for r in decontaminate.find_items(docs, spark.createDataFrame(rows, schema), index_bytes=size).collect() if r["item_id"] != 99
+    }
+    whole = hits([*items, long], decontaminate.INDEX_BYTES)
+    assert {(d, i) for d, i, _ in whole} >= {(6, 3), (7, 7)} and not [d for d, _, _ in whole if d < 6]
+    assert hits([long, *items[::-1]], 200) == whole == hits([*items, long], 1)
+    assert {x[:2] for x in hits(items, decontaminate.INDEX_BYTES)} == {x[:2] for x in whole}
+
+
+def test_short_items_are_found_as_they_are(spark):
+    rows = [(1, "seven times", "eight"), (2, "Blue?", None), (3, "times eight", ""), (4, "", " "), (1, "blue", "")]
+    items = spark.createDataFrame(rows, "item_id long, question string, answer string")
+    texts = ["It is SEVEN times, eight. seven times eight", "eight seven times", "times\neight blue", None, "", "a times", "eight"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["start"], r["words"]) for r in decontaminate.find_items(docs, items).collect())
+    assert got == [(0, 1, 2, 3), (0, 3, 3, 2), (2, 1, 2, 1), (2, 2, 2, 1), (2, 3, 0, 2)]
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect()) == [1, 3, 4, 5, 6]
+
+
 def test_question_and_answer(spark):
     items = spark.createDataFrame([(1, "Who? Me. You."), (2, "No end"), (3, None), (4, "")], "item_id long, text string")
     got = {r["item_id"]: (r["question"], r["answer"]) for r in decontaminate.question_and_answer(items).collect()}
