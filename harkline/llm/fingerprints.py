@@ -46,18 +46,19 @@ def samples(weighted: DataFrame, key: str, weights: dict[str, tuple[str, str]],
     the term's weight (0: not there, else 1 or more) and the sum of the key's weights. Several weights share the random
     numbers of a term. Returns ``key``, ``sample`` (0 to k - 1) and a place for each name.
     """
-    shares = [F.col(w) / F.greatest(F.col(total), F.lit(1)) for w, total in weights.values()]
-    share = (F.greatest(*shares) if len(shares) > 1 else shares[0]) * REACH
+    shares = {f"share_{name}": REACH * F.col(w) / F.greatest(F.col(total), F.lit(1)) for name, (w, total) in weights.items()}
     seeds = F.array(*[F.xxhash64("term", F.lit(i)) for i in range(k)])
-    rows = weighted.select(key, *[w for w, _ in weights.values()], share.alias("share"), F.posexplode(seeds).alias("sample", "h"))
+    rows = weighted.select(key, *[w for w, _ in weights.values()], *[s.alias(name) for name, s in shares.items()], F.posexplode(seeds).alias("sample", "h"))
     # Sixteen leading bits of the four uniform numbers: r is under -ln(of zl), c above 1 - vh.
     lead = [_bits(F.col("h"), 16 * i, 16) for i in range(4)]
     low, high = lead[3] * lead[2] * 2.0**-32, (lead[1] + 1) * (lead[0] + 1) * 2.0**-32
-    rows = rows.filter((1 - high) * low <= F.col("share"))
-    rows = rows.select("*", *[F.xxhash64("h", F.lit(i)).alias(f"h{i}") for i in (1, 2, 3)])
+    # Each weight has candidates of its own, so that its samples depend on nothing else.
+    bound = (1 - high) * low
+    rows = rows.filter(bound <= (F.greatest(*shares) if len(shares) > 1 else F.col(*shares)))
+    rows = rows.select("*", bound.alias("bound"), *[F.xxhash64("h", F.lit(i)).alias(f"h{i}") for i in (1, 2, 3)])
     uniform = lambda i, h, at: (lead[i] + (_bits(F.col(h), at, 32) + 0.5) * 2.0**-32) * 2.0**-16
     rows = rows.select(
-        key, "sample", *[F.when(F.col(w) > 0, F.ln(w)).alias(f"ln_{name}") for name, (w, _) in weights.items()],
+        key, "sample", *[F.when((F.col(w) > 0) & (F.col("bound") <= F.col(f"share_{name}")), F.ln(w)).alias(f"ln_{name}") for name, (w, _) in weights.items()],
         (-F.ln(uniform(3, "h1", 32) * uniform(2, "h1", 0))).alias("r"),
         F.ln(-F.ln(uniform(1, "h2", 32) * uniform(0, "h2", 0))).alias("ln_c"),
         ((_bits(F.col("h3"), 0, 32) + 0.5) * 2.0**-32).alias("b"),

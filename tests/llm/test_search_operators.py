@@ -90,6 +90,19 @@ def test_bound_leaves_no_sample_out(spark, monkeypatch):
     assert fingerprints.fingerprint_texts(docs).sort("doc_id").collect() == bounded
 
 
+def test_samples_of_one_weight_do_not_depend_on_another(spark, monkeypatch):
+    """Even where the bound leaves samples without a candidate, which is common with so low a reach."""
+    monkeypatch.setattr(fingerprints, "REACH", 0.5)
+    rows = [(k, j * 7919, 1, 3 if k % 2 else 1, 30, 90 if k % 2 else 3000) for k in range(80) for j in range(30)]
+    weighted = spark.createDataFrame(rows, "key int, term long, a long, b long, na long, nb long")
+    found = fingerprints.samples(weighted, "key", {"x": ("a", "na"), "y": ("b", "nb")}).filter("x is not null").collect()
+    by_key = {}
+    for r in found:
+        by_key.setdefault(r["key"], set()).add((r["sample"], r["x"]))
+    assert len(by_key) == 80 and len({frozenset(v) for v in by_key.values()}) == 1
+    assert len(by_key[0]) < fingerprints.SAMPLES
+
+
 def test_no_fingerprints_of_nothing(no_docs):
     assert fingerprints.fingerprint_edits(no_docs).count() == 0 and fingerprints.fingerprint_texts(no_docs).count() == 0
 
