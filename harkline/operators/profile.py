@@ -92,14 +92,18 @@ def feature_summary(df: DataFrame, columns: Sequence[str], block_columns: int =
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
-    """Equal-width bins of a column between its extremes: ``(bin, low, high, n)``, bins from 1."""
+    """Equal-width bins of a column between its extremes: ``(bin, low, high, n)``, bins from 1.
+
+    The values are written down, as they are read for their extremes and for their bins; rows that a join has numbered could
+    not be grouped by a subquery of themselves.
+    """
     v = F.col(value)
+    df = freeze(df.select(value).filter(v.isNotNull()))
     bounds = df.agg(F.struct(F.min(value).alias("lo"), (F.max(value) - F.min(value)).alias("span")).alias("b")).scalar()
     lo, span = bounds["lo"], bounds["span"]
     place = F.floor((v - lo) * bins / F.when(span == 0, 1).otherwise(span)) + 1
     return (
-        df.filter(v.isNotNull())
-        .groupBy(F.least(place, F.lit(bins)).alias("bin"))
+        df.groupBy(F.least(place, F.lit(bins)).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
             "bin",

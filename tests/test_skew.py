@@ -266,3 +266,20 @@ def test_activity_until_stable(spark):
     stable = clean.active_subset(triplets, min_plays=30, min_songs=3, until_stable=True)
     assert {(r["user_id"], r["song_id"]) for r in stable.collect()} == set(left)
     assert 0 < len(left) < once.count()
+
+
+def test_histogram_of_rows_from_a_shuffled_lookup(spark, facts):
+    """Rows that a join has numbered, to spread a hot key, can be put into bins all the same."""
+    lookup = freeze(facts.select("key").distinct().withColumn("name", F.upper("key")))
+    counts = {}
+    for max_bytes in (0, 1 << 30):
+        joined = lookup_join(facts, lookup, "key", "inner", max_bytes=max_bytes, task_rows=1, stored=True)
+        counts[max_bytes] = sorted(map(tuple, profile.histogram(joined.groupBy("id").agg(F.count(F.lit(1)).alias("n")), "n", 4).collect()))
+    assert counts[0] == counts[1 << 30] != []
+
+
+def test_a_shuffled_lookup_without_hot_keys_is_a_plain_join(spark, facts):
+    lookup = freeze(facts.select("key").distinct().withColumn("name", F.upper("key")))
+    joined = lookup_join(facts, lookup, "key", "inner", max_bytes=0, stored=True)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" not in plan and "_salt" not in plan
