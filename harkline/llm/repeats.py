@@ -150,6 +150,12 @@ def repeated_windows(ids: np.ndarray, at: np.ndarray, order: tuple[np.ndarray, n
 
 
 def _find(table: pa.Table) -> pa.Table:
+    found = _runs_of(table)
+    T.hand_back()
+    return found
+
+
+def _runs_of(table: pa.Table) -> pa.Table:
     numbers: dict[bytes, int] = defaultdict(count().__next__)
     docs, keys, starts, ids, lengths, known = [], [], [], [], [], []
     for row in table.to_batches():
@@ -161,10 +167,12 @@ def _find(table: pa.Table) -> pa.Table:
             text = zstandard.ZstdDecompressor().decompress(w).split()
             ids.append(np.fromiter(map(numbers.__getitem__, text), np.int32, len(text)))
             docs.append(d), keys.append(k), starts.append(a), lengths.append(b - a)
+    numbers.clear()
     if ids:
         doc, key, start, length, words = (np.concatenate(x) for x in (docs, keys, starts, lengths, ids))
+        del docs, keys, starts, lengths, ids
         windows = length - WINDOW + 1
-        of = np.repeat(np.arange(len(length)), windows)
+        of = np.repeat(np.arange(len(length), dtype=np.int32), windows)
         within = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
         at = (np.cumsum(length, dtype=np.int64) - length)[of] + within
         word = start[of] + within
@@ -214,6 +222,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kept.append(b" ".join(words))
             columns = [chunk.column("doc_id"), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept"])
+        T.hand_back()
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
@@ -224,6 +233,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
 
     A null or empty text has no words. A null id comes last. Rows with one id and one text are one document. No rows give no rows.
     """
+    T.bound_batches(docs.sparkSession)
     runs = repeated_runs(docs).groupBy("doc", "key").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("key"), "text")
     rows = rows.mapInArrow(_zip, "doc_id long, doc long, key long, packed binary")
