@@ -19,17 +19,22 @@ from harkline.operators.running import rank_within
 CHUNK_BYTES = 64_000_000
 #: Vectors and items that are multiplied at a time.
 ROWS, ITEMS = 1024, 1024
+#: Vectors whose norms are taken at a time.
+_WIDENED = 65_536
 #: Products are compared as 32-bit numbers, bounds with room for their rounding.
 _ROOM = 1 + 1e-6
 
 
 class Items:
-    """Vectors with ids, by falling norm."""
+    """Vectors with ids, by falling norm.
+
+    They are put in order once, on the driver, and kept as they came: only ``ITEMS`` at a time are widened, for each product.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        norms = np.linalg.norm(vectors.astype(float), axis=1)
+        norms = np.concatenate([np.zeros(0), *(np.linalg.norm(vectors[a : a + _WIDENED].astype(float), axis=1) for a in range(0, len(ids), _WIDENED))])
         order = np.lexsort((ids, -norms))
-        self.ids, self.vectors, self.norms = ids[order], vectors[order].astype(float), norms[order]
+        self.ids, self.vectors, self.norms = ids[order], vectors[order], norms[order]
 
 
 def best_products(
@@ -48,7 +53,7 @@ def best_products(
         if not len(open_rows):
             break
         ids = items.ids[at : at + ITEMS]
-        products = (rows[open_rows] @ items.vectors[at : at + ITEMS].T).astype(np.float32)
+        products = (rows[open_rows] @ items.vectors[at : at + ITEMS].astype(float).T).astype(np.float32)
         pairs += products.size
         for j in np.flatnonzero(products.max(axis=1) >= floors[open_rows]).tolist():
             i, p = int(open_rows[j]), products[j]
@@ -74,8 +79,8 @@ def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 def _with_chunk(chunk):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vectors = chunk.value
-        items = Items(ids, vectors)
+        items = Items.__new__(Items)
+        items.ids, items.vectors, items.norms = chunk.value
         for batch in batches:
             for part in (batch.slice(a, ROWS) for a in range(0, batch.num_rows, ROWS)):
                 rows = part.column("features").flatten().to_numpy().astype(float).reshape(part.num_rows, -1)
@@ -108,8 +113,8 @@ def top_products(vectors: DataFrame, items: DataFrame, want: Column, chunk_bytes
     for first in range(0, n, step):
         part = items if n <= step else items.filter(F.col("place").between(first + 1, first + step))
         got = part.select("id", "features").toArrow()
-        chunk = got.column("id").to_numpy().astype(np.int32), got.column("features").combine_chunks().flatten().to_numpy().reshape(got.num_rows, -1)
-        state = state.mapInArrow(_with_chunk(spark.sparkContext.broadcast(chunk)), _STATE)
+        chunk = Items(got.column("id").to_numpy().astype(np.int32), got.column("features").combine_chunks().flatten().to_numpy().reshape(got.num_rows, -1))
+        state = state.mapInArrow(_with_chunk(spark.sparkContext.broadcast((chunk.ids, chunk.vectors, chunk.norms))), _STATE)
         if first + step < n:
             state = freeze(state)
     listed = state.select("id", F.posexplode(F.arrays_zip("ids", "products")).alias("at", "found"))

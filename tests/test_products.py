@@ -118,3 +118,18 @@ def test_no_items(spark):
     assert top_products(frame(spark, [1], np.ones((1, 2)), [3]), none, F.col("want")).count() == 0
     assert top_products(none, frame(spark, [1], np.ones((1, 2))), F.col("want")).count() == 0
     assert products.CHUNK_BYTES <= 64_000_000
+
+
+def test_items_take_little_more_than_their_bytes():
+    """Vectors stay as they came, in order of their norms; a widened copy of all would be twice their bytes."""
+    import tracemalloc
+
+    vectors = np.random.default_rng(3).normal(size=(200_000, 10)).astype(np.float32)
+    items = Items(np.arange(200_000, dtype=np.int32), vectors)
+    assert items.vectors.dtype == np.float32 and (np.diff(items.norms) <= 0).all()
+    tracemalloc.start()
+    best_products(vectors[:8].astype(float), np.full(8, 5), items, [(np.zeros(0, np.int32), np.zeros(0, np.float32))] * 8)
+    Items(items.ids, items.vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * vectors.nbytes
