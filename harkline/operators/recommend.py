@@ -45,19 +45,20 @@ class Recommender:
         Songs of equal rating are in order of their index.
         """
         wanted = self.users if users is None else lookup_join(self.users, users.select("user_id").distinct(), "user_id", "left_semi", stored=True, facts_stored=True)
-        return self._best(wanted.select("user_int", F.lit(k).alias("want")))
+        return self._named(self._best(wanted.select("user_int", F.lit(k).alias("want"))))
 
     def recommend_unplayed(self, played: DataFrame, k: int = 5) -> DataFrame:
         """As ``recommend``, without the songs that a user has in ``played``.
 
-        A user with n such songs needs the k + n best to be left with k, and so many are sought for that user.
+        A user with n such songs needs the k + n best to be left with k, and so many are sought for that user. Songs found and
+        songs played meet by index; only the k left get their names.
         """
-        pairs = freeze(played.select("user_id", "song_id").distinct())
-        counts = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-        wanted = self.users.join(counts, "user_id", "left").select("user_int", (F.coalesce("n", F.lit(0)) + k).alias("want"))
-        fresh = self._best(wanted).join(pairs, ["user_id", "song_id"], "left_anti")
-        place = F.row_number().over(Window.partitionBy("user_id").orderBy("position"))
-        return fresh.withColumn("position", place).filter(F.col("position") <= k).select("user_id", "position", "song_id", "rating")
+        pairs = freeze(self.index(played.select("user_id", "song_id")).select("user_int", "song_int").distinct())
+        counts = pairs.groupBy("user_int").agg(F.count(F.lit(1)).alias("n"))
+        wanted = self.users.join(counts, "user_int", "left").select("user_int", (F.coalesce("n", F.lit(0)) + k).alias("want"))
+        fresh = self._best(wanted).join(pairs, ["user_int", "song_int"], "left_anti")
+        place = F.row_number().over(Window.partitionBy("user_int").orderBy("position"))
+        return self._named(fresh.withColumn("position", place).filter(F.col("position") <= k))
 
     def recommended_items(self, k: int = 5) -> DataFrame:
         """``(user_id, position, song_id)``: the list of each user without the ratings."""
@@ -91,13 +92,12 @@ class Recommender:
         return lookup_join(told, self.users.select("user_int", "user_id"), "user_int", "inner", stored=True).select("user_id", "n_songs", "residual")
 
     def _best(self, wanted: DataFrame) -> DataFrame:
-        """The best songs of users, as many for each as ``wanted`` (``user_int``, ``want``) says."""
+        """``(user_int, position, song_int, rating)``: the best songs of users, as many for each as ``wanted`` (``user_int``, ``want``) says."""
         users = self.model.userFactors.join(wanted, F.col("id") == F.col("user_int")).select("id", "features", "want")
         found = top_products(users, self.model.itemFactors, F.col("want"))
-        rows = found.select(
+        return found.select(
             F.col("id").alias("user_int"), (F.col("at") + 1).alias("position"), F.col("item").alias("song_int"), F.col("product").alias("rating")
         )
-        return self._named(rows).select("user_id", "position", "song_id", "rating")
 
     def score(self, triplets: DataFrame) -> DataFrame:
         """Adds ``prediction`` to the rows whose user and song are known."""
@@ -110,11 +110,11 @@ class Recommender:
         return self.score(lookup_join(test, drawn, "user_id", "left_semi"))
 
     def _named(self, rows: DataFrame) -> DataFrame:
-        """Ids for indexes. The rows cost a search, so they are written down once."""
+        """``(user_id, position, song_id, rating)``: ids for indexes. The rows cost a search, so they are written down once."""
         songs = self.songs.select("song_int", "song_id")
         users = self.users.select("user_int", "user_id")
         named = lookup_join(freeze(rows), songs, "song_int", "inner", stored=True, facts_stored=True)
-        return lookup_join(named, users, "user_int", "inner", stored=True)
+        return lookup_join(named, users, "user_int", "inner", stored=True).select("user_id", "position", "song_id", "rating")
 
 
 def fit_recommender(
