@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harkline.functions.draws import draw, draw_bits
+from harkline.operators.frozen import freeze
 from harkline.operators import sampling
 
 SIZES = {0: 4000, 1: 2500, 2: 301, 3: 7, 4: 1}
@@ -101,3 +102,15 @@ def test_shuffle_is_a_permutation(spark):
     assert sorted(r["place"] for r in out) == list(range(1, 501))
     ids = [r["id"] for r in sorted(out, key=lambda r: r["place"])]
     assert sorted(ids) == list(range(500)) and ids != list(range(500))
+
+
+def test_warm_users_of_a_table_are_not_written_down_again(spark, monkeypatch):
+    from harkline.operators import joins
+
+    rows = freeze(spark.createDataFrame([("a", "x", True), ("a", "y", False), ("b", "z", False), (None, "x", False)], "user_id string, song_id string, in_train boolean"))
+    written = []
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(joins, "freeze", lambda df: written.append(df.columns) or freeze(df))
+    warm = sampling.warm_users(sampling.holdout(rows), sampling.training(rows), stored=True)
+    assert [r["song_id"] for r in warm.collect()] == ["y"]
+    assert ["user_id", "song_id"] not in written
