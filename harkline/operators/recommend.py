@@ -105,8 +105,9 @@ class Recommender:
 
     def sampled_user_scores(self, test: DataFrame, users: int = 10, seed: int = SEED) -> DataFrame:
         """Predicted scores of the test songs of some users drawn from those who have any."""
-        known = lookup_join(test, self.users.select("user_id"), "user_id", "left_semi", stored=True)
-        drawn = known.select("user_id").distinct().orderBy(draw_bits(["user_id"], "sample", seed), "user_id").limit(users)
+        tested = freeze(test.select("user_id").distinct())
+        known = lookup_join(tested, self.users.select("user_id"), "user_id", "left_semi", stored=True, facts_stored=True)
+        drawn = known.orderBy(draw_bits(["user_id"], "sample", seed), "user_id").limit(users)
         return self.score(lookup_join(test, drawn, "user_id", "left_semi"))
 
     def _named(self, rows: DataFrame) -> DataFrame:
