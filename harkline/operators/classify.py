@@ -14,8 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from harkline.functions.draws import SEED, draw
-from harkline.operators import metrics, sampling
-from harkline.operators.ensembles import first_rounds
+from harkline.operators import boosting, metrics, sampling
 from harkline.operators.frozen import freeze
 
 
@@ -168,8 +167,9 @@ def tune_boosted_trees(
     """The best model of a grid, refitted on all of ``train``, and the mean AUROC of each setting.
 
     Folds follow from the keys. Only the training side of a fold is up-sampled, so no copies of a row lie on both sides; it is
-    written down once. A fit of the most rounds holds the fits of fewer (``ensembles.first_rounds``), so each sampling rate and
-    depth is fitted once a fold and scored at every number of rounds. ``parallelism`` fits share the cluster, two per core unless given, as each is many short jobs that wait for the driver.
+    written down once. A fit of the most rounds holds the fits of fewer, so each sampling rate and
+    depth is fitted once a fold and scored at every number of rounds. All these fits grow side by side (``boosting.boost``), and the held-out rows
+    are scored in one pass. ``parallelism`` evaluations share the cluster, two per core unless given.
     """
     spark = train.sparkSession
     folded = freeze(train.withColumn("fold", F.floor(draw(keys, "fold", seed) * folds).cast("int")))
@@ -185,21 +185,23 @@ def tune_boosted_trees(
     def learner(rate: float, rounds: int, depth: int) -> GBTClassifier:
         return boosted_trees(seed).setSubsamplingRate(rate).setMaxIter(rounds).setMaxDepth(depth)
 
-    def search(task: tuple[float, int, int]) -> dict[tuple[float, int, int], float]:
-        rate, depth, fold = task
-        fit_side, held_out = sides[fold]
-        model = learner(rate, max(iterations), depth).fit(fit_side)
-        return {(rate, n, depth): evaluator.evaluate(first_rounds(model, n).transform(held_out)) for n in iterations}
+    splits = [boosting.candidate_splits(fit_side, seed) for fit_side, _ in sides]
+    trees = boosting.boost([fit_side for fit_side, _ in sides], splits, sampling_rates, depths, max(iterations), seed)
+    lanes = [(r, d) for r in range(len(sampling_rates)) for d in range(len(depths))]
+    margins = [
+        freeze(boosting.staged_margins(held_out, splits[i], [trees[i, r, d] for r, d in lanes], iterations))
+        for i, (_, held_out) in enumerate(sides)
+    ]
+
+    def area(task: tuple[int, int, int]) -> float:
+        fold, lane, rounds = task
+        return evaluator.evaluate(margins[fold].select("class", F.col(f"m{lane}_{rounds}").alias("rawPrediction")))
 
-    # The longest fits first.
-    tasks = [(rate, depth, fold) for depth in sorted(depths, reverse=True) for rate in sampling_rates for fold in range(folds)]
-    found: dict[tuple[float, int, int], list[float]] = {}
-    with ThreadPoolExecutor(parallelism or 2 * spark.sparkContext.defaultParallelism) as pool:
-        for areas in pool.map(inheritable_thread_target(spark)(search), tasks):
-            for setting, area in areas.items():
-                found.setdefault(setting, []).append(area)
     grid = [(rate, n, depth) for rate in sampling_rates for n in iterations for depth in depths]
-    means = [sum(found[setting]) / folds for setting in grid]
+    places = [(lanes.index((r, d)), n) for r in range(len(sampling_rates)) for n in iterations for d in range(len(depths))]
+    with ThreadPoolExecutor(parallelism or 2 * spark.sparkContext.defaultParallelism) as pool:
+        areas = list(pool.map(inheritable_thread_target(spark)(area), [(i, *place) for place in places for i in range(folds)]))
+    means = [sum(areas[k * folds : (k + 1) * folds]) / folds for k in range(len(grid))]
     best = grid[max(range(len(grid)), key=lambda i: means[i])]
     model = learner(*best).fit(_few_parts(sampling.upsample(train, "class", keys).select("features", "class")))
     settings = [(float(rate), n, depth, float(mean)) for (rate, n, depth), mean in zip(grid, means)]

@@ -1,6 +1,7 @@
 """Models learn a learnable label, and recommendations keep their promises."""
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from harkline.operators import classify, ensembles, features, metrics, sampling
@@ -194,6 +195,49 @@ def test_staged_search_equals_separate_fits(sides):
     assert (best.getNumTrees, best.getOrDefault("maxDepth")) == (top["iterations"], top["depth"])
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_fits_side_by_side_are_the_separate_fits(spark, parts):
+    """Margins of every fit after some and all rounds, on more rows than splits are taken from; the jobs do not grow with the fits."""
+    from pyspark.ml.linalg import Vectors
+
+    from harkline.operators import boosting
+
+    made = [((i * 7919 % 101 > 40) * 1, Vectors.dense([float(i * 7919 % 101 + i % 7), i * i % 977 / 3, 0.0 if i % 3 else float(i % 50), 7.0])) for i in range(12_000)]
+    rows = freeze(spark.createDataFrame(made, ["class", "features"]).coalesce(1) if parts == 1 else spark.createDataFrame(made, ["class", "features"]).repartition(parts))
+    other = freeze(rows.limit(500).coalesce(1))
+    splits = [boosting.candidate_splits(side, 42) for side in (rows, other)]
+    assert len(splits[0][3]) <= 1 and len(splits[0][0]) > 20
+
+    def grown(rates, depths, rounds):
+        spark.sparkContext.setJobGroup(name := f"boost {parts} {rates} {depths}", "")
+        try:
+            trees = boosting.boost([rows, other], splits, rates, depths, rounds, 42)
+            return trees, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    trees, jobs = grown([0.5, 1.0], [2, 3], 12)
+    assert jobs <= 12 * 3 + 4
+    for side, rate, depth, fitted in ((0, 0, 1, rows), (0, 1, 0, rows), (1, 0, 0, other)):
+        model = classify.boosted_trees().setSubsamplingRate([0.5, 1.0][rate]).setMaxDepth([2, 3][depth]).setMaxIter(12).fit(fitted)
+        found = boosting.staged_margins(rows, splits[side], [trees[side, rate, depth]], [3, 12]).collect()
+        for n in (3, 12):
+            said = ensembles.first_rounds(model, n).transform(rows).select(F.col("class"), vector_to_array("rawPrediction")[1].alias("m")).collect()
+            assert [r[f"m0_{n}"] for r in found] == pytest.approx([r["m"] for r in said], abs=1e-9)
+
+
+def test_sides_that_cannot_be_fitted(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from harkline.operators import boosting
+
+    rows = freeze(spark.createDataFrame([(2, Vectors.dense([1.0])), (0, Vectors.dense([2.0]))], ["class", "features"]))
+    with pytest.raises(ValueError):
+        boosting.candidate_splits(rows.filter("class > 2"), 42)
+    with pytest.raises(Exception, match="classes must be 0 or 1"):
+        boosting.boost([rows], [boosting.candidate_splits(rows, 42)], [1.0], [2], 2, 42)
+
+
 def test_boosted_trees_as_a_table(sides, boosted):
     """Margins of the table, all rounds and the first, are the model's raw scores: twice the margin."""
     _, test = sides
