@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import RDD, Broadcast, StorageLevel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from harkline.session import scratch_dir
 
@@ -277,7 +277,7 @@ def boost(
     state, several = _blocks(sides, splits, rates, rounds, seed, features, label)
     state = state.persist(StorageLevel.MEMORY_AND_DISK)
     reducers = min(len(lanes), spark.sparkContext.defaultParallelism)
-    before = None
+    before = written = None
     for m in range(rounds):
         trees = {lane: Tree(depths[lane[2]]) for lane in lanes}
         for level in range(max(1, *depths)):
@@ -288,6 +288,9 @@ def boost(
             found = dict(sums.map(_best_splits(n_splits, {lane: t.stats for lane, t in trees.items()})).collect())
             if before is not None:
                 before, _ = None, before.unpersist()
+                if state.isCheckpointed():
+                    _delete(spark, written)
+                    written = state.getCheckpointFile()
             for lane, tree in trees.items():
                 if len(tree.open):
                     tree.grow(level, found[lane])
@@ -299,9 +302,17 @@ def boost(
             if m % CHECKPOINT == CHECKPOINT - 1:
                 state.checkpoint()
     state.unpersist()
+    _delete(spark, written)
     return grown
 
 
+def _delete(spark: SparkSession, folder: str | None) -> None:
+    """Deletes margins that were written down and are not needed any more."""
+    if folder is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged_margins(rows: DataFrame, splits: list[np.ndarray], fits: Sequence[Sequence[Tree]], stages: Sequence[int], features: str = "features", label: str = "class") -> DataFrame:
     """``label`` and the columns ``m<fit>_<rounds>``: what the first rounds of each fit say about each row."""
     spark = rows.sparkSession

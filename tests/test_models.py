@@ -1,5 +1,8 @@
 """Models learn a learnable label, and recommendations keep their promises."""
 
+from pathlib import Path
+from urllib.parse import urlparse
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -8,6 +11,7 @@ from harkline.operators import classify, ensembles, features, metrics, sampling
 from harkline.operators.frozen import freeze
 from harkline.operators.recommend import fit_recommender
 from harkline.plans import models, tables as t
+from harkline.session import scratch_dir
 
 KEY = ["track_id"]
 
@@ -216,8 +220,11 @@ def test_fits_side_by_side_are_the_separate_fits(spark, parts):
         finally:
             spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
+    written = lambda: {p.name for p in Path(urlparse(scratch_dir(spark)).path).glob("rdd-*")}
+    before = written()
     trees, jobs = grown([0.5, 1.0], [2, 3], 12)
     assert jobs <= 12 * 3 + 4
+    assert written() <= before  # margins written down on the way are deleted
     for side, rate, depth, fitted in ((0, 0, 1, rows), (0, 1, 0, rows), (1, 0, 0, other)):
         model = classify.boosted_trees().setSubsamplingRate([0.5, 1.0][rate]).setMaxDepth([2, 3][depth]).setMaxIter(12).fit(fitted)
         found = boosting.staged_margins(rows, splits[side], [trees[side, rate, depth]], [3, 12]).collect()
