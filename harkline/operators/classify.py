@@ -9,12 +9,11 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from harkline.functions.draws import SEED, draw
-from harkline.operators import boosting, metrics, sampling
+from harkline.operators import boosting, ensembles, metrics, sampling
 from harkline.operators.frozen import freeze
 
 
@@ -154,6 +153,16 @@ def _few_parts(rows: DataFrame) -> DataFrame:
     return freeze(stored.coalesce(-(-stored.count() // FIT_ROWS) or 1))
 
 
+def _refitted(learner: GBTClassifier, rows: DataFrame) -> Model:
+    """``learner`` fitted on ``rows``: by the library, or grown by one task where many rows fit into it."""
+    rounds, n_rows, n_features = learner.getMaxIter(), rows.count(), rows.select(F.size(vector_to_array("features"))).head()[0]
+    if n_rows <= FIT_ROWS or boosting.bytes_held(n_rows, n_features, rounds) > boosting.TASK_BYTES:
+        return learner.fit(rows)
+    splits = boosting.candidate_splits(rows, learner.getSeed())
+    trees = boosting.boost([rows], [splits], [learner.getSubsamplingRate()], [learner.getMaxDepth()], rounds, learner.getSeed(), leaves=True)
+    return ensembles.boosted_model(learner, trees[0, 0, 0], splits, rows)
+
+
 def tune_boosted_trees(
     train: DataFrame,
     keys: Sequence[str],
@@ -180,29 +189,23 @@ def tune_boosted_trees(
         )
         for i in range(folds)
     ]
-    evaluator = BinaryClassificationEvaluator(labelCol="class", numBins=0)
-
     def learner(rate: float, rounds: int, depth: int) -> GBTClassifier:
         return boosted_trees(seed).setSubsamplingRate(rate).setMaxIter(rounds).setMaxDepth(depth)
 
     splits = [boosting.candidate_splits(fit_side, seed) for fit_side, _ in sides]
     trees = boosting.boost([fit_side for fit_side, _ in sides], splits, sampling_rates, depths, max(iterations), seed)
     lanes = [(r, d) for r in range(len(sampling_rates)) for d in range(len(depths))]
-    margins = [
-        freeze(boosting.staged_margins(held_out, splits[i], [trees[i, r, d] for r, d in lanes], iterations))
-        for i, (_, held_out) in enumerate(sides)
-    ]
 
-    def area(task: tuple[int, int, int]) -> float:
-        fold, lane, rounds = task
-        return evaluator.evaluate(margins[fold].select("class", F.col(f"m{lane}_{rounds}").alias("rawPrediction")))
+    def areas_of(fold: int) -> dict[str, float]:
+        margins = boosting.staged_margins(sides[fold][1], splits[fold], [trees[fold, r, d] for r, d in lanes], iterations)
+        return boosting.areas(freeze(margins))
 
     grid = [(rate, n, depth) for rate in sampling_rates for n in iterations for depth in depths]
-    places = [(lanes.index((r, d)), n) for r in range(len(sampling_rates)) for n in iterations for d in range(len(depths))]
-    with ThreadPoolExecutor(parallelism or 2 * spark.sparkContext.defaultParallelism) as pool:
-        areas = list(pool.map(inheritable_thread_target(spark)(area), [(i, *place) for place in places for i in range(folds)]))
-    means = [sum(areas[k * folds : (k + 1) * folds]) / folds for k in range(len(grid))]
+    columns = [f"m{lanes.index((r, d))}_{n}" for r in range(len(sampling_rates)) for n in iterations for d in range(len(depths))]
+    with ThreadPoolExecutor(parallelism or folds) as pool:
+        areas = list(pool.map(inheritable_thread_target(spark)(areas_of), range(folds)))
+    means = [sum(of_fold[c] for of_fold in areas) / folds for c in columns]
     best = grid[max(range(len(grid)), key=lambda i: means[i])]
-    model = learner(*best).fit(_few_parts(sampling.upsample(train, "class", keys).select("features", "class")))
+    model = _refitted(learner(*best), _few_parts(sampling.upsample(train, "class", keys).select("features", "class")))
     settings = [(float(rate), n, depth, float(mean)) for (rate, n, depth), mean in zip(grid, means)]
     return model, spark.createDataFrame(settings, "sampling_rate double, iterations int, depth int, auroc double")

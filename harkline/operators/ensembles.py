@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from uuid import uuid4
 
+import numpy as np
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from harkline.operators.boosting import LEARNING_RATE, Tree
 from harkline.operators.frozen import freeze
 from harkline.session import tables_dir
 
+# Rows that the form of a stored model is taken from.
+FORM_ROWS = 100
+
 
 def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
     """The model that a fit of ``rounds`` rounds with the same settings gives.
@@ -30,6 +36,56 @@ def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificatio
     return GBTClassificationModel(ml.classification.GBTClassificationModel(model.uid, kept, weighed))
 
 
+def boosted_model(learner: GBTClassifier, trees: Sequence[Tree], splits: Sequence[np.ndarray], rows: DataFrame) -> GBTClassificationModel:
+    """The model of grown ``trees`` with the settings of ``learner``, as if it had fitted them; splits are the thresholds of each feature.
+
+    Written down as the library writes a model, whose form is taken from a fit of one round on a few of ``rows``, and loaded.
+    """
+    spark = rows.sparkSession
+    path, form = f"{tables_dir(spark)}/{uuid4().hex}", f"{tables_dir(spark)}/{uuid4().hex}"
+    learner.copy({learner.maxIter: 1}).fit(rows.limit(FORM_ROWS)).write().save(form)
+    about = json.loads(spark.read.text(f"{form}/metadata").head()[0])
+    about["paramMap"]["maxIter"], about["numTrees"], about["numFeatures"] = learner.getMaxIter(), len(trees), len(splits)
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{path}/metadata")
+    tree, weight = (c for c in spark.read.parquet(f"{form}/treesMetadata").columns if c != "_1")
+    one = spark.read.parquet(f"{form}/treesMetadata")
+    weights = F.when(F.col("id") == 0, 1.0).otherwise(LEARNING_RATE)
+    one.crossJoin(spark.range(len(trees), numPartitions=1)).select(F.col("id").cast("int").alias("_1"), tree, weights.alias(weight)).coalesce(1).write.parquet(f"{path}/treesMetadata")
+    nodes = [(i, node) for i, tree in enumerate(trees) for node in _node_rows(tree, splits)]
+    spark.createDataFrame(nodes, spark.read.parquet(f"{form}/data").schema).coalesce(1).write.parquet(f"{path}/data")
+    return GBTClassificationModel.load(path)
+
+
+def _node_rows(tree: Tree, splits: Sequence[np.ndarray]) -> list[tuple]:
+    """The nodes of a tree from the root, each before those below it, as the library stores them; equal leaves of one split are one."""
+    rows: list[tuple] = []
+
+    def impurity(stats: np.ndarray) -> float:
+        return float((stats[2] - stats[1] ** 2 / stats[0]) / stats[0]) if stats[0] else 0.0
+
+    def add(node: int) -> tuple[np.ndarray, float, bool]:
+        """Statistics and value of a node, and whether it is a leaf."""
+        at, value = len(rows), float(tree.value[node])
+        rows.append(())
+        stats, gain, left, right, split = tree.leaves[:, node], -1.0, -1, -1, (-1, [], -1)
+        if (feature := int(tree.feature[node])) >= 0:
+            left = len(rows)
+            below, said, is_leaf = add(2 * node)
+            right = len(rows)
+            other, says, other_leaf = add(2 * node + 1)
+            stats = below + other
+            gain = impurity(stats) - below[0] / stats[0] * impurity(below) - other[0] / stats[0] * impurity(other)
+            split = (feature, [float(splits[feature][tree.bin[node]])], -1)
+            if is_leaf and other_leaf and said == says:
+                del rows[at + 1 :]
+                gain, left, right, split, value = -1.0, -1, -1, (-1, [], -1), said
+        rows[at] = (at, value, impurity(stats), [float(s) for s in stats], int(stats[0]), float(gain), left, right, split)
+        return stats, value, left < 0
+
+    add(1)
+    return rows
+
+
 def tree_table(model: Model) -> DataFrame:
     """``(tree, node, feature, threshold, left, right, value, leaf_counts, weight)``: the nodes of a forest or boosted model.
 

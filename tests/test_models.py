@@ -233,6 +233,104 @@ def test_fits_side_by_side_are_the_separate_fits(spark, parts):
             assert [r[f"m0_{n}"] for r in found] == pytest.approx([r["m"] for r in said], abs=1e-9)
 
 
+def binned_block(n_rows, rate, rounds, exact, n_bins=40, start=0):
+    """A block of made-up rows with more than 32 bins, and five features, of which one says nothing."""
+    import numpy as np
+
+    from harkline.operators import boosting
+
+    i = np.arange(start, start + n_rows)
+    bins = np.stack([i * 7919 % 101 % n_bins, i * i % 977 % n_bins, i % 13, 0 * i, i * 31 % 211 % n_bins]).astype(np.uint8)
+    label = np.where((bins[0] > 19) ^ (bins[1] < 7) ^ (i * 104729 % 10 == 0), 1, -1).astype(np.int8)
+    drawn = None if rate == 1 else np.stack([(i * (2 * m + 3) * 2654435761 % 1000) / 1000 < rate for m in range(rounds)])
+    return boosting._Block(0, 0, (0, start), bins, label, None if drawn is None else np.packbits(drawn, axis=1), exact)
+
+
+@pytest.mark.parametrize("rate", [0.5, 1.0])
+def test_sums_of_pairs_and_smaller_children_are_the_direct_sums(rate):
+    """Trees of three blocks by pairs of features, against those of one block in the order of the rows; all leaves have their rows."""
+    import numpy as np
+
+    from harkline.operators import boosting
+
+    n_splits, rounds = [39, 39, 12, 0, 39], 5
+    direct = boosting._fitted([binned_block(6_000, rate, rounds, True)], n_splits, 3, rounds, True)
+    paired = boosting._fitted([binned_block(2_000, rate, rounds, False, start=2_000 * k) for k in range(3)], n_splits, 3, rounds, True)
+    bins = binned_block(6_000, rate, rounds, True).bins
+    for one, other in zip(direct, paired):
+        assert (one.feature == other.feature).all() and (one.bin == other.bin).all() and (one.feature != 3).all()
+        assert other.value == pytest.approx(one.value, abs=1e-12) and other.leaves == pytest.approx(one.leaves, abs=1e-6)
+        codes = boosting._paired(bins, 40).astype(np.intp)
+        assert (boosting._said(boosting._ways(one, 5, 40), codes) == one.value.take(one.reached(bins))).all()
+
+
+def test_large_sides_are_grown_in_one_job_and_larger_ones_by_levels(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    from harkline.operators import boosting
+
+    made = [(int((i * 7919 % 101 > 40) ^ (i * 104729 % 9 == 0)), Vectors.dense([float(i * 7919 % 101 + i % 7), i * i % 977 / 3, float(i % 50)])) for i in range(6_000)]
+    rows = freeze(spark.createDataFrame(made, ["class", "features"]).repartition(3))
+    splits = [boosting.candidate_splits(rows, 42)]
+
+    def grown(name):
+        spark.sparkContext.setJobGroup(name, "")
+        try:
+            return boosting.boost([rows], splits, [0.5, 1.0], [2, 3], 15, 42), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    whole, jobs = grown("whole")
+    assert jobs <= 3  # the rows are counted, dealt to tasks, and fitted
+    monkeypatch.setattr(boosting, "TASK_BYTES", 0)
+    levels, jobs = grown("levels")
+    assert jobs > 15 and whole.keys() == levels.keys()
+    for lane, trees in whole.items():
+        assert len(trees) == 15
+        for one, other in zip(trees, levels[lane]):
+            assert len(one.feature) == len(other.feature)
+        said = [[r["m0_15"] for r in boosting.staged_margins(rows, splits[0], [fit], [15]).collect()] for fit in (trees, levels[lane])]
+        assert said[0] == pytest.approx(said[1], abs=1e-9)
+
+
+def test_a_grown_model_is_the_fitted_one(spark, monkeypatch):
+    """Trees, settings and importances of the model made of grown trees, on rows of several parts."""
+    from pyspark.ml.linalg import Vectors
+
+    made = [(int((i * 7919 % 101 > 40) ^ (i * 104729 % 9 == 0)), Vectors.dense([float(i * 7919 % 101 + i % 7), i * i % 977 / 3, 0.0 if i % 3 else float(i % 50)])) for i in range(6_000)]
+    rows = freeze(spark.createDataFrame(made, ["class", "features"]).repartition(3))
+    learner = classify.boosted_trees().setSubsamplingRate(0.5).setMaxDepth(3).setMaxIter(5)
+    fitted = classify._refitted(learner, rows)
+    monkeypatch.setattr(classify, "FIT_ROWS", 100)
+    grown = classify._refitted(learner, rows)
+    assert type(grown) is type(fitted) and grown.getNumTrees == 5 and grown.treeWeights == fitted.treeWeights
+    assert {p.name: v for p, v in grown.extractParamMap().items()} == {p.name: v for p, v in fitted.extractParamMap().items()}
+    assert [t.numNodes for t in grown.trees] == [t.numNodes for t in fitted.trees]
+    assert list(grown.featureImportances.toArray()) == pytest.approx(list(fitted.featureImportances.toArray()), abs=1e-9)
+    said = [[r["m"] for r in m.transform(rows).select(vector_to_array("rawPrediction")[1].alias("m")).collect()] for m in (grown, fitted)]
+    assert said[0] == pytest.approx(said[1], abs=1e-9)
+
+
+def test_areas_of_all_columns_are_the_evaluators(spark, monkeypatch):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    from harkline.operators import boosting
+
+    made = [(i * 31 % 7 // 5, float(i * 17 % 23), i * 7919 % 101 / 7, 1.0) for i in range(500)]
+    rows = freeze(spark.createDataFrame(made, "class int, m0_2 double, m0_4 double, m1_2 double").repartition(3))
+
+    def said(rows):
+        evaluator = BinaryClassificationEvaluator(labelCol="class", numBins=0)
+        return {c: evaluator.evaluate(rows.select("class", F.col(c).alias("rawPrediction"))) for c in rows.columns[1:]}
+
+    assert boosting.areas(rows) == pytest.approx(said(rows))
+    for some in (rows.filter("class = 0"), rows.filter("class = 1"), rows.filter("class > 1")):
+        assert boosting.areas(some) == pytest.approx(said(some))
+    held = boosting.areas(rows)
+    monkeypatch.setattr(boosting, "TASK_BYTES", 0)
+    assert boosting.areas(rows) == held
+
+
 def test_sides_that_cannot_be_fitted(spark):
     from pyspark.ml.linalg import Vectors
 
